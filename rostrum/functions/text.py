@@ -26,6 +26,10 @@ SPEECH_DROP_PATTERN = r"[0-9_]"
 # The lexicon normaliser deletes ``[^\w\s]`` only, which leaves tokens intact.
 LEXICON_DROP_PATTERN = None
 
+# Python's str.strip() removes every character whose isspace() is true.
+PY_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
+STRIP_PATTERN = f"^{PY_SPACE}+|{PY_SPACE}+$"
+
 # A literal map lookup scans its keys, so dictionaries larger than this go
 # through a broadcast join on exploded rows instead (see operators.corpus).
 MAX_LITERAL_STEMS = 512
@@ -129,10 +133,15 @@ def with_term_counts(df: DataFrame, tokens: str = "tokens", out: str = "terms",
 # ---------------------------------------------------------------- scalars (B)
 
 
+def py_strip(text: str | Column) -> Column:
+    """Leading and trailing whitespace removed as Python's ``str.strip``."""
+    return F.regexp_replace(_col(text), F.lit(STRIP_PATTERN), F.lit(""))
+
+
 def excerpt(text: str | Column, n: int = 20) -> Column:
     """Text of at most n characters unchanged, else first n, stripped, + '...'."""
     t = _col(text)
-    return F.when(F.length(t) <= n, t).otherwise(F.concat(F.trim(F.substring(t, 1, n)), F.lit("...")))
+    return F.when(F.length(t) <= n, t).otherwise(F.concat(py_strip(F.substring(t, 1, n)), F.lit("...")))
 
 
 def report_prefix(text: str | Column, n: int = 200) -> Column:

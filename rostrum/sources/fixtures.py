@@ -59,7 +59,7 @@ FIX_LEXICON = [
 FIX_PARTY_MAP = {"en": "Party A", "fr": "Party B", "de": "Party B"}
 FIX_SELECTED_PARTIES = ["Party A", "Party B"]
 FIX_SEARCH_QUERY = "Thnt eringing onheed treasury anntly whst ndble"
-FIX_LOOKUP = {"period": "4", "session": "3", "sitting": "103", "date": "1994-06-13", "member_like": "src%"}
+FIX_LOOKUP = {"period": "1", "session": "3", "sitting": "103", "date": "1999-05-03", "member_like": "src%"}
 
 ORIGIN = _dt.date(1989, 1, 1)
 
