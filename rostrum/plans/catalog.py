@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.plans import corpus_queries, search_queries, text_queries  # noqa: F401  (registers)
+from rostrum.plans import analysis_queries, corpus_queries, search_queries, text_queries  # noqa: F401  (registers)
 from rostrum.plans.registry import ORACLES, QUERIES
 
 
