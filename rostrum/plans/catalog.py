@@ -4,7 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rostrum.plans import analysis_queries, corpus_queries, search_queries, text_queries  # noqa: F401  (registers)
+from rostrum.plans import (  # noqa: F401  (importing registers the queries)
+    analysis_queries,
+    corpus_queries,
+    model_queries,
+    search_queries,
+    text_queries,
+)
 from rostrum.plans.registry import ORACLES, QUERIES
 
 

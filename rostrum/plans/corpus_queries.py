@@ -141,3 +141,16 @@ def q_party_distribution(spark, sf):
 SELECT DISTINCT standard_party FROM std WHERE standard_party IS NOT NULL"""))
 def q_distinct_parties(spark, sf):
     return co.distinct_parties(_std(spark, sf))
+
+
+@query("union_chunks", _sql(M, fx.SQL_RAW_SPEECHES, body="""
+SELECT id, sitting_date, political_party, merged_speech FROM merged
+UNION ALL
+SELECT min(id), sitting_date, political_party, string_agg(speech, ' ' ORDER BY id) FROM raw
+GROUP BY member_name, parliamentary_period, parliamentary_session, parliamentary_sitting, sitting_date,
+  political_party"""))
+def q_union_chunks(spark, sf):
+    """Two producers' speech tables concatenated by column name."""
+    a = co.scan_speeches(_m(spark, sf))
+    b = co.merge_speeches(fx.raw_speeches(spark, sf)).select("id", "sitting_date", "political_party", "merged_speech")
+    return a.unionByName(b)

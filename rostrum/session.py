@@ -7,6 +7,8 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
+from rostrum.functions.blas import single_thread
+
 # Settings every job of this library relies on: AQE for runtime re-planning
 # (partition coalescing, skew-join splitting), UTC so dates agree with the
 # DuckDB oracle, Arrow for the few pandas-backed steps.
@@ -20,10 +22,20 @@ BASE_CONF = {
 }
 
 
+# One BLAS thread per Python worker: Spark already runs one task per core, and
+# a multi-threaded BLAS inside forked workers can deadlock.
+BLAS_ENV = {"OPENBLAS_NUM_THREADS": "1", "OMP_NUM_THREADS": "1", "MKL_NUM_THREADS": "1"}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str = "rostrum") -> SparkSession:
     """Local session for tests and the benchmark; on a cluster use the
     session the platform hands out and only apply ``BASE_CONF``."""
+    for k, v in BLAS_ENV.items():
+        os.environ.setdefault(k, v)
+    single_thread()
     builder = SparkSession.builder.appName(app)
+    for k, v in BLAS_ENV.items():
+        builder = builder.config(f"spark.executorEnv.{k}", v)
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
