@@ -89,7 +89,7 @@ def with_details(pg: DataFrame, details: DataFrame, excerpt_len: int = 20) -> Da
     return pg.join(d, "id").select(
         "rank", "id", "merged_speech", "member_name", "political_party", "score",
         "parliamentary_period", "parliamentary_session", "parliamentary_sitting", "sitting_date",
-    )
+    ).orderBy("rank")  # a page: at most per_page rows
 
 
 def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: DataFrame, page_no: int = 1,

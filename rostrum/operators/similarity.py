@@ -31,7 +31,7 @@ PAIR_SCHEMA = "member1 string, member2 string, similarity double"
 
 
 def _pairs_kernel(top_k: int | None, include_zero: bool):
-    def kernel(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def kernel(key, pdf):
         lo, hi = int(key[0]), int(key[1])
         terms, tcode = np.unique(pdf["term"].to_numpy(dtype=object), return_inverse=True)
         names = pdf["member_name"].to_numpy(dtype=object)

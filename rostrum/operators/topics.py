@@ -163,19 +163,25 @@ def randomized_svd(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, o
     l = min(k + oversample, n_terms)
     blocks = _blocks(spark, rows, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
     z = np.random.default_rng(seed).standard_normal((n_terms, l))
-    zb = mb = None
-    w = None
-    for it in range(power_iters + 1):
-        if zb is not None:
-            zb.unpersist()
-            mb.unpersist()
-        zb = sc.broadcast(z)
-        m = _orthonormal_rows(blocks, lambda b, zb=zb: _a_times(b, zb.value), l)
-        mb = sc.broadcast(m)
-        w = blocks.map(lambda b, zb=zb, mb=mb: _at_times(b, _a_times(b, zb.value) @ mb.value, n_terms)).treeAggregate(
+
+    def gram_step(zz, mm=None):
+        zb_ = sc.broadcast(zz)
+        mb_ = sc.broadcast(mm if mm is not None else np.eye(l))
+        out = blocks.map(lambda b: _at_times(b, _a_times(b, zb_.value) @ mb_.value, n_terms)).treeAggregate(
             np.zeros((n_terms, l)), lambda a, x: a + x, lambda a, x: a + x)
-        if it < power_iters:
-            z, _ = np.linalg.qr(w)
+        return out, zb_, mb_
+
+    # power steps: Z <- orth(Aᵀ A Z), one fused pass each (A Z and Aᵀ(A Z) in
+    # the same task); the orthonormalisation is on the vocabulary side
+    for _ in range(power_iters):
+        w, zb_, mb_ = gram_step(z)
+        zb_.unpersist()
+        mb_.unpersist()
+        z, _ = np.linalg.qr(w)
+    # final basis Q = orth(A Z) (distributed CholeskyQR2), then W = Aᵀ Q
+    zb = sc.broadcast(z)
+    m = _orthonormal_rows(blocks, lambda b: _a_times(b, zb.value), l)
+    w, _, _ = gram_step(z, m)
     ub, sv, vt = np.linalg.svd(w.T, full_matrices=False)
     ub, sv, vt = ub[:, :k], sv[:k], vt[:k]
     signs = _canonical_signs(vt.T)
