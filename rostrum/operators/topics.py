@@ -156,9 +156,10 @@ def randomized_svd(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, o
     """Randomized truncated SVD over distributed sparse rows.  Broadcasts and
     driver state are n_terms x (k + oversample) — bounded by the vocabulary.
 
-    Each round: Q = orth(A Z) (distributed CholeskyQR2), W = Aᵀ Q (tree
-    aggregate), Z = orth(W) on the driver.  Finally B = Qᵀ A = Wᵀ is small:
-    its SVD gives Σ and V, and U Σ = Q U_B Σ is computed row-locally."""
+    Power steps: Z <- orth(Aᵀ (A Z)), one fused pass each (tree aggregate),
+    orthonormalised on the driver (vocabulary-sized).  Last step: Q = orth(A Z)
+    by a distributed CholeskyQR2 and W = Aᵀ Q.  B = Qᵀ A = Wᵀ is small: its
+    SVD gives Σ and V, and U Σ = Q U_B Σ is computed row-locally."""
     sc = spark.sparkContext
     l = min(k + oversample, n_terms)
     blocks = _blocks(spark, rows, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)

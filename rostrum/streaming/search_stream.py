@@ -1,0 +1,43 @@
+"""Search as a stream: queries arriving as files are answered against a fixed
+TF-IDF index (the reference's search endpoint, fed continuously).
+
+Each micro-batch of queries runs the batch search (G7) against the static
+document postings inside ``foreachBatch`` — an exact stream-static
+computation with no streaming state; the query checkpoint (in the shared
+``spark.checkpoint.dir``) makes the stream restartable after a failure, and
+appends are idempotent per batch id.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Iterable, Mapping
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from rostrum.operators import search as se
+from rostrum.session import ensure_checkpoint_dir
+
+QUERY_SCHEMA = "query_id long, query string"
+
+
+def answer_query_files(spark: SparkSession, query_dir: str, out_dir: str, doc_weights: DataFrame,
+                       vocab: DataFrame, stopwords: Iterable[str] = (), stems: Mapping[str, str] | None = None,
+                       top_k: int | None = 10, threshold: float = 0.1, checkpoint: str | None = None,
+                       available_now: bool = True):
+    """Start a stream over Parquet query files in ``query_dir``; matches
+    (query_id, id, score, rank, batch_id) are appended to ``out_dir``.
+    Returns the ``StreamingQuery``."""
+    ck = checkpoint or f"{ensure_checkpoint_dir(spark).rstrip('/')}/search-stream"
+    queries = spark.readStream.schema(QUERY_SCHEMA).parquet(query_dir)
+
+    def run_batch(batch: DataFrame, batch_id: int) -> None:
+        res = se.batch_scores(doc_weights, batch, vocab, stopwords, stems, threshold=threshold, top_k=top_k)
+        # a replayed batch overwrites its own partition instead of appending twice
+        res = res.withColumn("batch_id", F.lit(batch_id))
+        (res.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("batch_id").parquet(out_dir))
+
+    w = queries.writeStream.foreachBatch(run_batch).option("checkpointLocation", ck)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="10 seconds")
+    return w.start()

@@ -1,0 +1,22 @@
+import tempfile
+
+from pyspark.sql import functions as F
+
+from rostrum.operators import search as se
+from rostrum.operators import tfidf
+from rostrum.streaming.search_stream import answer_query_files
+
+DOCS = [(1, "red apple pie"), (2, "green apple"), (3, "blue sky"), (4, "apple apple red")]
+
+
+def test_stream_matches_batch(spark):
+    m = tfidf.fit(spark.createDataFrame(DOCS, "id long, merged_speech string"))
+    qdir, odir, ck = (tempfile.mkdtemp(prefix="rostrum-") for _ in range(3))
+    qs = spark.createDataFrame([(1, "red apple"), (2, "blue sky"), (3, "nothing here")], "query_id long, query string")
+    qs.write.mode("overwrite").parquet(qdir + "/q")
+    q = answer_query_files(spark, qdir + "/q", odir + "/out", m.weights, m.vocab, checkpoint=ck + "/c")
+    q.awaitTermination(120)
+    got = {(r["query_id"], r["id"]): r["score"] for r in spark.read.parquet(odir + "/out").collect()}
+    exp = {(r["query_id"], r["id"]): r["score"] for r in se.batch_scores(m.weights, qs, m.vocab, top_k=10).collect()}
+    assert got.keys() == exp.keys()
+    assert all(abs(got[k] - exp[k]) < 1e-12 for k in exp)
