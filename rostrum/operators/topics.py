@@ -115,25 +115,44 @@ def _rows_nz(indptr):
     return np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
 
 
-def _a_times(block, z, chunk=200_000):
-    """A_block @ z for a (n_terms x l) dense z."""
+def _row_chunks(indptr, chunk=200_000):
+    """Row ranges whose non-zeros stay under ``chunk`` (bounded temporaries)."""
+    n = len(indptr) - 1
+    start = 0
+    while start < n:
+        end = int(np.searchsorted(indptr, indptr[start] + chunk, side="right")) - 1
+        end = min(max(end, start + 1), n)
+        yield start, end
+        start = end
+
+
+def _dense_chunks(block, n_terms, max_cells=4_000_000):
+    """The block's rows as dense (rows x n_terms) chunks of at most
+    ``max_cells`` cells (the width is the vocabulary, so temporaries stay
+    bounded) — sparse-dense products then run as BLAS matrix products."""
     ids, indptr, cols, data = block[:4]
-    out = np.zeros((len(ids), z.shape[1]))
-    rn = _rows_nz(indptr)
-    for s in range(0, len(cols), chunk):
-        e = s + chunk
-        np.add.at(out, rn[s:e], z[cols[s:e]] * data[s:e, None])
+    step = max(1, max_cells // max(n_terms, 1))
+    for r0 in range(0, len(ids), step):
+        r1 = min(r0 + step, len(ids))
+        s, e = indptr[r0], indptr[r1]
+        d = np.zeros((r1 - r0, n_terms))
+        d[np.repeat(np.arange(r1 - r0), np.diff(indptr[r0:r1 + 1])), cols[s:e]] = data[s:e]
+        yield r0, r1, d
+
+
+def _a_times(block, z):
+    """A_block @ z for a (n_terms x l) dense z."""
+    out = np.zeros((len(block[0]), z.shape[1]))
+    for r0, r1, d in _dense_chunks(block, z.shape[0]):
+        out[r0:r1] = d @ z
     return out
 
 
-def _at_times(block, q, n_terms, chunk=200_000):
+def _at_times(block, q, n_terms):
     """A_blockᵀ @ q for the block's (n_rows x l) q."""
-    ids, indptr, cols, data = block[:4]
     out = np.zeros((n_terms, q.shape[1]))
-    rn = _rows_nz(indptr)
-    for s in range(0, len(cols), chunk):
-        e = s + chunk
-        np.add.at(out, cols[s:e], q[rn[s:e]] * data[s:e, None])
+    for r0, r1, d in _dense_chunks(block, n_terms):
+        out += d.T @ q[r0:r1]
     return out
 
 
