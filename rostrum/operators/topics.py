@@ -447,3 +447,20 @@ def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_it
     docs = state.flatMap(lambda b: [(int(i), [float(x) for x in row]) for i, row in zip(b[0], b[4])])
     doc_df = spark.createDataFrame(docs, "id long, vector array<double>")
     return NMFResult(doc_df, _loadings_df(spark, h), it, errors)
+
+
+def nmf_w_step(spark: SparkSession, rows_w: DataFrame, h: np.ndarray) -> DataFrame:
+    """One multiplicative KL update of the document factors (the W half of an
+    NMF iteration) for rows (id, idx, val, w) and a fixed H: (id, w)."""
+    sc = spark.sparkContext
+    hb = sc.broadcast(h)
+    hs = sc.broadcast(h.sum(axis=1))
+
+    def run(it):
+        for b in _block_iter(it):
+            new, _, _ = _update_block(b, hb.value, hs.value)
+            for i, row in zip(new[0], new[4]):
+                yield int(i), [float(x) for x in row]
+
+    out = rows_w.select("id", "idx", "val", "w").rdd.mapPartitions(run)
+    return spark.createDataFrame(out, "id long, w array<double>")

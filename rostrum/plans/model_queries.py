@@ -239,3 +239,41 @@ def q_kmeans_nmf(spark, sf):
 def q_kmeans_sweep(spark, sf):
     res = cl.sweep(_vectors(spark, sf), range(10, 250, 10))
     return spark.createDataFrame(res, "k int, wcss double, silhouette double")
+
+
+_NMF_K, _NMF_DIM = 3, 64
+
+
+def _nmf_h0():
+    import numpy as np
+
+    c = np.arange(_NMF_K)[:, None]
+    j = np.arange(_NMF_DIM)[None, :]
+    return 1 + ((c * 7 + j) % 5) / 10.0
+
+
+@query("nmf_step", _sql(
+    """emb AS (SELECT vec_id AS id, abs(CAST(unnest(embedding) AS DOUBLE)) AS x,
+                      unnest(range(0, len(embedding))) AS j FROM embeddings)""",
+    f"w0 AS (SELECT id, c, CAST(1 + ((id + c) % 3) AS DOUBLE) AS w FROM (SELECT DISTINCT id FROM emb), range(0, {_NMF_K}) t(c))",
+    f"h0 AS (SELECT c, j, 1 + ((c * 7 + j) % 5) / 10.0 AS h FROM range(0, {_NMF_K}) a(c), range(0, {_NMF_DIM}) b(j))",
+    """wh AS (SELECT e.id, e.j, e.x, sum(w0.w * h0.h) AS wh FROM emb e JOIN w0 ON w0.id = e.id
+              JOIN h0 ON h0.c = w0.c AND h0.j = e.j GROUP BY e.id, e.j, e.x)""",
+    "num AS (SELECT wh.id, h0.c, sum(wh.x / wh.wh * h0.h) AS num FROM wh JOIN h0 ON h0.j = wh.j GROUP BY wh.id, h0.c)",
+    "hs AS (SELECT c, sum(h) AS hs FROM h0 GROUP BY c)",
+    body=f"""
+SELECT num.id, CAST(num.c AS INTEGER) AS topic, round(w0.w * num.num / hs.hs, {R}) AS w
+FROM num JOIN w0 ON w0.id = num.id AND w0.c = num.c JOIN hs ON hs.c = num.c"""))
+def q_nmf_step(spark, sf):
+    """H4 kernel check: one KL multiplicative W update on a data-derived
+    non-negative matrix (|embeddings|) with fixed starting factors."""
+    e = fx.embeddings(spark, sf)
+    rows = e.select(
+        "id",
+        F.sequence(F.lit(0), F.size("vector") - 1).alias("idx"),
+        F.transform("vector", lambda x: F.abs(x)).alias("val"),
+        F.array(*[(1 + (F.col("id") + c) % 3).cast("double") for c in range(_NMF_K)]).alias("w"),
+    )
+    out = tp.nmf_w_step(spark, rows, _nmf_h0())
+    return out.select("id", F.posexplode("w").alias("topic", "w")).select(
+        "id", F.col("topic").cast("int"), F.round("w", R).alias("w"))
