@@ -46,6 +46,7 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
+    ship_code(spark)
     return spark
 
 
@@ -61,3 +62,28 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+_SHIPPED: set[int] = set()
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Make this package importable on executors: zip it once and register
+    it with ``addPyFile`` (Spark's file server copies it to every executor).
+    Needed whenever functions of the package run in Python workers
+    (``applyInPandas``, ``mapPartitions``)."""
+    sc = spark.sparkContext
+    if id(sc) in _SHIPPED:
+        return
+    import zipfile
+
+    root = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="rostrum-code-"), "rostrum.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in os.walk(root):
+            for f in files:
+                if f.endswith(".py"):
+                    p = os.path.join(d, f)
+                    z.write(p, os.path.relpath(p, os.path.dirname(root)))
+    sc.addPyFile(out)
+    _SHIPPED.add(id(sc))
