@@ -347,27 +347,25 @@ def _wh(w, h, rows_nz, cols, chunk=200_000):
 
 
 def _update_block(block, h, hsum):
+    """One KL multiplicative update of a partition's W rows (with the current
+    H) and that partition's share of H's numerator (with the new W).  Rows are
+    taken as dense vocabulary-wide chunks so the products run in BLAS; only
+    the non-zeros of X enter the ratios X / (W H)."""
     ids, indptr, cols, data, w = block
-    n = len(ids)
-    rows_nz = np.repeat(np.arange(n), np.diff(indptr))
-    wh = _wh(w, h, rows_nz, cols)
-    wh[wh < EPS32] = EPS32
-    r = data / wh
-    num = np.zeros_like(w)
-    for s in range(0, len(cols), 200_000):
-        e = s + 200_000
-        np.add.at(num, rows_nz[s:e], (h[:, cols[s:e]] * r[s:e]).T)
+    k, n_terms = h.shape
+    w_new = np.empty_like(w)
+    hnum = np.zeros((n_terms, k))
     den = hsum.copy()
     den[den == 0] = EPS32
-    w = w * num / den
-    wh2 = _wh(w, h, rows_nz, cols)
-    wh2[wh2 < EPS32] = EPS32
-    r2 = data / wh2
-    hnum = np.zeros((h.shape[1], h.shape[0]))
-    for s in range(0, len(cols), 200_000):
-        e = s + 200_000
-        np.add.at(hnum, cols[s:e], w[rows_nz[s:e]] * r2[s:e, None])
-    return (ids, indptr, cols, data, w), hnum, w.sum(axis=0)
+    for r0, r1, d in _dense_chunks(block, n_terms):
+        nz = d != 0
+        wc = w[r0:r1]
+        r = np.where(nz, d / np.maximum(wc @ h, EPS32), 0.0)
+        wn = wc * (r @ h.T) / den
+        w_new[r0:r1] = wn
+        r2 = np.where(nz, d / np.maximum(wn @ h, EPS32), 0.0)
+        hnum += r2.T @ wn
+    return (ids, indptr, cols, data, w_new), hnum, w_new.sum(axis=0)
 
 
 def _kl_parts(block, h):
