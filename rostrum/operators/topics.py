@@ -35,14 +35,20 @@ EPS32 = float(np.finfo(np.float32).eps)
 EPS64 = float(np.finfo(np.float64).eps)
 
 
-def doc_rows(weights: DataFrame, vocab: DataFrame, key: str = "id") -> DataFrame:
+def doc_rows(weights: DataFrame, vocab: DataFrame, key: str = "id", all_ids: DataFrame | None = None) -> DataFrame:
     """(id, idx array<int>, val array<double>) sparse rows in term-id order.
     ``weights`` is already hash-partitioned by id (its normalisation window),
     so this aggregate adds no exchange; a row has at most vocabulary-size
-    entries."""
+    entries.  With ``all_ids``, documents without any vocabulary term are kept
+    as empty (all-zero) rows, as in the reference's matrix."""
     j = weights.join(F.broadcast(vocab.select("term", "term_id")), "term")
     g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("e"))
-    return g.select(F.col(key).alias("id"), F.col("e.term_id").alias("idx"), F.col("e.weight").alias("val"))
+    rows = g.select(F.col(key).alias("id"), F.col("e.term_id").alias("idx"), F.col("e.weight").alias("val"))
+    if all_ids is not None:
+        empty = all_ids.select(F.col(key).alias("id")).join(rows.select("id"), "id", "left_anti").select(
+            "id", F.array().cast("array<int>").alias("idx"), F.array().cast("array<double>").alias("val"))
+        rows = rows.unionByName(empty)
+    return rows
 
 
 @dataclass

@@ -166,7 +166,7 @@ def q_topic_report_lines(spark, sf):
 
 def _speech_rows(spark, sf):
     m = corpora.speech_model(spark, sf)
-    rows = tp.doc_rows(m.weights, m.vocab)
+    rows = tp.doc_rows(m.weights, m.vocab, all_ids=m.tokens)
     return m, rows, m.vocab.count()
 
 
