@@ -9,13 +9,10 @@ return the columns of ``documents``."""
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.llm import language_id, mixing, packing, simhash, toxicity
-from rostrum.llm.common import prepare, table, tokenizer_path
-from rostrum.session import ensure_checkpoint_dir
+from rostrum.llm.common import prepare, scratch, table, tokenizer_path
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -58,7 +55,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each stage's rows are written as Parquet
     in the shared checkpoint folder and read again by the next."""
     docs = table(spark, sf_dir, "documents")
-    base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    base = scratch(spark, "pipeline")
     for name, stage in STAGES[:-1]:
         stage(spark, docs, sf_dir).write.parquet(f"{base}/{name}")
         docs = spark.read.parquet(f"{base}/{name}")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from rostrum.session import ensure_checkpoint_dir, ship_code
 
 #: Rows of one Arrow batch handed to Python: bounds a worker's memory by this many texts.
 ARROW_ROWS = 500
+ARROW_BYTES = 32 << 20
 
 #: A word is a run of anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -22,6 +24,7 @@ def prepare(spark: SparkSession) -> SparkSession:
     ship_code(spark)
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     return spark
 
 
@@ -29,6 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
     """True where crc32 of the id's decimal text leaves ``remainder``; a null
     id counts as the empty text."""

@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from pyspark.sql import functions as F
 
-from rostrum.llm import language_id, mixing, packing, quality, simhash, toxicity
-from rostrum.llm.common import table, tokenizer_path
+from rostrum.llm import embed_dedup, language_id, licenses, minhash, mixing, packing, quality, simhash, toxicity, warc
+from rostrum.llm.common import scratch, table, tokenizer_path
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -24,6 +24,13 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query("op1_minhash")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = minhash.fingerprint_documents(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", "edited_sha256", minhash.digits(F.col("fp")).alias("fingerprint"),
+                      minhash.digits(F.col("edited_fp")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query("op2_toxicity")
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
@@ -74,6 +81,31 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id.identify(table(spark, sf_dir, "documents"))
 
 
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', CAST(1 + (d{g} // {1 << s}) % 32 AS INTEGER), 1)" for g in range(8) for s in (15, 10, 5, 0))
+_GROUPS = ", ".join(
+    "(" + " + ".join(f"(strpos('0123456789abcdef', substr(h, {5 * g + k + 1}, 1)) - 1) * {16 ** (4 - k)}" for k in range(5)) + f") AS d{g}"
+    for g in range(8))
+_OP5 = f"""
+WITH hashed AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS h FROM pages),
+grouped AS (SELECT page_id, n, h, max(page_id) OVER (PARTITION BY h) AS top, {_GROUPS} FROM hashed)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = top THEN NULL ELSE top END AS refers_to
+FROM grouped"""
+
+
+@query("op5_warc", _OP5)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = warc.archive_pages(table(spark, sf_dir, "pages"), scratch(spark, "warc"))
+    return out.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op6_embed_dedup")
+def op6_embed_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embed_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 @query("op7_packing")
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
@@ -83,3 +115,23 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = simhash.near_duplicates(table(spark, sf_dir, "documents"))
     return out.select("doc_id", simhash.hex_digits("fp").alias("fingerprint"), "component_id")
+
+
+def document_path():
+    """Documents as files of a tree: source, language, a directory for 1000 ids
+    and one for 50 in it.  The first id of each 50 names a licence file, in
+    turn of the directory itself, the one above, or the language's."""
+    shard = F.floor(F.col("doc_id") / 50)
+    first, turn = F.col("doc_id") % 50 == 0, shard % 3
+    upper = F.when(~first | (turn < 2), F.concat(F.lit("d"), F.floor(shard / 20)))
+    lower = F.when(~first | (turn == 0), shard.cast("string"))
+    name = F.when(first, "LICENSE").otherwise(F.concat("doc_id", F.lit(".txt")))
+    path = F.concat_ws("/", F.coalesce("source", F.lit("-")), F.coalesce("lang", F.lit("-")), upper, lower, name)
+    return F.when(F.col("doc_id").isNotNull(), path)
+
+
+@query("op10_licenses")
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = licenses.named_files(table(spark, sf_dir, "documents"), document_path())
+    out = licenses.scan(files)
+    return out.withColumn("licences", F.array_join("licences", ","))
