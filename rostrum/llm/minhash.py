@@ -4,8 +4,8 @@ A text's words (runs of anything but ASCII white space, lower-cased) give
 shingles of five words; a shorter text is one shingle.  Each shingle is hashed
 once; the top bits of the hash name one of ``BINS`` bins and each bin keeps its
 smallest hash.  Empty bins are filled by optimal densification (Shrivastava
-2017): an empty bin i tries the bins a_i + t * s_i (mod BINS, a_i and odd s_i
-hashed from i) for t = 1, 2, ... and copies the first that is not empty, so
+2017): an empty bin i tries the bins (t - a_i) * s_i (mod BINS, a_i and odd s_i
+hashed from i) for t = 0, 1, 2, ... and copies the first that is not empty, so
 two texts fill it alike with the probability of their likeness.  Of each bin's
 hash the lowest ``LOW`` bits are stored, packed into longs.  The share of equal
 bins overestimates the likeness by chance matches of the low bits; likeness()
@@ -17,6 +17,8 @@ another such text and 0 to all others.  Equal texts have equal fingerprints."""
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,6 +27,8 @@ BINS_LOG2 = 8
 BINS = 1 << BINS_LOG2
 LOW = 8
 SEED = 71
+#: Attempts of an empty bin that are looked up one by one; the rest is found at once.
+LOOKED_UP = 6
 _PER_LONG = 64 // LOW
 _MASK = (1 << LOW) - 1
 _SPACE = " \t\n\x0b\x0c\r"
@@ -59,22 +63,56 @@ def _firsts(s: Column) -> Column:
     return F.transform(kept, lambda x: F.shiftleft(_bin(x), LOW).bitwiseOR(x.bitwiseAND(F.lit(_MASK))))
 
 
-def _filled(firsts: Column) -> Column:
-    """Entries copied into the empty bins, as bin << LOW | low bits."""
+def _attempts() -> tuple[list[list[int]], list[int], list[int]]:
+    """For each bin i, from a hash of i: the bins of its first attempts, and the
+    a and b for which bin j is attempt (j * b + a) mod BINS."""
+    looked, shift, back = [[] for _ in range(LOOKED_UP)], [], []
+    for i in range(BINS):
+        h = int.from_bytes(hashlib.sha256(f"{SEED}:{i}".encode()).digest()[:8], "big")
+        a, step = h % BINS, (h >> 32) % BINS | 1
+        shift.append(a)
+        back.append(pow(step, -1, BINS))
+        for t in range(LOOKED_UP):
+            looked[t].append((t - a) * step % BINS)
+    return looked, shift, back
+
+
+def _dense(firsts: Column) -> Column:
+    """An entry for every bin, in order: bin << (LOW + 1) | low bits, with the
+    bit 1 << LOW in an empty one."""
     taken = F.transform(firsts, lambda e: F.shiftrightunsigned(e, LOW))
     empty = F.array_except(F.sequence(F.lit(0).cast("long"), F.lit(BINS - 1).cast("long")), taken)
-    probes = F.transform(empty, lambda i: F.struct(i.alias("i"), F.xxhash64(F.lit(SEED), i).alias("r")))
+    marks = F.transform(empty, lambda i: F.shiftleft(i, LOW + 1).bitwiseOR(F.lit(1 << LOW)))
+    there = F.transform(firsts, lambda e: e + F.shiftleft(F.shiftrightunsigned(e, LOW), LOW))
+    return F.sort_array(F.concat(there, marks))
+
+
+def _filled(firsts: Column, dense: Column) -> Column:
+    """The low bits of every bin.  An empty one looks up its first attempts;
+    where all of them are empty, the attempt of every bin that has a hash is
+    computed and the least wins."""
+    looked, shift, back = _attempts()
+
+    def constant(values):
+        return F.array(*map(F.lit, values))
+
+    looked, shift, back = [constant(v) for v in looked], constant(shift), constant(back)
+    empty = F.lit(1 << LOW)
 
-    def fill(p):
-        start, back = p["r"], F.shiftrightunsigned(p["r"], 32).bitwiseOR(F.lit(1).cast("long"))
+    def entry(e):
+        i = F.shiftrightunsigned(e, LOW + 1).cast("int")
 
-        def turn(e):  # t with start + t * step = bin of e, where back is the inverse of step
-            t = ((F.shiftrightunsigned(e, LOW) - start.bitwiseAND(F.lit(BINS - 1))) * back.bitwiseAND(F.lit(BINS - 1)))
-            return F.shiftleft(t.bitwiseAND(F.lit(BINS - 1)), LOW).bitwiseOR(e.bitwiseAND(F.lit(_MASK)))
+        def attempt(f):
+            t = (F.shiftrightunsigned(f, LOW) * F.get(back, i) + F.get(shift, i)).bitwiseAND(F.lit(BINS - 1))
+            return F.shiftleft(t, LOW).bitwiseOR(f.bitwiseAND(F.lit(_MASK)))
 
-        return F.shiftleft(p["i"], LOW).bitwiseOR(F.array_min(F.transform(firsts, turn)).bitwiseAND(F.lit(_MASK)))
+        out = F.when(e.bitwiseAND(empty) == 0, e)
+        for table in looked:
+            found = F.get(dense, F.get(table, i))
+            out = out.when(found.bitwiseAND(empty) == 0, found)
+        return out.otherwise(F.array_min(F.transform(firsts, attempt)))
 
-    return F.when(F.size(firsts) > 0, F.transform(probes, fill)).otherwise(F.array().cast("array<bigint>"))
+    return F.when(F.size(firsts) > 0, F.transform(dense, entry)).otherwise(F.array().cast("array<bigint>"))
 
 
 def _packed(entries: Column) -> Column:
@@ -95,7 +133,8 @@ def with_fingerprint(rows: DataFrame, text: str, out: str) -> DataFrame:
     step = rows.select(*rest, _hashes(F.col(text)).alias("_h"))
     step = step.select(*rest, _shingles(F.col("_h")).alias("_s"))
     step = step.select(*rest, _firsts(F.col("_s")).alias("_f"))
-    step = step.select(*rest, F.sort_array(F.concat(F.col("_f"), _filled(F.col("_f")))).alias("_e"))
+    step = step.select(*rest, "_f", _dense(F.col("_f")).alias("_d"))
+    step = step.select(*rest, _filled(F.col("_f"), F.col("_d")).alias("_e"))
     return step.select(*rest, _packed(F.col("_e")).alias(out))
 
 
