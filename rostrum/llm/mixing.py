@@ -79,20 +79,20 @@ def mix(documents: DataFrame) -> DataFrame:
     copy that is taken, and for the document that a source's cut divides one
     more with its first words (joined by single blanks).  Rows that repeat both
     id and text are one document here, taken as often as they are together."""
-    own = [c for c in documents.columns]
     mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
     share = taken(documents, keep={"_mark": mark}).groupBy("doc_id", "_mark").agg(
-        F.max("size").alias("_size"), F.sum("taken").alias("_taken")).where("_taken > 0")
-    share = share.select(F.col("doc_id").alias("_id"), F.col("_mark").alias("_its"), "_size", "_taken")
-    rows = documents.withColumn("_mark", mark).join(
-        share, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_mark") == F.col("_its")))
-    rows = rows.dropDuplicates(["_id", "_its"])
-    whole, rest = F.expr("cast(_taken div _size as int)"), F.expr("cast(_taken % _size as int)")
+        F.max("size").alias("size"), F.sum("taken").alias("taken")).where("taken > 0")
+    share = share.select(F.col("doc_id").alias("id"), F.col("_mark").alias("its"), "size", "taken")
+    # the document's columns travel as one, whatever their names
+    rows = documents.select(F.struct(*documents.columns).alias("doc"), mark.alias("mark")).join(
+        share, F.col("doc.doc_id").eqNullSafe(F.col("id")) & (F.col("mark") == F.col("its"))).dropDuplicates(["id", "its"])
+    whole, rest = F.expr("cast(taken div size as int)"), F.expr("cast(taken % size as int)")
     copies = F.concat(F.array_repeat(F.lit(0), whole), F.when(rest > 0, F.array(rest)).otherwise(F.expr("array()")))
-    rows = rows.withColumn("_words", F.explode(copies))
-    bare = F.btrim(F.col("text"), F.lit(_SPACE))
-    cut = F.array_join(F.slice(F.split(bare, rf"[{_SPACE}]+"), 1, F.greatest(F.col("_words"), F.lit(1))), " ")
-    rows = rows.withColumn("text", F.when(F.col("_words") > 0, cut).otherwise(F.col("text")))
-    if "n_chars" in own:
-        rows = rows.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return rows.select(*own)
+    rows = rows.select("doc", F.explode(copies).alias("words"))
+    bare = F.btrim(F.col("doc.text"), F.lit(_SPACE))
+    cut = F.array_join(F.slice(F.split(bare, rf"[{_SPACE}]+"), 1, F.greatest(F.col("words"), F.lit(1))), " ")
+    text = F.when(F.col("words") > 0, cut).otherwise(F.col("doc.text"))
+    new = {"text": text}
+    if "n_chars" in documents.columns:
+        new["n_chars"] = F.when(F.col("words") > 0, F.length(cut)).otherwise(F.col("doc.n_chars")).cast(documents.schema["n_chars"].dataType)
+    return rows.select(*(new.get(c, F.col("doc")[c]).alias(c) for c in documents.columns))

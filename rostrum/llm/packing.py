@@ -84,7 +84,7 @@ class WordTokens:
     distinct chunk and match is encoded once.  Texts with other characters are
     encoded as they are.  Both stores start anew when they have grown large."""
 
-    def __init__(self, path: str, most: int = 400_000):
+    def __init__(self, path: str, most: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -351,5 +351,8 @@ def keep_first(documents: DataFrame, shingle: int = SHINGLE, most: int = MAX_DIS
     """One document of each group, that with the smallest id (one row of it
     where rows repeat the id), with its own columns."""
     found = near_duplicates(documents, shingle, most)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_keep")).distinct()
-    return documents.join(keep, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates(["doc_id"])
+    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")).distinct()
+    # the document's columns travel as one, whatever their names
+    rows = documents.select(F.struct(*documents.columns).alias("doc"), F.col("doc_id").alias("id"))
+    rows = rows.join(keep, F.col("id").eqNullSafe(F.col("keep"))).dropDuplicates(["id"])
+    return rows.select(*(F.col("doc")[c].alias(c) for c in documents.columns))
