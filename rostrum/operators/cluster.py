@@ -18,8 +18,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 RANK_DIGITS = 9
-MAX_CENTRES = 100_000  # k above this would not be a bounded literal
-
 
 def normalize(vectors: DataFrame, col: str = "vector") -> DataFrame:
     """H6: rows scaled to unit L2 norm; zero rows stay zero.  The norm is its
@@ -66,9 +64,7 @@ def wcss(vectors: DataFrame, cluster: str = "cluster", col: str = "vector") -> D
 
 
 def _centre_literal(centres: DataFrame, cluster: str = "cluster"):
-    rows = centres.orderBy(cluster).limit(MAX_CENTRES + 1).collect()
-    if len(rows) > MAX_CENTRES:
-        raise ValueError("too many centres for a literal")
+    rows = centres.orderBy(cluster).collect()
     ids = [int(r[cluster]) for r in rows]
     lit = F.array(*[F.array(*[F.lit(float(x)) for x in r["centre"]]) for r in rows])
     return ids, lit

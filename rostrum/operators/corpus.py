@@ -9,22 +9,12 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest lookup table (rows) joined by broadcast; larger ones shuffle.
-MAX_BROADCAST_LOOKUP = 5_000_000
-
 CONSOLIDATION_KEYS = [
     "member_name", "parliamentary_period", "parliamentary_session", "parliamentary_sitting",
     "sitting_date", "political_party",
 ]
 
 
-def bounded_broadcast(small: DataFrame, max_rows: int = MAX_BROADCAST_LOOKUP) -> DataFrame:
-    """Broadcast ``small`` only after checking it has at most ``max_rows``
-    rows (a bounded count: ``limit(max_rows + 1)``); otherwise leave the join
-    strategy to the planner."""
-    return F.broadcast(small) if small.limit(max_rows + 1).count() <= max_rows else small
-
-
 def merge_speeches(speeches: DataFrame, keys: Iterable[str] = CONSOLIDATION_KEYS, order_col: str = "id",
                    text_col: str = "speech") -> DataFrame:
     """One row per member and sitting, its turns' texts joined by a space
@@ -59,9 +49,9 @@ def count_rows(df: DataFrame) -> DataFrame:
 
 
 def fetch_by_ids(df: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
-    """A4: rows whose id is in ``ids`` — a semi join (the id side is broadcast
-    when its size is checked to be bounded)."""
-    return df.join(bounded_broadcast(ids.select(key).distinct()), key, "left_semi")
+    """A4: rows whose id is in ``ids`` — a semi join without hint, so the planner
+    goes by the real size of the id side."""
+    return df.join(ids.select(key).distinct(), key, "left_semi")
 
 
 def drop_null_text(df: DataFrame, text_col: str = "merged_speech") -> DataFrame:
@@ -79,7 +69,7 @@ def stem_rows(rows: DataFrame, stems: DataFrame, token_col: str = "token") -> Da
     (token, stem) table on the lower-cased token; unknown tokens keep their
     lower-cased form; empty stems are dropped."""
     low = rows.withColumn("_low", F.lower(token_col))
-    st = bounded_broadcast(stems.select(F.col("token").alias("_low"), "stem"))
+    st = stems.select(F.col("token").alias("_low"), "stem")
     out = low.join(st, "_low", "left").withColumn("stem", F.coalesce("stem", "_low")).drop("_low")
     return out.filter(F.length("stem") > 0)
 
@@ -88,10 +78,10 @@ def standardize_party(df: DataFrame, mapping: Mapping[str, str] | DataFrame, par
                       out_col: str = "standard_party", default: str = "Other") -> DataFrame:
     """Canonical party by exact match of the lower-cased name; unknown or
     null -> ``default``.  A dict becomes a literal map (small), a DataFrame
-    (raw, canonical) is joined (broadcast under a checked bound)."""
+    (raw, canonical) is joined without hint."""
     low = F.lower(F.col(party_col))
     if isinstance(mapping, DataFrame):
-        m = bounded_broadcast(mapping.select(F.col("raw").alias("_raw"), F.col("canonical").alias("_canon")))
+        m = mapping.select(F.col("raw").alias("_raw"), F.col("canonical").alias("_canon"))
         j = df.withColumn("_raw", low).join(m, "_raw", "left")
         return j.withColumn(out_col, F.coalesce("_canon", F.lit(default))).drop("_raw", "_canon")
     lit_map = F.create_map(*[F.lit(x) for kv in sorted(mapping.items()) for x in kv])

@@ -18,9 +18,6 @@ from rostrum.functions import text as tx
 from rostrum.operators import tfidf
 
 RANK_DIGITS = 9
-# Largest query-postings table broadcast in batch search (rows).
-MAX_BROADCAST_QUERY_ROWS = 2_000_000
-
 RESULT_SCHEMA = (
     "rank int, id long, merged_speech string, member_name string, political_party string, score double, "
     "parliamentary_period string, parliamentary_session string, parliamentary_sitting string, sitting_date date"
@@ -109,17 +106,15 @@ def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, s
                  threshold: float = 0.1, top_k: int | None = None) -> DataFrame:
     """Many queries at once — (query_id, id, score, rank) for every match
     >= threshold, ranked per query.  Each query is reduced to its vocabulary
-    terms; the query side is broadcast only when its row count is checked to
-    be under ``MAX_BROADCAST_QUERY_ROWS``, else both sides shuffle on term
-    (AQE splits skewed terms)."""
+    terms; the join on term carries no hint: the planner broadcasts a small
+    query side by its real bytes, else both sides shuffle on term (AQE splits
+    skewed terms)."""
     q = queries.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
     qtok = tfidf.tokenize(q, "id", "text", stopwords, stems)
     qw = tfidf.transform(qtok, vocab, "id", max_features).select(
         F.col("id").alias("query_id"), "term", F.col("weight").alias("qweight")
     )
-    bounded = qw.limit(MAX_BROADCAST_QUERY_ROWS + 1).count() <= MAX_BROADCAST_QUERY_ROWS
-    side = F.broadcast(qw) if bounded else qw
-    j = doc_weights.join(side, "term")
+    j = doc_weights.join(qw, "term")
     sc = j.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
     sc = ranked(sc, threshold)
     w = Window.partitionBy("query_id").orderBy(*_order())

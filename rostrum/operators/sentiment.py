@@ -58,7 +58,7 @@ def speech_polarity(tokens: DataFrame, lexicon: DataFrame, keys: Iterable[str] =
     """mean lexicon polarity of each speech's tokens (repeats count),
     0 when none of its tokens is in the lexicon."""
     keys = list(keys)
-    lex = co.bounded_broadcast(lexicon.select(F.col("stem").alias("token"), "polarity"))
+    lex = lexicon.select(F.col("stem").alias("token"), "polarity")
     ex = tokens.select("id", *keys, F.explode_outer("tokens").alias("token"))
     j = ex.join(lex, "token", "left")
     return j.groupBy("id", *keys).agg(F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("polarity"))
@@ -78,7 +78,7 @@ def top_polar_words(tokens: DataFrame, lexicon: DataFrame, stopwords: Iterable[s
     """F3 (+B13): per party the ``top_n`` most frequent positive and negative
     lexicon words (stopwords skipped, zero polarity ignored); ties by word.
     (party, word, frequency, polarity)."""
-    lex = co.bounded_broadcast(lexicon.filter(F.col("polarity") != 0).select(F.col("stem").alias("word"), "polarity"))
+    lex = lexicon.filter(F.col("polarity") != 0).select(F.col("stem").alias("word"), "polarity")
     ex = tokens.select(F.col("standard_party").alias("party"), F.explode("tokens").alias("word"))
     stop = sorted(set(stopwords))
     if stop:

@@ -77,7 +77,8 @@ def lsi(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, method
     steps (Halko, Martinsson & Tropp 2011) — 2 * power_iters + 3 passes over
     the rows whatever k is.  ``arpack``: MLlib ``computeSVD`` (one pass per
     Lanczos step: exact to tolerance but hundreds of passes)."""
-    k = min(k, n_terms - 1)
+    if not 0 < k < n_terms:
+        raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
     if method == "arpack":
         return _lsi_arpack(spark, rows, n_terms, k, partitions)
     return randomized_svd(spark, rows, n_terms, k, oversample, power_iters, seed, partitions)
@@ -398,7 +399,8 @@ def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_it
     drop over 10 iterations relative to the start is below ``tol``."""
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
-    k = min(k, n_terms - 1)
+    if not 0 < k < n_terms:
+        raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
     svd = init or lsi(spark, rows, n_terms, k)
     w0, h = _nndsvda(spark, rows, n_terms, k, svd)
     joined = rows.join(w0, "id").select("id", "idx", "val", "w")

@@ -108,42 +108,42 @@ _LEX_CTES = [
 ]
 
 
-def _forms(spark):
-    return lx.average_polarity(lx.expand_forms(lx.clean_terms(fx.lexicon_rows(spark))))
+def _forms(spark, sf):
+    return lx.average_polarity(lx.expand_forms(lx.clean_terms(fx.lexicon_rows(spark, sf))))
 
 
 @query("lexicon_clean", _sql(*_LEX_CTES, body="SELECT pos, term, cleaned FROM lclean"))
 def q_lexicon_clean(spark, sf):
-    return lx.clean_terms(fx.lexicon_rows(spark)).select("pos", "term", "cleaned")
+    return lx.clean_terms(fx.lexicon_rows(spark, sf)).select("pos", "term", "cleaned")
 
 
 @query("lexicon_expand", _sql(*_LEX_CTES, body="""
 SELECT form, grp, fpos, idx, polarity1, polarity2, polarity3, polarity4 FROM lforms"""))
 def q_lexicon_expand(spark, sf):
-    return lx.expand_forms(lx.clean_terms(fx.lexicon_rows(spark)))
+    return lx.expand_forms(lx.clean_terms(fx.lexicon_rows(spark, sf)))
 
 
 @query("lexicon_polarity", _sql(*_LEX_CTES, body="SELECT form, polarity FROM lpol"))
 def q_lexicon_polarity(spark, sf):
-    return _forms(spark).select("form", "polarity")
+    return _forms(spark, sf).select("form", "polarity")
 
 
 @query("lexicon_stemmed", _sql(*_LEX_CTES, body=f"SELECT stem, round(polarity, {R}) AS polarity FROM lexicon"))
 def q_lexicon_stemmed(spark, sf):
-    lex = lx.merge_stems(lx.stem_forms(_forms(spark), fx.FIX_STOPWORDS, fx.FIX_STEMS))
+    lex = lx.merge_stems(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS))
     return lex.select("stem", F.round("polarity", R).alias("polarity"))
 
 
 @query("lexicon_rejects", _sql(*_LEX_CTES, body="SELECT form FROM lstem WHERE length(stem) = 0"))
 def q_lexicon_rejects(spark, sf):
-    return lx.rejects(lx.stem_forms(_forms(spark), fx.FIX_STOPWORDS, fx.FIX_STEMS))
+    return lx.rejects(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS))
 
 
 # ------------------------------------------------------------------ F1-F3
 
 _SEL = ", ".join(f"'{p}'" for p in fx.FIX_SELECTED_PARTIES)
 _SENT_CTES = [
-    fx.sql_merged(), fx.SQL_SENTIMENT_SPEECHES, fx.sql_party_map(), fx.sql_stems(), *_LEX_CTES,
+    fx.sql_merged(), fx.SQL_DATED_SPEECHES, fx.sql_party_map(), fx.sql_stems(), *_LEX_CTES,
     """std AS (SELECT s.*, coalesce(p.canonical, 'Other') AS standard_party
   FROM sent s LEFT JOIN partymap p ON p.raw = lower(s.political_party))""",
     f"""ssel AS (
@@ -159,8 +159,8 @@ _SENT_CTES = [
 
 
 def _sent_tokens(spark, sf):
-    lex = lx.prepare(fx.lexicon_rows(spark), fx.FIX_STOPWORDS, fx.FIX_STEMS)
-    toks = st.party_speech_tokens(fx.sentiment_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
+    lex = lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    toks = st.party_speech_tokens(fx.dated_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
                                   fx.FIX_STOPWORDS, fx.FIX_STEMS)
     return toks, lex
 

@@ -21,7 +21,7 @@ def _memo(key: tuple, build):
 def speech_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     """Speech-level TF-IDF over the ``merged_speeches`` stand-in."""
     return _memo(
-        ("speech", id(spark), sf_dir),
+        ("speech", spark.sparkContext.applicationId, sf_dir),
         lambda: tfidf.fit(fx.merged_speeches(spark, sf_dir), stopwords=fx.FIX_STOPWORDS, stems=fx.FIX_STEMS),
     )
 
@@ -29,7 +29,7 @@ def speech_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
 def member_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     """Member-level TF-IDF (one document per member) over the 80-member view."""
     return _memo(
-        ("member", id(spark), sf_dir),
+        ("member", spark.sparkContext.applicationId, sf_dir),
         lambda: tfidf.fit_groups(
             fx.merged_speeches(spark, sf_dir, member="source_lang"),
             stopwords=fx.FIX_STOPWORDS,

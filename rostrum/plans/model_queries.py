@@ -171,7 +171,7 @@ def _speech_rows(spark, sf):
 
 
 def _lsi(spark, sf, k=100):
-    key = ("lsi", id(spark), sf, k)
+    key = ("lsi", spark.sparkContext.applicationId, sf, k)
     if key not in corpora._MEMO:
         m, rows, nt = _speech_rows(spark, sf)
         corpora._MEMO[key] = (m, rows, nt, tp.lsi(spark, rows, nt, k))
@@ -179,7 +179,7 @@ def _lsi(spark, sf, k=100):
 
 
 def _nmf(spark, sf, k=100):
-    key = ("nmf", id(spark), sf, k)
+    key = ("nmf", spark.sparkContext.applicationId, sf, k)
     if key not in corpora._MEMO:
         m, rows, nt, svd = _lsi(spark, sf, k)
         corpora._MEMO[key] = (m, tp.nmf(spark, rows, nt, k, init=svd))

@@ -58,13 +58,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     path = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="rostrum-ckpt-")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
 
 
-_SHIPPED: set[int] = set()
+_SHIPPED: set[str] = set()
 
 
 def ship_code(spark: SparkSession) -> None:
@@ -73,7 +75,7 @@ def ship_code(spark: SparkSession) -> None:
     Needed whenever functions of the package run in Python workers
     (``applyInPandas``, ``mapPartitions``)."""
     sc = spark.sparkContext
-    if id(sc) in _SHIPPED:
+    if sc.applicationId in _SHIPPED:
         return
     import zipfile
 
@@ -86,4 +88,4 @@ def ship_code(spark: SparkSession) -> None:
                     p = os.path.join(d, f)
                     z.write(p, os.path.relpath(p, os.path.dirname(root)))
     sc.addPyFile(out)
-    _SHIPPED.add(id(sc))
+    _SHIPPED.add(sc.applicationId)

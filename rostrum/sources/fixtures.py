@@ -27,35 +27,6 @@ FIX_STEMS = {
     "with": "w", "from": "fr", "for": "f", "es": "est",
 }
 FIX_BLOCKLIST = ["be", "th", "it", "on", "as"]
-# (position, Term, polarity of annotators 1..4); '' is a missing value.
-FIX_LEXICON = [
-    (1, "good", "POS", "POS", "POS", "N/A"),
-    (2, "bad", "NEG", "NEG", "BOTH", "NEG"),
-    (3, "it", "POS", "NEG", "BOTH", "N/A"),
-    (4, "for", "POS", "POS", "POS", "POS"),
-    (5, "on", "NEG", "N/A", "NEG", "BOTH"),
-    (6, "is", "POS", "POS", "N/A", "N/A"),
-    (7, "are", "NEG", "NEG", "NEG", "NEG"),
-    (8, "was", "POS", "POS", "POS", "BOTH"),
-    (9, "en", "BOTH", "BOTH", "N/A", "POS"),
-    (10, "que", "NEG", "NEG", "NEG", "NEG"),
-    (11, "von", "POS", "NEG", "NEG", "NEG"),
-    (12, "By", "NEG", "POS", "POS", "POS"),
-    (13, "es", "N/A", "NEG", "NEG", ""),
-    (14, "at", "POS", "POS", "NEG", "N/A"),
-    (15, "Good -ness -ly", "POS", "POS", "N/A", "N/A"),
-    (16, "this,that,those", "NEG", "POS", "NEG", "NEG"),
-    (17, "bad", "NEG", "NEG", "NEG", "NEG"),
-    (18, "it,its", "POS", "POS", "POS", "NEG"),
-    (19, "well-known", "POS", "POS", "POS", "POS"),
-    (20, "top10", "POS", "N/A", "N/A", "N/A"),
-    (21, "an", "POS", "POS", "POS", "POS"),
-    (22, "als", "NEG", "NEG", "POS", "BOTH"),
-    (23, "sur", "POS", "BOTH", "BOTH", "BOTH"),
-    (24, "he", "NEG", "NEG", "N/A", "N/A"),
-    (25, "or", "BOTH", "NEG", "NEG", "NEG"),
-    (26, "ha", "POS", "POS", "POS", "N/A"),
-]
 FIX_PARTY_MAP = {"en": "Party A", "fr": "Party B", "de": "Party B"}
 FIX_SELECTED_PARTIES = ["Party A", "Party B"]
 FIX_SEARCH_QUERY = "Thnt eringing onheed treasury anntly whst ndble"
@@ -116,6 +87,16 @@ def sentiment_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def dated_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All speeches with their dates as strings (sentiment path)."""
+    m = merged_speeches(spark, sf_dir)
+    return m.select("id", "political_party", F.col("sitting_date").cast("string").alias("sitting_date"), "merged_speech")
+
+
+SQL_DATED_SPEECHES = """sent AS (
+  SELECT id, political_party, CAST(sitting_date AS VARCHAR) AS sitting_date, merged_speech FROM merged)"""
+
+
 def raw_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw turn-level ``speeches`` stand-in over ``conversations``."""
     c = table(spark, sf_dir, "conversations")
@@ -137,8 +118,25 @@ def search_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("query_id"), F.col("text").alias("query"))
 
 
-def lexicon_rows(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(FIX_LEXICON, LEXICON_SCHEMA)
+def lexicon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A lexicon with a row for every labelled document: its first words are
+    the term (alone, with endings, as a comma list, lower-cased; common words
+    repeat), its labels and id give the annotators' polarities."""
+    d, lab = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    k = F.col("doc_id")
+    words = F.regexp_extract_all("text", F.lit(r"\p{L}+"), 0)
+    rows = d.join(lab, "doc_id").select("doc_id", "quality", "toxic", F.get(words, 0).alias("w1"),
+                                        F.coalesce(F.get(words, 1), F.get(words, 0)).alias("w2")).where("w1 is not null")
+    ending = F.concat(F.lit(" -"), F.substring("w2", 1, 2), F.lit(" -ly"))
+    term = F.when(k % 4 == 0, F.col("w1")).when(k % 4 == 1, F.concat("w1", ending)) \
+        .when(k % 4 == 2, F.concat("w1", F.lit(","), "w2")).otherwise(F.lower("w2"))
+    verdict = F.when(F.col("toxic") == 1, "NEG").when(F.col("quality") == 1, "POS").otherwise("N/A")
+    return rows.select(
+        (k + 1).alias("pos"), term.alias("term"), verdict.alias("polarity1"),
+        F.when(k % 3 == 0, "NEG").otherwise(verdict).alias("polarity2"),
+        F.when(k % 5 == 0, "BOTH").otherwise("POS").alias("polarity3"),
+        F.when(k % 7 == 0, "").when(k % 2 == 0, "NEG").otherwise("POS").alias("polarity4"))
+
 
 
 def party_map(spark: SparkSession) -> DataFrame:
@@ -205,10 +203,20 @@ def sql_stopwords() -> str:
 
 
 def sql_lexicon() -> str:
-    rows = ", ".join(
-        "(" + ", ".join([str(r[0])] + [_sql_list([x]) for x in r[1:]]) + ")" for r in FIX_LEXICON
-    )
-    return f"lexrows(pos, term, polarity1, polarity2, polarity3, polarity4) AS (VALUES {rows})"
+    return """lexwords AS (
+  SELECT d.doc_id, quality, toxic, regexp_extract_all(text, '\\p{L}+') AS w
+  FROM documents d JOIN labels l ON l.doc_id = d.doc_id),
+lexpairs AS (SELECT *, w[1] AS w1, coalesce(w[2], w[1]) AS w2,
+  CASE WHEN toxic = 1 THEN 'NEG' WHEN quality = 1 THEN 'POS' ELSE 'N/A' END AS verdict FROM lexwords),
+lexrows AS (
+  SELECT doc_id + 1 AS pos,
+         CASE doc_id % 4 WHEN 0 THEN w1 WHEN 1 THEN w1 || ' -' || substr(w2, 1, 2) || ' -ly'
+              WHEN 2 THEN w1 || ',' || w2 ELSE lower(w2) END AS term,
+         verdict AS polarity1, CASE WHEN doc_id % 3 = 0 THEN 'NEG' ELSE verdict END AS polarity2,
+         CASE WHEN doc_id % 5 = 0 THEN 'BOTH' ELSE 'POS' END AS polarity3,
+         CASE WHEN doc_id % 7 = 0 THEN '' WHEN doc_id % 2 = 0 THEN 'NEG' ELSE 'POS' END AS polarity4
+  FROM lexpairs WHERE w1 IS NOT NULL)"""
+
 
 
 def sql_party_map() -> str:
