@@ -30,10 +30,6 @@ LEXICON_DROP_PATTERN = None
 PY_SPACE = r"[\s\x{0b}\x{1c}-\x{1f}\x{85}\p{Z}]"
 STRIP_PATTERN = f"^{PY_SPACE}+|{PY_SPACE}+$"
 
-# A literal map lookup scans its keys, so dictionaries larger than this go
-# through a broadcast join on exploded rows instead (see operators.corpus).
-MAX_LITERAL_STEMS = 512
-
 
 def _col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
@@ -69,13 +65,12 @@ def keep_tokens(tokens: Column, stopwords: Iterable[str] = (), min_len: int = 2)
 
 def stem_tokens(tokens: Column, stems: Mapping[str, str] | None = None, suffix_rule: str | None = None) -> Column:
     """Lower-case each token, replace it by its dictionary stem when the
-    dictionary has one (else apply the optional suffix rule), drop empties."""
+    dictionary has one (else apply the optional suffix rule), drop empties.
+
+    A mapping becomes a literal map, which is scanned once per token: it suits
+    a short list of exceptions.  A real dictionary is a (token, stem) table
+    and goes through ``operators.corpus.stem_arrays``."""
     stems = dict(stems or {})
-    if len(stems) > MAX_LITERAL_STEMS:
-        raise ValueError(
-            f"{len(stems)} stems: use operators.corpus.stem_rows (broadcast join) for dictionaries "
-            f"larger than {MAX_LITERAL_STEMS}"
-        )
     lookup = F.create_map(*[F.lit(x) for kv in sorted(stems.items()) for x in kv]) if stems else None
 
     def stem(t: Column) -> Column:
@@ -93,7 +88,13 @@ def normalize(
     drop_pattern: str | None = SPEECH_DROP_PATTERN,
     suffix_rule: str | None = None,
 ) -> Column:
-    """C1-C3 as one expression: text -> array of stems (null text -> null).
+    """C1-C3 as one expression: text -> array of stems (null text -> null)."""
+    return stem_tokens(kept_tokens(text, stopwords, drop_pattern), stems, suffix_rule)
+
+
+def kept_tokens(text: str | Column, stopwords: Iterable[str] = (),
+                drop_pattern: str | None = SPEECH_DROP_PATTERN) -> Column:
+    """C1-C2 as one expression: text -> tokens before stemming.
 
     The characters deleted inside tokens are token characters themselves
     (never separators), so deleting them from the whole text first gives the
@@ -101,7 +102,7 @@ def normalize(
     t = _col(text)
     if drop_pattern:
         t = F.regexp_replace(t, F.lit(drop_pattern), F.lit(""))
-    return stem_tokens(keep_tokens(raw_tokens(t), stopwords), stems, suffix_rule)
+    return keep_tokens(raw_tokens(t), stopwords)
 
 
 def joined(tokens: Column) -> Column:
@@ -136,6 +137,29 @@ def with_term_counts(df: DataFrame, tokens: str = "tokens", out: str = "terms",
     return s.select(*keep, counts.alias(out))
 
 
+def token_positions(tokens: str | Column) -> Column:
+    """The distinct tokens of a row, lower-cased, with the places of each:
+    ``array<struct<token string, at array<int>>>``, in token order."""
+    placed = F.sort_array(F.transform(_col(tokens), lambda t, i: F.struct(F.lower(t).alias("token"), i.alias("i"))))
+    # A one-element array binds the sorted array to a lambda variable, so that it is evaluated once.
+    return F.get(F.transform(F.array(placed), _runs), 0)
+
+
+def _runs(s: Column) -> Column:
+    n = F.size(s)
+    starts = F.when(
+        n > 0,
+        F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i)["token"] != F.get(s, i - 1)["token"])),
+    ).otherwise(F.array().cast("array<int>"))
+    return F.get(F.transform(F.array(starts), lambda st: F.transform(
+        st,
+        lambda p, j: F.struct(
+            F.get(s, p)["token"].alias("token"),
+            F.transform(F.slice(s, p + 1, F.coalesce(F.get(st, j + 1), n) - p), lambda x: x["i"]).alias("at"),
+        ),
+    )), 0)
+
+
 # ---------------------------------------------------------------- scalars (B)
 
 

@@ -12,12 +12,14 @@ reference's dictionaries: single terms keep the position of their first row
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
+from rostrum.operators import corpus as co
+from rostrum.operators.tfidf import Stems
 
 POLARITY_COLS = ["polarity1", "polarity2", "polarity3", "polarity4"]
 # Annotator labels and their scores; anything else scores 0.
@@ -99,9 +101,13 @@ def average_polarity(forms: DataFrame) -> DataFrame:
     return forms.withColumn("polarity", total / F.lit(4.0))
 
 
-def stem_forms(forms: DataFrame, stopwords: Iterable[str] = (), stems: Mapping[str, str] | None = None) -> DataFrame:
+def stem_forms(forms: DataFrame, stopwords: Iterable[str] = (), stems: Stems = None) -> DataFrame:
     """F7 first half: each form normalised like speech text (lexicon variant:
     punctuation removed, digits kept) and its stems joined by spaces."""
+    if isinstance(stems, DataFrame):
+        kept = forms.withColumn("_t", tx.kept_tokens("form", stopwords, tx.LEXICON_DROP_PATTERN))
+        out = co.stem_arrays(kept, stems, key=["form"], tokens_col="_t")
+        return out.withColumn("stem", F.array_join("_t", " ")).drop("_t")
     toks = tx.normalize("form", stopwords, stems, drop_pattern=tx.LEXICON_DROP_PATTERN)
     return forms.withColumn("stem", F.array_join(toks, " "))
 
@@ -125,14 +131,7 @@ def rejects(stemmed: DataFrame) -> DataFrame:
     return stemmed.filter(F.length("stem") == 0).select("form")
 
 
-def prepare(rows: DataFrame, stopwords: Iterable[str] = (), stems: Mapping[str, str] | None = None) -> DataFrame:
+def prepare(rows: DataFrame, stopwords: Iterable[str] = (), stems: Stems = None) -> DataFrame:
     """Raw lexicon rows -> (stem, polarity)."""
     forms = average_polarity(expand_forms(clean_terms(rows)))
     return merge_stems(stem_forms(forms, stopwords, stems))
-
-
-def entry_rank(forms: DataFrame) -> DataFrame:
-    """Dense entry number from the order key (a window over the lexicon's
-    forms only — a bounded, small table)."""
-    w = Window.orderBy("grp", "fpos", "idx")
-    return forms.withColumn("entry", F.row_number().over(w))

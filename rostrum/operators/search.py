@@ -9,7 +9,7 @@ for batches the broadcast is used only under a checked row bound.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ RESULT_SCHEMA = (
 
 
 def query_weights(spark: SparkSession, query: str, vocab: DataFrame, stopwords: Iterable[str] = (),
-                  stems: Mapping[str, str] | None = None, max_features: int | None = 10_000) -> DataFrame:
+                  stems: tfidf.Stems = None, max_features: int | None = 10_000) -> DataFrame:
     """C7 + D8: the normalised query as (term, qweight) over the vocabulary."""
     q = spark.createDataFrame([(0, query)], "id long, text string")
     tok = tfidf.tokenize(q, "id", "text", stopwords, stems)
@@ -91,7 +91,7 @@ def with_details(pg: DataFrame, details: DataFrame, excerpt_len: int = 20) -> Da
 
 def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: DataFrame, page_no: int = 1,
            per_page: int = 10, threshold: float = 0.1, stopwords: Iterable[str] = (),
-           stems: Mapping[str, str] | None = None) -> DataFrame:
+           stems: tfidf.Stems = None) -> DataFrame:
     """G5 + G6: the full search endpoint.  An empty query returns no rows;
     a query with no vocabulary term matches nothing."""
     if not query:
@@ -102,7 +102,7 @@ def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: Da
 
 
 def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, stopwords: Iterable[str] = (),
-                 stems: Mapping[str, str] | None = None, max_features: int | None = 10_000,
+                 stems: tfidf.Stems = None, max_features: int | None = 10_000,
                  threshold: float = 0.1, top_k: int | None = None) -> DataFrame:
     """Many queries at once — (query_id, id, score, rank) for every match
     >= threshold, ranked per query.  Each query is reduced to its vocabulary

@@ -1,8 +1,7 @@
 """Lexicon sentiment per speech, party and year (inventory F1-F3, with B4,
 B9, B10).
 
-Speech tokens are exploded and joined with the stemmed lexicon (broadcast
-after a bounded size check); the per-speech mean is an aggregate whose
+Speech tokens are exploded and joined with the stemmed lexicon (no hint); the per-speech mean is an aggregate whose
 partial step collapses each speech inside its own task, so one row per
 speech is shuffled.  Word counts per party are (party, word) aggregates,
 never per-party collections, so a party holding a third of the corpus costs
@@ -11,7 +10,7 @@ no more than any other key.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -43,7 +42,7 @@ GREEK_SELECTED_PARTIES = [
 
 
 def party_speech_tokens(speeches: DataFrame, party_map, parties: Iterable[str], stopwords: Iterable[str] = (),
-                        stems: Mapping[str, str] | None = None) -> DataFrame:
+                        stems: tfidf.Stems = None) -> DataFrame:
     """Speeches of the selected parties with a valid year, as (id,
     standard_party, year, tokens).  Null text counts as empty (B2)."""
     tok = tfidf.tokenize(speeches, "id", "merged_speech", stopwords, stems, drop_null=False,

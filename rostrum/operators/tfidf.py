@@ -30,7 +30,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
-from rostrum.sources.layout import spread
+from rostrum.operators import corpus as co
+
+#: Stem dictionary: a short mapping or a (token, stem) table.
+Stems = Mapping[str, str] | DataFrame | None
 
 # Largest vocabulary we broadcast (rows); max_features of the reference is 10,000.
 MAX_BROADCAST_VOCAB = 2_000_000
@@ -41,7 +44,7 @@ def tokenize(
     id_col: str = "id",
     text_col: str = "merged_speech",
     stopwords: Iterable[str] = (),
-    stems: Mapping[str, str] | None = None,
+    stems: Stems = None,
     drop_null: bool = True,
     suffix_rule: str | None = None,
     carry: Iterable[str] = (),
@@ -49,13 +52,17 @@ def tokenize(
     """(id, *carry, tokens) per document.  ``drop_null`` follows the
     speech TF-IDF path (B1, rows without text are removed); otherwise null
     text counts as an empty document (B2).  ``carry`` keeps small metadata
-    columns beside the tokens so later steps need no join back."""
+    columns beside the tokens so later steps need no join back.  ``stems`` is a
+    mapping (row-local) or a (token, stem) table (joined; ids must be unique)."""
     carry = list(carry)
-    src = spread(docs.select(F.col(id_col).alias("id"), *carry, F.col(text_col).alias("text")))
+    src = docs.select(F.col(id_col).alias("id"), *carry, F.col(text_col).alias("text"))
     if drop_null:
         src = src.dropna(subset=["text"])
     else:
         src = src.withColumn("text", F.coalesce("text", F.lit("")))
+    if isinstance(stems, DataFrame):
+        kept = src.select("id", *carry, tx.kept_tokens("text", stopwords).alias("tokens"))
+        return co.stem_arrays(kept, stems, suffix_rule=suffix_rule)
     norm = tx.normalize("text", stopwords, stems, suffix_rule=suffix_rule).alias("tokens")
     return src.select("id", *carry, norm)
 
@@ -129,7 +136,7 @@ def fit(
     id_col: str = "id",
     text_col: str = "merged_speech",
     stopwords: Iterable[str] = (),
-    stems: Mapping[str, str] | None = None,
+    stems: Stems = None,
     max_features: int | None = 10_000,
     persist: bool = True,
 ) -> TfidfModel:
@@ -169,7 +176,7 @@ def fit_groups(
     group_col: str = "member_name",
     text_col: str = "merged_speech",
     stopwords: Iterable[str] = (),
-    stems: Mapping[str, str] | None = None,
+    stems: Stems = None,
     max_features: int | None = 10_000,
 ) -> TfidfModel:
     """TF-IDF with one document per group (member TF-IDF): n counts the

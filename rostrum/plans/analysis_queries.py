@@ -62,18 +62,15 @@ def q_top_member_pairs(spark, sf):
 # ------------------------------------------------------------------ F4-F8
 
 
-def _duck_terms(expr: str, drop_digits: bool) -> str:
-    stems = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in sorted(fx.FIX_STEMS.items()))
+def _duck_terms(expr: str) -> str:
     toks = f"regexp_extract_all({expr}, '{sp.TOKEN_RE}')"
-    if drop_digits:
-        toks = f"list_transform({toks}, lambda x: regexp_replace(x, '[0-9_]', '', 'g'))"
     kept = f"list_filter({toks}, lambda x: length(x) >= 2 AND lower(x) NOT IN ({fx.sql_stopwords()}))"
-    stemmed = f"list_transform({kept}, lambda x: CASE lower(x) {stems} ELSE lower(x) END)"
-    return f"list_filter({stemmed}, lambda x: length(x) > 0)"
+    return f"list_transform({kept}, lambda x: lower(x))"
 
 
 _W1 = "string_split(lower(term), ' ')[1]"
 _LEX_CTES = [
+    fx.sql_stems(),
     fx.sql_lexicon(),
     f"""lclean AS (
   SELECT pos, term, polarity1, polarity2, polarity3, polarity4,
@@ -101,7 +98,13 @@ _LEX_CTES = [
     "lpol AS (SELECT *, (" + " + ".join(
         f"(CASE {c} WHEN 'POS' THEN 1 WHEN 'NEG' THEN -1 ELSE 0 END)" for c in lx.POLARITY_COLS)
     + ") / 4.0 AS polarity FROM lforms)",
-    f"lstem AS (SELECT *, array_to_string({_duck_terms('form', False)}, ' ') AS stem FROM lpol)",
+    f"""lftok AS (
+  SELECT form, unnest(kept) AS tok, unnest(range(0, len(kept))) AS i
+  FROM (SELECT form, {_duck_terms('form')} AS kept FROM lpol))""",
+    """lfstem AS (
+  SELECT form, string_agg(coalesce(sd.stem, tok), ' ' ORDER BY i) AS stem
+  FROM lftok LEFT JOIN stemdict sd ON sd.token = tok WHERE length(coalesce(sd.stem, tok)) > 0 GROUP BY form)""",
+    "lstem AS (SELECT lpol.*, coalesce(f.stem, '') AS stem FROM lpol LEFT JOIN lfstem f ON f.form = lpol.form)",
     """lexicon AS (
   SELECT stem, list_reduce(list(polarity ORDER BY grp, fpos, idx), lambda a, b: (a + b) / 2) AS polarity
   FROM lstem WHERE length(stem) > 0 GROUP BY stem)""",
@@ -130,20 +133,20 @@ def q_lexicon_polarity(spark, sf):
 
 @query("lexicon_stemmed", _sql(*_LEX_CTES, body=f"SELECT stem, round(polarity, {R}) AS polarity FROM lexicon"))
 def q_lexicon_stemmed(spark, sf):
-    lex = lx.merge_stems(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS))
+    lex = lx.merge_stems(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf)))
     return lex.select("stem", F.round("polarity", R).alias("polarity"))
 
 
 @query("lexicon_rejects", _sql(*_LEX_CTES, body="SELECT form FROM lstem WHERE length(stem) = 0"))
 def q_lexicon_rejects(spark, sf):
-    return lx.rejects(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS))
+    return lx.rejects(lx.stem_forms(_forms(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf)))
 
 
 # ------------------------------------------------------------------ F1-F3
 
 _SEL = ", ".join(f"'{p}'" for p in fx.FIX_SELECTED_PARTIES)
 _SENT_CTES = [
-    fx.sql_merged(), fx.SQL_DATED_SPEECHES, fx.sql_party_map(), fx.sql_stems(), *_LEX_CTES,
+    fx.sql_merged(), fx.SQL_DATED_SPEECHES, fx.sql_party_map(), *_LEX_CTES,
     """std AS (SELECT s.*, coalesce(p.canonical, 'Other') AS standard_party
   FROM sent s LEFT JOIN partymap p ON p.raw = lower(s.political_party))""",
     f"""ssel AS (
@@ -159,9 +162,9 @@ _SENT_CTES = [
 
 
 def _sent_tokens(spark, sf):
-    lex = lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    lex = lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     toks = st.party_speech_tokens(fx.dated_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
-                                  fx.FIX_STOPWORDS, fx.FIX_STEMS)
+                                  fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return toks, lex
 
 

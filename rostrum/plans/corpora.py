@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from rostrum.operators import keywords as kw
 from rostrum.operators import tfidf
 from rostrum.sources import fixtures as fx
+from rostrum.sources.layout import spread
 
 _MEMO: dict[tuple, object] = {}
 
@@ -18,11 +19,17 @@ def _memo(key: tuple, build):
     return _MEMO[key]
 
 
+def stems(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stem dictionary of the fixture corpus."""
+    return _memo(("stems", spark.sparkContext.applicationId, sf_dir), lambda: fx.stem_table(spark, sf_dir).persist())
+
+
 def speech_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     """Speech-level TF-IDF over the ``merged_speeches`` stand-in."""
     return _memo(
         ("speech", spark.sparkContext.applicationId, sf_dir),
-        lambda: tfidf.fit(fx.merged_speeches(spark, sf_dir), stopwords=fx.FIX_STOPWORDS, stems=fx.FIX_STEMS),
+        lambda: tfidf.fit(spread(fx.merged_speeches(spark, sf_dir)), stopwords=fx.FIX_STOPWORDS,
+                          stems=stems(spark, sf_dir)),
     )
 
 
@@ -31,9 +38,9 @@ def member_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     return _memo(
         ("member", spark.sparkContext.applicationId, sf_dir),
         lambda: tfidf.fit_groups(
-            fx.merged_speeches(spark, sf_dir, member="source_lang"),
+            spread(fx.merged_speeches(spark, sf_dir, member="source_lang")),
             stopwords=fx.FIX_STOPWORDS,
-            stems=fx.FIX_STEMS,
+            stems=stems(spark, sf_dir),
         ),
     )
 

@@ -48,7 +48,7 @@ def _page_query(spark, sf):
 @query("search_scores", _sql(*_SHORT, body=f"SELECT id, round(score, {R}) AS score FROM sc"))
 def q_search_scores(spark, sf):
     m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, fx.FIX_SEARCH_QUERY, m.vocab, fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    qw = se.query_weights(spark, fx.FIX_SEARCH_QUERY, m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return se.scores(m.weights, qw).select("id", F.round("score", R).alias("score"))
 
 
@@ -56,13 +56,13 @@ def q_search_scores(spark, sf):
 SELECT id, round(score, {R}) AS score FROM psc WHERE round(score, 9) >= 0.1"""))
 def q_search_ranked(spark, sf):
     m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return se.ranked(se.scores(m.weights, qw)).select("id", F.round("score", R).alias("score"))
 
 
 def _long_matches(spark, sf):
     m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return se.ranked(se.scores(m.weights, qw))
 
 
@@ -99,7 +99,7 @@ WHERE p.rank <= 10"""))
 def q_search(spark, sf):
     m = corpora.speech_model(spark, sf)
     out = se.search(spark, fx.FIX_SEARCH_QUERY, m, fx.merged_speeches(spark, sf), 1, 10, 0.1,
-                    fx.FIX_STOPWORDS, fx.FIX_STEMS)
+                    fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return out.withColumn("score", F.round("score", R))
 
 
@@ -115,7 +115,7 @@ SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank F
   WHERE round(score, 9) >= 0.1)"""))
 def q_batch_search(spark, sf):
     m = corpora.speech_model(spark, sf)
-    out = se.batch_scores(m.weights, fx.search_queries(spark, sf), m.vocab, fx.FIX_STOPWORDS, fx.FIX_STEMS)
+    out = se.batch_scores(m.weights, fx.search_queries(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return out.select("query_id", "id", F.round("score", R).alias("score"), "rank")
 
 

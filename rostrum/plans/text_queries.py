@@ -60,7 +60,8 @@ def q_remove_stopwords(spark, sf):
                            body="SELECT id, term AS token, count(*) AS cnt FROM dtok GROUP BY id, term"))
 def q_stem_tokens(spark, sf):
     d = _docs(spark, sf)
-    return _count_tokens(d.select("id", tx.normalize("merged_speech", fx.FIX_STOPWORDS, fx.FIX_STEMS).alias("t")), "t")
+    tok = tfidf.tokenize(d, stopwords=fx.FIX_STOPWORDS, stems=corpora.stems(spark, sf))
+    return _count_tokens(tok, "tokens")
 
 
 def _duck_normalize_list(text: str) -> str:

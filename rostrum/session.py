@@ -39,6 +39,8 @@ def get_session(master: str | None = None, shuffle_partitions: int = 8, app: str
     if master:
         builder = builder.master(master)
     builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    # The test tables are single-row-group files; a real table arrives in many splits.
+    builder = builder.config("spark.rostrum.inputPartitions", str(shuffle_partitions))
     builder = builder.config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
     builder = builder.config("spark.driver.memory", os.environ.get("ROSTRUM_DRIVER_MEMORY", "16g"))
     for k, v in BASE_CONF.items():

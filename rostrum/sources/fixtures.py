@@ -14,6 +14,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rostrum.functions import text as tx
+from rostrum.sources.layout import spread
+
 # ----------------------------------------------------------- fixed test values
 # Stopwords, stem dictionary, keyword blocklist, lexicon rows, party map and
 # party selection used by every fixture query and its oracle.
@@ -89,7 +92,7 @@ def sentiment_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def dated_speeches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All speeches with their dates as strings (sentiment path)."""
-    m = merged_speeches(spark, sf_dir)
+    m = spread(merged_speeches(spark, sf_dir))
     return m.select("id", "political_party", F.col("sitting_date").cast("string").alias("sitting_date"), "merged_speech")
 
 
@@ -139,6 +142,17 @@ def lexicon_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def stem_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stem dictionary (token, stem) with an entry for every distinct token
+    of ``documents``: the fixed stems, else the token without its last two
+    characters when it is longer than six."""
+    d = spread(table(spark, sf_dir, "documents").select("doc_id", "text"), "doc_id")
+    tokens = d.select(F.explode(tx.kept_tokens("text")).alias("t")).select(F.lower("t").alias("token")).distinct()
+    fixed = F.create_map(*[F.lit(x) for kv in sorted(FIX_STEMS.items()) for x in kv])
+    cut = F.when(F.length("token") > 6, F.expr("substring(token, 1, length(token) - 2)")).otherwise(F.col("token"))
+    return tokens.select("token", F.coalesce(F.try_element_at(fixed, F.col("token")), cut).alias("stem"))
+
+
 def party_map(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(sorted(FIX_PARTY_MAP.items()), "raw string, canonical string")
 
@@ -194,8 +208,13 @@ SQL_RAW_SPEECHES = """raw AS (
 
 
 def sql_stems() -> str:
-    rows = ", ".join(f"({_sql_list([k])}, {_sql_list([v])})" for k, v in sorted(FIX_STEMS.items()))
-    return f"stemdict(token, stem) AS (VALUES {rows})"
+    fixed = " ".join(f"WHEN {_sql_list([k])} THEN {_sql_list([v])}" for k, v in sorted(FIX_STEMS.items()))
+    return f"""stemdict AS (
+  SELECT token, CASE token {fixed}
+         ELSE CASE WHEN length(token) > 6 THEN substring(token, 1, length(token) - 2) ELSE token END END AS stem
+  FROM (SELECT DISTINCT lower(t) AS token FROM (
+    SELECT regexp_replace(unnest(regexp_extract_all(text, '[\\p{{L}}\\p{{N}}_]+')), '[0-9_]', '', 'g') AS t
+    FROM documents) WHERE length(t) >= 2))"""
 
 
 def sql_stopwords() -> str:

@@ -56,3 +56,32 @@ def test_years(spark):
     assert _one(spark, tx.lenient_year("t"), "unknown") is None
     assert _one(spark, tx.lenient_year("t"), "2001-02-03") == 2001
     assert _one(spark, tx.sitting_year("t"), "1999-05-03") == 1999
+
+
+def test_dictionary_stems_of_any_size_keep_order_and_empty_documents(spark):
+    rows = [(1, "The cat SAT on w7 the cat"), (2, ""), (3, None), (4, "x y"), (5, "gone walking gone")]
+    df = spark.createDataFrame(rows, "id long, merged_speech string").selectExpr("*", "id * 10 AS tag")
+    entries = [(f"tok{chr(97 + i % 26)}{'q' * (i // 26)}", "s") for i in range(5000)]
+    entries += [("cat", "feline"), ("cat", "zzz"), ("sat", "sit"), ("gone", "")]
+    stems = spark.createDataFrame(entries, "token string, stem string")
+    tok = tfidf.tokenize(df, stopwords=["the"], stems=stems, drop_null=False, carry=["tag"])
+    got = {r["id"]: (r["tag"], r["tokens"]) for r in tok.collect()}
+    assert got == {1: (10, ["feline", "sit", "on", "feline"]), 2: (20, []), 3: (30, []), 4: (40, []),
+                   5: (50, ["walking"])}
+    cut = tfidf.tokenize(df, stopwords=["the"], stems=stems, suffix_rule="ing$")
+    assert {r["id"]: r["tokens"] for r in cut.collect()}[5] == ["walk"]
+
+
+def test_dictionary_join_equals_literal_map(spark):
+    df = spark.createDataFrame([(1, "Is was for them is"), (2, "them and was")], "id long, merged_speech string")
+    pairs = {"is": "be", "was": "be", "for": "f"}
+    table = spark.createDataFrame(list(pairs.items()), "token string, stem string")
+    by_join = {r["id"]: r["tokens"] for r in tfidf.tokenize(df, stems=table).collect()}
+    by_map = {r["id"]: r["tokens"] for r in tfidf.tokenize(df, stems=pairs).collect()}
+    assert by_join == by_map
+
+
+def test_large_literal_map_is_accepted(spark):
+    df = spark.createDataFrame([(1, "aa bb")], "id long, merged_speech string")
+    stems = {f"k{i}x": "s" for i in range(600)} | {"aa": "zz"}
+    assert tfidf.tokenize(df, stems=stems).first()["tokens"] == ["zz", "bb"]
