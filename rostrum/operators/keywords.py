@@ -53,6 +53,14 @@ def attach_metadata(keywords: DataFrame, details: DataFrame, key: str = "id",
     return out.dropna(subset=["member_name"]) if "member_name" in cols else out
 
 
+def in_position_order(ids: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:
+    """The details of a list of ids (id, pos) in the list's order, with
+    ``pos`` kept; ids without details are left out, repeated ids repeat.  The
+    order is a range-partitioned sort."""
+    out = ids.select("pos", key).join(details, key).orderBy("pos", key)
+    return out.select("pos", key, *[c for c in details.columns if c != key])
+
+
 def missing_ids(ids: DataFrame, details: DataFrame, key: str = "id") -> DataFrame:
     """Ids that have no details row (the reference's warning list)."""
     return ids.select(key).join(details.select(key), key, "left_anti")

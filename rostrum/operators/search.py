@@ -2,9 +2,12 @@
 
 Document rows are unit length, so cosine similarity is a dot product: the
 query's weights are joined with the document postings on term and summed per
-document.  The query side is bounded by the vocabulary (at most
-``max_features`` terms per query), so a single query is always broadcast;
-for batches the broadcast is used only under a checked row bound.
+document.  Joins carry no hint.
+
+Searches read a fitted model or an index stored with ``sources.io.save_index``,
+whose postings are sorted by (term, id): one query's terms and one page's ids
+are literals (``IN``) that reach the Parquet scan, so a search reads the row
+groups of its terms and the rows of its page.
 """
 
 from __future__ import annotations
@@ -32,10 +35,20 @@ def query_weights(spark: SparkSession, query: str, vocab: DataFrame, stopwords:
     return tfidf.transform(tok, vocab, "id", max_features).select("term", F.col("weight").alias("qweight"))
 
 
+def query_scores(spark: SparkSession, query: str, index, stopwords: Iterable[str] = (),
+                 stems: tfidf.Stems = None) -> DataFrame:
+    """G1 for one query text.  Its distinct vocabulary terms (no more than the
+    text has words) come to the driver first, so that the postings are read
+    with ``term IN (...)``; a query without such a term matches nothing."""
+    found = query_weights(spark, query, index.vocab, stopwords, stems, index.max_features).collect()
+    qw = spark.createDataFrame(found, "term string, qweight double")
+    return scores(index.weights.filter(F.col("term").isin([r["term"] for r in found])), qw)
+
+
 def scores(doc_weights: DataFrame, qweights: DataFrame) -> DataFrame:
     """G1: (id, score) for every document sharing a term with the query.
     Partial aggregation per task precedes the shuffle on id."""
-    j = doc_weights.join(F.broadcast(qweights), "term")
+    j = doc_weights.join(qweights, "term")
     return j.groupBy("id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
 
 
@@ -92,20 +105,25 @@ def with_details(pg: DataFrame, details: DataFrame, excerpt_len: int = 20) -> Da
 def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: DataFrame, page_no: int = 1,
            per_page: int = 10, threshold: float = 0.1, stopwords: Iterable[str] = (),
            stems: tfidf.Stems = None) -> DataFrame:
-    """G5 + G6: the full search endpoint.  An empty query returns no rows;
-    a query with no vocabulary term matches nothing."""
+    """G5 + G6: the full search endpoint over a fitted model or a stored index.
+    An empty query returns no rows; a query with no vocabulary term matches
+    nothing.  The page (at most ``per_page`` rows) is fetched first, so that
+    the speeches are read with ``id IN (...)``."""
     if not query:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    qw = query_weights(spark, query, model.vocab, stopwords, stems, model.max_features)
-    m = ranked(scores(model.weights, qw), threshold)
-    return with_details(page(m, page_no, per_page), details)
+    m = ranked(query_scores(spark, query, model, stopwords, stems), threshold)
+    rows = page(m, page_no, per_page).select("id", "score", "rank").collect()
+    pg = spark.createDataFrame(rows, "id long, score double, rank int")
+    return with_details(pg, details.filter(F.col("id").isin([r["id"] for r in rows])))
 
 
 def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, stopwords: Iterable[str] = (),
                  stems: tfidf.Stems = None, max_features: int | None = 10_000,
                  threshold: float = 0.1, top_k: int | None = None) -> DataFrame:
-    """Many queries at once — (query_id, id, score, rank) for every match
-    >= threshold, ranked per query.  Each query is reduced to its vocabulary
+    """Many queries at once — (query_id, id, score) for every match
+    >= threshold; with ``top_k`` the best of each query with their rank (the
+    planner keeps ``top_k`` rows per query in each task before the shuffle).
+    Each query is reduced to its vocabulary
     terms; the join on term carries no hint: the planner broadcasts a small
     query side by its real bytes, else both sides shuffle on term (AQE splits
     skewed terms)."""
@@ -117,9 +135,28 @@ def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, s
     j = doc_weights.join(qw, "term")
     sc = j.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
     sc = ranked(sc, threshold)
+    return sc if top_k is None else batch_top(sc, top_k)
+
+
+def batch_top(matches: DataFrame, k: int) -> DataFrame:
+    """The ``k`` best matches of every query, with their rank."""
     w = Window.partitionBy("query_id").orderBy(*_order())
-    out = sc.withColumn("rank", F.row_number().over(w))
-    return out.filter(F.col("rank") <= top_k) if top_k else out
+    return matches.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
+
+
+def batch_page(matches: DataFrame, page_no: int = 1, per_page: int = 10) -> DataFrame:
+    """G3 for many queries: the same page of each, ranked over its whole result."""
+    page_no = max(page_no, 1)
+    return batch_top(matches, page_no * per_page).filter(F.col("rank") > (page_no - 1) * per_page)
+
+
+def batch_page_info(matches: DataFrame, queries: DataFrame, page_no: int = 1, per_page: int = 10) -> DataFrame:
+    """G4 for many queries: one row per query, those without a match included."""
+    n = matches.groupBy("query_id").agg(F.count("*").alias("n"))
+    out = queries.select("query_id").join(n, "query_id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    pages = F.ceil(F.col("n") / F.lit(per_page)).cast("long")
+    return out.select("query_id", F.col("n").alias("total_results"), pages.alias("total_pages"),
+                      (F.lit(page_no) < pages).alias("has_next"), F.lit(page_no > 1).alias("has_prev"))
 
 
 def lookup_speech(speeches: DataFrame, period: str, session: str, sitting: str, date: str,

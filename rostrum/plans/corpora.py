@@ -3,11 +3,15 @@ one session (fitting once per session and test-data folder)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.operators import keywords as kw
 from rostrum.operators import tfidf
+from rostrum.session import ensure_checkpoint_dir
 from rostrum.sources import fixtures as fx
+from rostrum.sources import io
 from rostrum.sources.layout import spread
 
 _MEMO: dict[tuple, object] = {}
@@ -33,6 +37,22 @@ def speech_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     )
 
 
+def search_index(spark: SparkSession, sf_dir: str) -> io.SearchIndex:
+    """The speech model stored as a search index and reloaded."""
+
+    def build():
+        path = scratch(spark, "search-index")
+        io.save_index(speech_model(spark, sf_dir), path)
+        return io.load_index(spark, path)
+
+    return _memo(("index", spark.sparkContext.applicationId, sf_dir), build)
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder."""
+    return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def member_model(spark: SparkSession, sf_dir: str) -> tfidf.TfidfModel:
     """Member-level TF-IDF (one document per member) over the 80-member view."""
     return _memo(

@@ -7,9 +7,12 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
 from rostrum.operators import corpus as co
+from rostrum.operators import keywords as kw
+from rostrum.plans import corpora
 from rostrum.plans import sql_parts as sp
 from rostrum.plans.registry import query
 from rostrum.sources import fixtures as fx
+from rostrum.sources import io
 
 M = fx.sql_merged()
 
@@ -150,7 +153,19 @@ SELECT min(id), sitting_date, political_party, string_agg(speech, ' ' ORDER BY i
 GROUP BY member_name, parliamentary_period, parliamentary_session, parliamentary_sitting, sitting_date,
   political_party"""))
 def q_union_chunks(spark, sf):
-    """Two producers' speech tables concatenated by column name."""
+    """Two producers' speech tables, written as chunk files and read
+    as one table by column name."""
     a = co.scan_speeches(_m(spark, sf))
     b = co.merge_speeches(fx.raw_speeches(spark, sf)).select("id", "sitting_date", "political_party", "merged_speech")
-    return a.unionByName(b)
+    base = corpora.scratch(spark, "chunks")
+    io.save(a, f"{base}/a")
+    io.save(b.select(*reversed(b.columns)), f"{base}/b")
+    return io.union_chunks(spark, [f"{base}/a", f"{base}/b"])
+
+
+@query("restore_order", _sql(M, body="""
+SELECT 1000000007 - l.doc_id AS pos, l.doc_id AS id, m.member_name, m.political_party, m.sitting_date
+FROM labels l JOIN merged m ON m.id = l.doc_id"""))
+def q_restore_order(spark, sf):
+    ids = fx.table(spark, sf, "labels").select(F.col("doc_id").alias("id"), (F.lit(1000000007) - F.col("doc_id")).alias("pos"))
+    return kw.in_position_order(ids, _m(spark, sf).select("id", "member_name", "political_party", "sitting_date"))

@@ -14,7 +14,6 @@ from rostrum.sources import fixtures as fx
 R = 6
 _CORE = sp.speech_corpus_ctes()
 _Q = fx.FIX_SEARCH_QUERY.replace("'", "''")
-_PAGE_SRC = "(SELECT 0 AS id, text FROM benchmark ORDER BY item_id LIMIT 1)"
 
 
 def _sql(*ctes: str, body: str) -> str:
@@ -38,50 +37,47 @@ def _scores_cte(name: str, q: str) -> str:
 
 
 _SHORT = _CORE + _query_ctes("q", f"(SELECT 0 AS id, '{_Q}' AS text)") + [_scores_cte("sc", "q")]
-_LONG = _CORE + _query_ctes("pq", _PAGE_SRC) + [_scores_cte("psc", "pq")]
-
-
-def _page_query(spark, sf):
-    return spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").select("text").first()[0]
+_BATCH = _CORE + _query_ctes("bq", "(SELECT item_id AS id, text FROM benchmark)") + ["""bm AS (
+  SELECT * FROM (SELECT q.id AS query_id, d.id, sum(d.weight * q.qweight) AS score
+                 FROM d_w d JOIN bq_w q USING (term) GROUP BY q.id, d.id)
+  WHERE round(score, 9) >= 0.1)""", """br AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id ASC) AS rank FROM bm)"""]
+TOP_K = 100
 
 
 @query("search_scores", _sql(*_SHORT, body=f"SELECT id, round(score, {R}) AS score FROM sc"))
 def q_search_scores(spark, sf):
-    m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, fx.FIX_SEARCH_QUERY, m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
-    return se.scores(m.weights, qw).select("id", F.round("score", R).alias("score"))
+    sc = se.query_scores(spark, fx.FIX_SEARCH_QUERY, corpora.search_index(spark, sf), fx.FIX_STOPWORDS,
+                         corpora.stems(spark, sf))
+    return sc.select("id", F.round("score", R).alias("score"))
 
 
-@query("search_ranked", _sql(*_LONG, body=f"""
-SELECT id, round(score, {R}) AS score FROM psc WHERE round(score, 9) >= 0.1"""))
-def q_search_ranked(spark, sf):
-    m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
-    return se.ranked(se.scores(m.weights, qw)).select("id", F.round("score", R).alias("score"))
+def _matches(spark, sf, top_k=None):
+    ix = corpora.search_index(spark, sf)
+    return se.batch_scores(ix.weights, fx.search_queries(spark, sf), ix.vocab, fx.FIX_STOPWORDS,
+                           corpora.stems(spark, sf), ix.max_features, top_k=top_k)
 
 
-def _long_matches(spark, sf):
-    m = corpora.speech_model(spark, sf)
-    qw = se.query_weights(spark, _page_query(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
-    return se.ranked(se.scores(m.weights, qw))
+@query("search_ranked", _sql(*_BATCH, body=f"SELECT query_id, id, round(score, {R}) AS score FROM bm"))
+def q_search_ranked(spark, sf):
+    return _matches(spark, sf).select("query_id", "id", F.round("score", R).alias("score"))
 
 
-@query("search_page", _sql(*_LONG, body=f"""
-SELECT CAST(rank AS INTEGER) AS rank, id, round(score, {R}) AS score FROM (
-  SELECT id, score, row_number() OVER (ORDER BY round(score, 9) DESC, id ASC) AS rank
-  FROM psc WHERE round(score, 9) >= 0.1)
+@query("search_page", _sql(*_BATCH, body=f"""
+SELECT query_id, CAST(rank AS INTEGER) AS rank, id, round(score, {R}) AS score FROM br
 WHERE rank > 10 AND rank <= 20"""))
 def q_search_page(spark, sf):
-    return se.page(_long_matches(spark, sf), page_no=2, per_page=10).select(
-        "rank", "id", F.round("score", R).alias("score"))
+    return se.batch_page(_matches(spark, sf), page_no=2, per_page=10).select(
+        "query_id", "rank", "id", F.round("score", R).alias("score"))
 
 
-@query("search_page_info", _sql(*_LONG, body="""
-SELECT count(*) AS total_results, CAST(ceil(count(*) / 10.0) AS BIGINT) AS total_pages,
-       2 < CAST(ceil(count(*) / 10.0) AS BIGINT) AS has_next, true AS has_prev
-FROM psc WHERE round(score, 9) >= 0.1"""))
+@query("search_page_info", _sql(*_BATCH, body="""
+SELECT b.item_id AS query_id, count(m.id) AS total_results,
+       CAST(ceil(count(m.id) / 10.0) AS BIGINT) AS total_pages,
+       2 < CAST(ceil(count(m.id) / 10.0) AS BIGINT) AS has_next, true AS has_prev
+FROM benchmark b LEFT JOIN bm m ON m.query_id = b.item_id GROUP BY b.item_id"""))
 def q_search_page_info(spark, sf):
-    return se.page_info(_long_matches(spark, sf), page_no=2, per_page=10)
+    return se.batch_page_info(_matches(spark, sf), fx.search_queries(spark, sf), page_no=2, per_page=10)
 
 
 _EXCERPT = (f"CASE WHEN length(merged_speech) <= 20 THEN merged_speech ELSE "
@@ -97,26 +93,16 @@ FROM (SELECT id, score, row_number() OVER (ORDER BY round(score, 9) DESC, id ASC
       FROM sc WHERE round(score, 9) >= 0.1) p JOIN merged m USING (id)
 WHERE p.rank <= 10"""))
 def q_search(spark, sf):
-    m = corpora.speech_model(spark, sf)
+    m = corpora.search_index(spark, sf)
     out = se.search(spark, fx.FIX_SEARCH_QUERY, m, fx.merged_speeches(spark, sf), 1, 10, 0.1,
                     fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return out.withColumn("score", F.round("score", R))
 
 
-_BATCH = _CORE + _query_ctes("bq", "(SELECT item_id AS id, text FROM benchmark)")
-
-
 @query("batch_search", _sql(*_BATCH, body=f"""
-SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank FROM (
-  SELECT query_id, id, score,
-         row_number() OVER (PARTITION BY query_id ORDER BY round(score, 9) DESC, id ASC) AS rank
-  FROM (SELECT q.id AS query_id, d.id, sum(d.weight * q.qweight) AS score
-        FROM d_w d JOIN bq_w q USING (term) GROUP BY q.id, d.id)
-  WHERE round(score, 9) >= 0.1)"""))
+SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank FROM br WHERE rank <= {TOP_K}"""))
 def q_batch_search(spark, sf):
-    m = corpora.speech_model(spark, sf)
-    out = se.batch_scores(m.weights, fx.search_queries(spark, sf), m.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf))
-    return out.select("query_id", "id", F.round("score", R).alias("score"), "rank")
+    return _matches(spark, sf, TOP_K).select("query_id", "id", F.round("score", R).alias("score"), "rank")
 
 
 _L = fx.FIX_LOOKUP

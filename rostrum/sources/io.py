@@ -8,6 +8,7 @@ file per task); nothing is gathered on the driver.  Result tables are small
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,11 +45,12 @@ def save(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterab
 
 
 def save_postings(post: DataFrame, path: str, partitions: int | None = None) -> None:
-    """A7 for the search index: postings range-partitioned and sorted by term,
-    so a later ``term IN (...)`` filter skips row groups by their min/max
-    statistics instead of reading the whole index."""
-    n = partitions or post.sparkSession.sparkContext.defaultParallelism
-    post.repartitionByRange(n, "term").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(path)
+    """A7 for the search index: postings range-partitioned and sorted by (term,
+    id), so a later ``term IN (...)`` filter skips row groups by their min/max
+    statistics instead of reading the whole index, and a frequent term spreads
+    over several files."""
+    n = [partitions] if partitions else []
+    post.repartitionByRange(*n, "term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(path)
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -56,15 +58,48 @@ def load(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@dataclass
+class SearchIndex:
+    """A stored TF-IDF index, accepted by the searches in place of a model."""
+
+    weights: DataFrame
+    vocab: DataFrame
+    n_docs: int
+    max_features: int | None
+
+
+def save_index(model, path: str, partitions: int | None = None) -> None:
+    """The weights, the vocabulary and the corpus size of a fitted model."""
+    save_postings(model.weights.select("term", "id", "weight"), f"{path}/weights", partitions)
+    save(model.vocab, f"{path}/vocabulary")
+    size = model.tokens.agg(F.count("*").alias("n_docs"))
+    save(size.withColumn("max_features", F.lit(model.max_features).cast("int")), f"{path}/corpus")
+
+
+def load_index(spark: SparkSession, path: str) -> SearchIndex:
+    """The index that ``save_index`` wrote."""
+    size = load(spark, f"{path}/corpus").first()
+    return SearchIndex(load(spark, f"{path}/weights"), load(spark, f"{path}/vocabulary"),
+                       size["n_docs"], size["max_features"])
+
+
 def union_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """All chunk files as one table.  Corrupt files are skipped (the
-    reference logs and skips unreadable chunks); columns are matched by name."""
-    reader = spark.read.option("ignoreCorruptFiles", "true")
-    frames = [reader.parquet(p) for p in paths]
-    out = frames[0]
-    for f in frames[1:]:
-        out = out.unionByName(f, allowMissingColumns=True)
-    return out
+    """All chunk files as one table, read in one call; columns are matched
+    by name, missing ones null.  Corrupt files are skipped and listed by
+    ``skipped_chunks``.  No path gives a table without columns or rows."""
+    if not paths:
+        return spark.createDataFrame([], "struct<>")
+    return spark.read.option("ignoreCorruptFiles", "true").option("mergeSchema", "true").parquet(*paths)
+
+
+def skipped_chunks(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """(path) of every chunk file that gave ``union_chunks`` no row, being
+    corrupt or empty (the reference logs such chunks).  The listing does not
+    read the files' contents."""
+    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(list(paths)).select("path")
+    read = union_chunks(spark, paths).select(F.col("_metadata.file_path").alias("path")).distinct()
+    bare = F.regexp_replace("path", "^file:/+", "/")  # the two sources write local paths differently
+    return listed.withColumn("path", bare).join(read.withColumn("path", bare), "path", "left_anti")
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -3,6 +3,7 @@ import tempfile
 
 import pytest
 
+from rostrum.operators import keywords as kw
 from rostrum.operators import lexicon as lx
 from rostrum.sources import io
 
@@ -54,3 +55,26 @@ def test_parquet_round_trip_union_and_report(spark):
     io.write_report(lines, os.path.join(d, "rep"), "cluster")
     back = io.filter_report_lines(io.read_report(spark, os.path.join(d, "rep")))
     assert sorted(r["line"] for r in back.collect()) == ["Cluster 1:", "Member Name: m"]
+
+
+def test_corrupt_and_empty_chunks_are_skipped_and_listed(spark, tmp_path):
+    a = spark.createDataFrame([(1, "x")], "id long, t string")
+    b = spark.createDataFrame([(5, 2)], "extra int, id long")
+    for name, df in (("a", a), ("b", b)):
+        df.coalesce(1).write.parquet(str(tmp_path / name))
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_bytes(b"not parquet at all")
+    paths = [str(tmp_path / n) for n in ("a", "b", "bad")]
+    got = {r["id"]: (r["t"], r["extra"]) for r in io.union_chunks(spark, paths).collect()}
+    assert got == {1: ("x", None), 2: (None, 5)}
+    skipped = [r["path"] for r in io.skipped_chunks(spark, paths).collect()]
+    assert skipped == [str(bad / "part-0.parquet")]
+    assert io.union_chunks(spark, []).count() == 0
+
+
+def test_position_order(spark):
+    ids = spark.createDataFrame([(3, 0), (1, 1), (9, 2), (3, 3)], "id long, pos int")
+    details = spark.createDataFrame([(1, "a"), (3, "c")], "id long, name string")
+    got = [(r["pos"], r["id"], r["name"]) for r in kw.in_position_order(ids, details).collect()]
+    assert got == [(0, 3, "c"), (1, 1, "a"), (3, 3, "c")]
