@@ -137,29 +137,6 @@ def with_term_counts(df: DataFrame, tokens: str = "tokens", out: str = "terms",
     return s.select(*keep, counts.alias(out))
 
 
-def token_positions(tokens: str | Column) -> Column:
-    """The distinct tokens of a row, lower-cased, with the places of each:
-    ``array<struct<token string, at array<int>>>``, in token order."""
-    placed = F.sort_array(F.transform(_col(tokens), lambda t, i: F.struct(F.lower(t).alias("token"), i.alias("i"))))
-    # A one-element array binds the sorted array to a lambda variable, so that it is evaluated once.
-    return F.get(F.transform(F.array(placed), _runs), 0)
-
-
-def _runs(s: Column) -> Column:
-    n = F.size(s)
-    starts = F.when(
-        n > 0,
-        F.filter(F.sequence(F.lit(0), n - 1), lambda i: (i == 0) | (F.get(s, i)["token"] != F.get(s, i - 1)["token"])),
-    ).otherwise(F.array().cast("array<int>"))
-    return F.get(F.transform(F.array(starts), lambda st: F.transform(
-        st,
-        lambda p, j: F.struct(
-            F.get(s, p)["token"].alias("token"),
-            F.transform(F.slice(s, p + 1, F.coalesce(F.get(st, j + 1), n) - p), lambda x: x["i"]).alias("at"),
-        ),
-    )), 0)
-
-
 # ---------------------------------------------------------------- scalars (B)
 
 

@@ -9,8 +9,6 @@ from collections.abc import Iterable, Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.functions import text as tx
-
 CONSOLIDATION_KEYS = [
     "member_name", "parliamentary_period", "parliamentary_session", "parliamentary_sitting",
     "sitting_date", "political_party",
@@ -84,23 +82,21 @@ def stem_arrays(df: DataFrame, stems: DataFrame, key: Iterable[str] = ("id",), t
     other columns are kept; a null array counts as empty; of several stems of
     a token the smallest is used.
 
-    Each row sends its distinct tokens with their places, so a token that
-    repeats in a row is looked up once; the join carries no hint (the planner
+    Tokens travel with their place; the join carries no hint (the planner
     broadcasts a small table, AQE splits frequent tokens otherwise), and the
     rows come together again by key, the partitioning that per-document
-    weights need anyway."""
+    weights need anyway: a group is one row's tokens."""
     key = list(key)
     rest = [c for c in df.columns if c not in (*key, tokens_col)]
-    placed = df.select(*key, *rest, tx.token_positions(F.coalesce(F.col(tokens_col), F.array().cast("array<string>"))).alias("_p"))
-    flat = placed.select(*key, *rest, F.inline_outer("_p").alias("_low", "_at"))
+    flat = df.select(*key, *rest, F.posexplode_outer(tokens_col).alias("_at", "_token"))
+    flat = flat.select(*key, *rest, "_at", F.lower("_token").alias("_low"))
     st = stems.groupBy(F.col("token").alias("_low")).agg(F.min("stem").alias("_stem"))
     other = F.regexp_replace("_low", F.lit(suffix_rule), F.lit("")) if suffix_rule else F.col("_low")
     hit = flat.join(st, "_low", "left").withColumn("_stem", F.coalesce("_stem", other))
-    used = F.when(F.length("_stem") > 0, F.struct("_stem", "_at"))  # nulls are not collected
-    back = hit.groupBy(*key).agg(*[F.first(c).alias(c) for c in rest], F.collect_list(used).alias("_p"))
-    places = F.sort_array(F.flatten(F.transform("_p", lambda x: F.transform(
-        x["_at"], lambda i: F.struct(i.alias("i"), x["_stem"].alias("s"))))))
-    return back.withColumn(tokens_col, F.transform(places, lambda x: x["s"])).select(*df.columns)
+    used = F.when(F.length("_stem") > 0, F.struct("_at", "_stem"))  # nulls are not collected
+    back = hit.groupBy(*key).agg(*[F.first(c).alias(c) for c in rest],
+                                 F.sort_array(F.collect_list(used)).alias("_placed"))
+    return back.withColumn(tokens_col, F.col("_placed._stem")).select(*df.columns)
 
 
 def standardize_party(df: DataFrame, mapping: Mapping[str, str] | DataFrame, party_col: str = "political_party",

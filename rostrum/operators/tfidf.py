@@ -129,6 +129,7 @@ class TfidfModel:
 
     def unpersist(self) -> None:
         self.tokens.unpersist()
+        self.vocab.unpersist()
 
 
 def fit(
@@ -140,16 +141,18 @@ def fit(
     max_features: int | None = 10_000,
     persist: bool = True,
 ) -> TfidfModel:
-    """C5 + D3-D7 over a document table.  The token table is persisted
-    (memory and disk) because the corpus size, the postings and any later
-    sentiment or search step read it; it is recomputed from its lineage if an
-    executor is lost."""
+    """C5 + D3-D7 over a document table.  The token table and the
+    vocabulary are persisted (memory and disk) because the corpus size, the
+    postings and every later step read them; they are recomputed from their
+    lineage if an executor is lost."""
     tok = tokenize(docs, id_col, text_col, stopwords, stems)
     if persist:
         tok = tok.persist(StorageLevel.MEMORY_AND_DISK)
     n = tok.select(F.count("*")).scalar()
     post = postings(tok)
     vocab = vocabulary(doc_freq(post), n, max_features)
+    if persist:
+        vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
     w = weights(post, vocab, "id", max_features)
     return TfidfModel(tok, post, vocab, w, n, max_features)
 
@@ -185,6 +188,6 @@ def fit_groups(
     tok = tok.persist(StorageLevel.MEMORY_AND_DISK)
     n = tok.select(F.count_distinct(group_col)).scalar()
     gp = group_postings(tok, group_col)
-    vocab = vocabulary(doc_freq(gp, group_col), n, max_features)
+    vocab = vocabulary(doc_freq(gp, group_col), n, max_features).persist(StorageLevel.MEMORY_AND_DISK)
     w = weights(gp, vocab, group_col, max_features)
     return TfidfModel(tok, gp, vocab, w, n, max_features)
