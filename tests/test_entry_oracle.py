@@ -7,7 +7,7 @@ import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "conversations", "benchmark", "embeddings", "labels"]
-SAMPLE = ["fetch_by_ids", "speech_polarity", "stem_tokens", "tfidf_documents", "top_keywords_per_year", "search", "batch_search", "member_similarity",
+SAMPLE = ["fetch_by_ids", "speech_polarity", "stem_tokens", "tfidf_documents", "top_keywords_per_year", "search", "batch_search", "search_page", "search_page_info", "union_chunks", "restore_order", "member_similarity",
           "lexicon_stemmed", "polarity_trend", "top_positive_words", "merge_speeches", "assign_clusters", "silhouette"]
 
 
