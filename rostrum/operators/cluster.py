@@ -4,16 +4,21 @@
 Vectors are ``(id, vector array<double>)``.  Fitting uses MLlib's
 distributed K-means (k-means|| initialisation, seed 42); silhouette uses
 MLlib's cosine evaluator, which is linear in the number of points (the
-reference sampled 10,000 points to afford a quadratic one).  Assignment and
-representatives are plain column expressions over a bounded centre table
-(``k`` rows), never a cross join.
+reference sampled 10,000 points to afford a quadratic one).  Assignment
+compares each Arrow batch of vectors with the model's centres (k rows);
+representatives join each point with its own centre.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -46,62 +51,73 @@ def silhouette(assigned: DataFrame, features: str = "features", cluster: str = "
 
 
 def centres_of(vectors: DataFrame, cluster: str = "cluster", col: str = "vector") -> DataFrame:
-    """Mean vector of every cluster: (cluster, centre array<double>)."""
-    exploded = vectors.select(cluster, F.posexplode(col).alias("d", "x"))
-    means = exploded.groupBy(cluster, "d").agg(F.avg("x").alias("m"))
-    # one row per cluster: its dimensions' means in order (bounded by the dimension)
-    return means.groupBy(cluster).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("d", "m"))), lambda s: s["m"]).alias("centre"))
+    """Mean vector of every cluster: (cluster, centre array<double>), partial
+    sums first."""
+    means = vectors.groupBy(cluster).agg(Summarizer.mean(array_to_vector(col)).alias("m"))
+    return means.select(cluster, vector_to_array("m").alias("centre"))
+
+
+def _own_distance(vectors: DataFrame, centres: DataFrame, cluster: str, col: str) -> DataFrame:
+    """Adds ``distance``, the Euclidean distance of a point to its own centre."""
+    j = vectors.join(centres.select(F.col(cluster).alias("_c"), "centre"), F.col(cluster) == F.col("_c")).drop("_c")
+    sq = F.aggregate(F.zip_with("centre", col, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
+    return j.withColumn("distance", F.sqrt(sq)).drop("centre")
 
 
 def wcss(vectors: DataFrame, cluster: str = "cluster", col: str = "vector") -> DataFrame:
     """H11 (inertia for given labels): sum of squared distances of the points
     to the mean of their cluster, as one row."""
-    exploded = vectors.select(cluster, F.posexplode(col).alias("d", "x"))
-    per_dim = exploded.groupBy(cluster, "d").agg(
-        (F.sum(F.col("x") * F.col("x")) - F.sum("x") * F.sum("x") / F.count("*")).alias("ss"))
-    return per_dim.agg(F.sum("ss").alias("wcss"))
+    d = _own_distance(vectors, centres_of(vectors, cluster, col), cluster, col)
+    return d.agg(F.sum(F.col("distance") * F.col("distance")).alias("wcss"))
 
 
-def _centre_literal(centres: DataFrame, cluster: str = "cluster"):
+def assign(vectors: DataFrame, centres: DataFrame, cluster: str = "cluster", col: str = "vector") -> DataFrame:
+    """Nearest centre (Euclidean; ties to the lowest cluster id) for every
+    point: (id, cluster, distance).  The centres are the model, k rows, and go
+    to the tasks as one matrix."""
+    spark = vectors.sparkSession
     rows = centres.orderBy(cluster).collect()
-    ids = [int(r[cluster]) for r in rows]
-    lit = F.array(*[F.array(*[F.lit(float(x)) for x in r["centre"]]) for r in rows])
-    return ids, lit
+    model = spark.sparkContext.broadcast((np.array([r[cluster] for r in rows], np.int32), np.array([r["centre"] for r in rows], float)))
 
+    def run(batches: Iterator[pa.RecordBatch]):
+        ids, points = model.value
+        for b in batches:
+            x = b.column(1).flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, -1)
+            best, at = np.full(b.num_rows, np.inf), np.zeros(b.num_rows, np.int64)
+            for i, c in enumerate(points):
+                sq = ((x - c) ** 2).sum(1)
+                near = sq < best
+                best[near], at[near] = sq[near], i
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ids[at]), pa.array(np.sqrt(best))], ["id", cluster, "distance"])
 
-def with_distances(vectors: DataFrame, centres: DataFrame, cluster: str = "cluster",
-                   col: str = "vector") -> DataFrame:
-    """Adds ``dists`` (Euclidean distance to every centre, in cluster order).
-    The centre table has k rows (bounded by the model) and becomes a literal."""
-    ids, lit = _centre_literal(centres, cluster)
-    d = F.transform(lit, lambda c: F.sqrt(F.aggregate(F.zip_with(c, col, lambda a, b: (a - b) * (a - b)),
-                                                      F.lit(0.0), lambda s, x: s + x)))
-    return vectors.withColumn("dists", d), ids
-
-
-def assign(vectors: DataFrame, centres: DataFrame, cluster: str = "cluster", col: str = "vector") -> DataFrame:
-    """Nearest centre (Euclidean; ties to the lowest cluster id) for every point."""
-    wd, ids = with_distances(vectors, centres, cluster, col)
-    pos = F.array_position("dists", F.array_min("dists")).cast("int")
-    idmap = F.array(*[F.lit(i) for i in ids])
-    return wd.select("id", F.element_at(idmap, pos).alias("cluster"), F.array_min("dists").alias("distance"))
+    kind = vectors.schema["id"].dataType.simpleString()
+    return vectors.select("id", col).mapInArrow(run, f"id {kind}, {cluster} int, distance double")
 
 
 def representatives(vectors: DataFrame, centres: DataFrame, n: int = 2, cluster: str = "cluster",
                     col: str = "vector") -> DataFrame:
     """H9: the ``n`` members of each cluster nearest (Euclidean) to its centre,
     ties by id.  Distance is computed to the point's own centre only."""
-    c = centres.select(F.col(cluster).alias("_c"), "centre")
-    j = vectors.join(F.broadcast(c), vectors[cluster] == F.col("_c")).drop("_c")
-    dist = F.sqrt(F.aggregate(F.zip_with("centre", col, lambda a, b: (a - b) * (a - b)), F.lit(0.0),
-                              lambda s, x: s + x))
-    d = j.withColumn("distance", dist)
+    d = _own_distance(vectors, centres, cluster, col)
     w = Window.partitionBy(cluster).orderBy(F.round("distance", RANK_DIGITS), "id")
     return d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select(
         cluster, "rank", "id", "distance")
 
 
+def clustered(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 300) -> DataFrame:
+    """H6 + H7: (id, vector, cluster) of the normalised vectors."""
+    _, assigned = fit_kmeans(normalize(vectors), k, seed, max_iter)
+    return assigned.select("id", vector_to_array("features").alias("vector"), "cluster")
+
+
+def topic_cluster_report(vectors: DataFrame, k: int, details: DataFrame, n: int = 2) -> DataFrame:
+    """E8 + H6 + H7 + H9 + H10: document vectors of a topic model normalised,
+    clustered, the ``n`` nearest to each centre joined with their details by
+    id, as report lines."""
+    v = clustered(vectors, k).persist()
+    return report_lines(representatives(v, centres_of(v), n), details)
+
+
 def report_lines(reps: DataFrame, details: DataFrame, cluster: str = "cluster") -> DataFrame:
     """H10 + A10: the representatives report as (cluster, line_no, line) rows,
     in the layout of the reference's text file (``None`` for missing values,
@@ -133,16 +149,21 @@ def report_lines(reps: DataFrame, details: DataFrame, cluster: str = "cluster")
 
 
 def sweep(vectors: DataFrame, ks, seed: int = 42, max_iter: int = 300, col: str = "vector") -> list[tuple]:
-    """(k, wcss, silhouette) for each k — one distributed fit per k over
-    the cached vectors (model selection is a driver loop of cluster jobs)."""
+    """(k, wcss, silhouette, total) for each k, one distributed fit per k
+    over the cached vectors (model selection is a driver loop of cluster jobs).
+    wcss is about the means of the fitted clusters; ``total`` adds the squared
+    distances of those means to the mean of all points, so it is the same for
+    every k."""
     v = vectors.select("id", col).cache()
     out = []
     for k in ks:
-        model, assigned = fit_kmeans(v, k, seed, max_iter, col=col)
-        out.append((int(k), float(model.summary.trainingCost), float(silhouette(assigned))))
+        _, assigned = fit_kmeans(v, k, seed, max_iter, col=col)
+        score = float(silhouette(assigned))
+        found = assigned.select("id", vector_to_array("features").alias("vector"), "cluster")
+        within = float(wcss(found).first()[0])
+        means = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("features")).alias("m"), F.count("*").alias("n")).collect()
+        m, n = np.array([r["m"].toArray() for r in means]), np.array([r["n"] for r in means], float)
+        between = float((n[:, None] * (m - n @ m / n.sum()) ** 2).sum())
+        out.append((int(k), within, score, within + between))
     v.unpersist()
     return out
-
-
-def to_array(df: DataFrame, col: str = "features") -> DataFrame:
-    return df.withColumn(col, vector_to_array(col))

@@ -5,19 +5,22 @@ Driver-side objects are bounded by the vocabulary, never by the corpus:
 singular values (k), right factors / topic loadings (vocabulary x k).  Left
 factors (one k-vector per document) stay distributed.
 
-NMF has no MLlib counterpart.  Each iteration is one pass over the
-partitions: the document factor W of a partition lives beside that
-partition's sparse rows, the topic matrix H (k x vocabulary) is broadcast,
-W is updated row-locally and the partial sums for H's update are combined by
-a tree aggregation.  Lineage is cut with reliable checkpoints (the folder
-named by ``spark.checkpoint.dir``) every ``checkpoint_every`` iterations.
+A pass over the rows is one ``mapInArrow``: each task adds up its share of a
+vocabulary-wide matrix, the shares travel in slices of ``SLICE`` terms and are
+added up by slice in an exchange, so the driver receives one matrix however
+many tasks there are.  NMF has no MLlib counterpart; the document factor W
+is a column beside the sparse rows and the topic matrix H (k x vocabulary) is
+broadcast.  Lineage is cut with reliable checkpoints (the folder named by
+``spark.checkpoint.dir``) every ``checkpoint_every`` iterations.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import Vectors
 from pyspark.mllib.linalg.distributed import IndexedRow, IndexedRowMatrix
@@ -34,14 +37,21 @@ single_thread()
 EPS32 = float(np.finfo(np.float32).eps)
 EPS64 = float(np.finfo(np.float64).eps)
 
+#: Terms of one travelling slice of a partial sum.
+SLICE = 50
+#: Cells of one dense chunk of rows (documents x terms that occur in them).
+CELLS = 4_000_000
 
-def doc_rows(weights: DataFrame, vocab: DataFrame, key: str = "id", all_ids: DataFrame | None = None) -> DataFrame:
+
+def doc_rows(weights: DataFrame, vocab: DataFrame, key: str = "id", all_ids: DataFrame | None = None,
+             max_features: int | None = 10_000) -> DataFrame:
     """(id, idx array<int>, val array<double>) sparse rows in term-id order.
     ``weights`` is already hash-partitioned by id (its normalisation window),
     so this aggregate adds no exchange; a row has at most vocabulary-size
-    entries.  With ``all_ids``, documents without any vocabulary term are kept
+    entries.  The vocabulary is broadcast where ``max_features`` bounds it.  With ``all_ids``, documents without any vocabulary term are kept
     as empty (all-zero) rows, as in the reference's matrix."""
-    j = weights.join(F.broadcast(vocab.select("term", "term_id")), "term")
+    terms = vocab.select("term", "term_id")
+    j = weights.join(terms if max_features is None else F.broadcast(terms), "term")
     g = j.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("term_id", "weight"))).alias("e"))
     rows = g.select(F.col(key).alias("id"), F.col("e.term_id").alias("idx"), F.col("e.weight").alias("val"))
     if all_ids is not None:
@@ -58,6 +68,11 @@ class SVDResult:
     sigma: np.ndarray
     n_terms: int
     v: np.ndarray  # k x n_terms right factors (sign-canonical), vocabulary-bounded
+    rows: DataFrame | None = None  # the persisted rows that doc_vectors reads
+
+    def unpersist(self) -> None:
+        if self.rows is not None:
+            self.rows.unpersist()
 
 
 def _canonical_signs(v: np.ndarray) -> np.ndarray:
@@ -73,22 +88,25 @@ def lsi(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, method
     """H1: truncated, uncentred SVD of the document-term matrix with k
     components (descending singular values); document vectors U*sigma.
 
-    ``randomized`` (default): subspace iteration with ``power_iters`` power
-    steps (Halko, Martinsson & Tropp 2011) — 2 * power_iters + 3 passes over
-    the rows whatever k is.  ``arpack``: MLlib ``computeSVD`` (one pass per
-    Lanczos step: exact to tolerance but hundreds of passes)."""
-    if not 0 < k < n_terms:
-        raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
+    ``randomized`` (default): subspace iteration (Halko, Martinsson & Tropp
+    2011), at most ``power_iters`` + 1 passes over the rows whatever k is.
+    ``arpack``: MLlib ``computeSVD`` (one pass per Lanczos step: exact to
+    tolerance but hundreds of passes)."""
+    if not 0 < k <= n_terms or (method == "arpack" and k == n_terms):
+        raise ValueError(f"{k} components need more terms; the vocabulary has {n_terms}")
     if method == "arpack":
         return _lsi_arpack(spark, rows, n_terms, k, partitions)
     return randomized_svd(spark, rows, n_terms, k, oversample, power_iters, seed, partitions)
 
 
+def _spread(rows: DataFrame, partitions: int | None) -> DataFrame:
+    """Rows by id over a stated number of partitions (default: the session's)."""
+    return rows.repartition(partitions or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), "id")
+
+
 def _lsi_arpack(spark, rows, n_terms, k, partitions):
-    parts = partitions or spark.sparkContext.defaultParallelism
-    if rows.rdd.getNumPartitions() < parts:
-        rows = rows.repartition(parts, "id")
-    rdd = rows.rdd.map(lambda r: IndexedRow(int(r["id"]), Vectors.sparse(n_terms, list(r["idx"]), list(r["val"]))))
+    rdd = _spread(rows, partitions).rdd.map(
+        lambda r: IndexedRow(int(r["id"]), Vectors.sparse(n_terms, list(r["idx"]), list(r["val"]))))
     mat = IndexedRowMatrix(rdd, 0, n_terms)
     svd = mat.computeSVD(k, computeU=True)
     sigma = np.asarray(svd.s.toArray())
@@ -103,123 +121,130 @@ def _lsi_arpack(spark, rows, n_terms, k, partitions):
     return SVDResult(docs, topics, sigma, n_terms, v.T.copy())
 
 
-def _blocks(spark, rows: DataFrame, extra: str | None = None, partitions: int | None = None):
-    """Rows as an RDD of per-partition sparse blocks (ids, indptr, cols, data[, extra matrix])."""
-    parts = max(partitions or spark.sparkContext.defaultParallelism, 1)
-    cols = ["id", "idx", "val"] + ([extra] if extra else [])
-    df = rows.select(*cols)
-    if df.rdd.getNumPartitions() < parts:
-        df = df.repartition(parts, "id")
-    return df.rdd.mapPartitions(_block_iter if extra else _block_iter_plain)
+# ------------------------------------------------- passes over sparse rows
 
 
-def _block_iter_plain(it):
-    for b in _block_iter((r[0], r[1], r[2], ()) for r in it):
-        yield b[:4]
+def _column(batch: pa.RecordBatch, name: str) -> pa.Array:
+    return batch.column(batch.schema.get_field_index(name))
 
 
-def _rows_nz(indptr):
-    return np.repeat(np.arange(len(indptr) - 1), np.diff(indptr))
+def _values(batch: pa.RecordBatch, name: str) -> np.ndarray:
+    return _column(batch, name).flatten().to_numpy(zero_copy_only=False)
 
 
-def _row_chunks(indptr, chunk=200_000):
-    """Row ranges whose non-zeros stay under ``chunk`` (bounded temporaries)."""
-    n = len(indptr) - 1
-    start = 0
-    while start < n:
-        end = int(np.searchsorted(indptr, indptr[start] + chunk, side="right")) - 1
-        end = min(max(end, start + 1), n)
-        yield start, end
-        start = end
+def _factor(batch: pa.RecordBatch, name: str = "w") -> np.ndarray:
+    return _values(batch, name).reshape(batch.num_rows, -1)
 
 
-def _dense_chunks(block, n_terms, max_cells=4_000_000):
-    """The block's rows as dense (rows x n_terms) chunks of at most
-    ``max_cells`` cells (the width is the vocabulary, so temporaries stay
-    bounded) — sparse-dense products then run as BLAS matrix products."""
-    ids, indptr, cols, data = block[:4]
-    step = max(1, max_cells // max(n_terms, 1))
-    for r0 in range(0, len(ids), step):
-        r1 = min(r0 + step, len(ids))
-        s, e = indptr[r0], indptr[r1]
-        d = np.zeros((r1 - r0, n_terms))
-        d[np.repeat(np.arange(r1 - r0), np.diff(indptr[r0:r1 + 1])), cols[s:e]] = data[s:e]
-        yield r0, r1, d
+def _lists(x: np.ndarray) -> pa.Array:
+    """The rows of a matrix as list values."""
+    offsets = np.arange(x.shape[0] + 1, dtype=np.int32) * x.shape[1]
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def _a_times(block, z):
-    """A_block @ z for a (n_terms x l) dense z."""
-    out = np.zeros((len(block[0]), z.shape[1]))
-    for r0, r1, d in _dense_chunks(block, z.shape[0]):
-        out[r0:r1] = d @ z
-    return out
+def _dense_chunks(batch: pa.RecordBatch, n_terms: int):
+    """The batch's rows as (first, last, terms, dense) chunks: ``dense`` has a
+    column for each term that occurs in the chunk and at most ``CELLS`` cells
+    (or one row), so products run in BLAS and do not grow with the vocabulary."""
+    ends = np.concatenate([[0], np.cumsum(_column(batch, "idx").value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
+    cols, data = _values(batch, "idx"), _values(batch, "val")
+    r0, n = 0, batch.num_rows
+    while r0 < n:
+        cells = np.arange(1, n - r0 + 1) * np.minimum(ends[r0 + 1:] - ends[r0], n_terms)
+        r1 = r0 + max(1, int(np.searchsorted(cells, CELLS, side="right")))
+        s, e = ends[r0], ends[r1]
+        terms, at = np.unique(cols[s:e], return_inverse=True)
+        dense = np.zeros((r1 - r0, len(terms)))
+        dense[np.repeat(np.arange(r1 - r0), np.diff(ends[r0:r1 + 1])), at] = data[s:e]
+        yield r0, r1, terms, dense
+        r0 = r1
 
 
-def _at_times(block, q, n_terms):
-    """A_blockᵀ @ q for the block's (n_rows x l) q."""
-    out = np.zeros((n_terms, q.shape[1]))
-    for r0, r1, d in _dense_chunks(block, n_terms):
-        out += d.T @ q[r0:r1]
-    return out
+def _summed(rows: DataFrame, share: Callable[[pa.RecordBatch, np.ndarray], None], n: int, width: int) -> np.ndarray:
+    """The (n x width) matrix to which ``share`` adds each Arrow batch of the
+    rows, added up over all tasks slice by slice."""
+    schema = "at int, part binary"
+
+    def out(parts: dict[int, np.ndarray]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int32()),
+                                           pa.array([p.tobytes() for p in parts.values()], pa.binary())], ["at", "part"])
 
+    def slices(batches: Iterator[pa.RecordBatch]):
+        total = None
+        for b in batches:
+            if b.num_rows:
+                total = np.zeros((n, width)) if total is None else total
+                share(b, total)
+        if total is not None:
+            yield out({i: total[i:i + SLICE] for i in range(0, n, SLICE)})
 
-def _orthonormal_rows(blocks, y_of, l):
-    """Distributed CholeskyQR2 of the tall matrix whose row blocks are
-    ``y_of(block)``: returns the l x l map R⁻¹ with Q = Y R⁻¹."""
-    m = np.eye(l)
-    for _ in range(2):
-        mb = m
-        g = blocks.map(lambda b: (y_of(b) @ mb).T @ (y_of(b) @ mb)).treeAggregate(
-            np.zeros((l, l)), lambda a, x: a + x, lambda a, x: a + x)
-        g = (g + g.T) / 2 + np.eye(l) * 1e-12 * max(np.trace(g), 1.0)
-        r = np.linalg.cholesky(g).T
-        m = m @ np.linalg.inv(r)
-    return m
+    def add(batches: Iterator[pa.RecordBatch]):
+        sums: dict[int, np.ndarray] = {}
+        for b in batches:
+            for i, part in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                x = np.frombuffer(part)
+                sums[i] = sums[i] + x if i in sums else x
+        if sums:
+            yield out(sums)
+
+    found = rows.mapInArrow(slices, schema).repartition("at").mapInArrow(add, schema).collect()
+    total = np.zeros((n, width))
+    for r in found:
+        total[r["at"]:r["at"] + SLICE] = np.frombuffer(r["part"]).reshape(-1, width)
+    return total
+
+
+def _projected(rows: DataFrame, v) -> DataFrame:
+    """(id, vector): every row times the broadcast (n_terms x k) matrix."""
+
+    def run(batches: Iterator[pa.RecordBatch]):
+        m = v.value
+        for b in batches:
+            y = np.zeros((b.num_rows, m.shape[1]))
+            for r0, r1, terms, d in _dense_chunks(b, m.shape[0]):
+                y[r0:r1] = d @ m[terms]
+            yield pa.RecordBatch.from_arrays([_column(b, "id"), _lists(y)], ["id", "vector"])
+
+    kind = rows.schema["id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"id {kind}, vector array<double>")
 
 
 def randomized_svd(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, oversample: int = 20,
-                   power_iters: int = 7, seed: int = 42, partitions: int | None = None) -> SVDResult:
+                   power_iters: int = 7, seed: int = 42, partitions: int | None = None,
+                   settled: float = 1e-12) -> SVDResult:
     """Randomized truncated SVD over distributed sparse rows.  Broadcasts and
-    driver state are n_terms x (k + oversample) — bounded by the vocabulary.
+    driver state are n_terms x (k + oversample), bounded by the vocabulary.
 
-    Power steps: Z <- orth(Aᵀ (A Z)), one fused pass each (tree aggregate),
-    orthonormalised on the driver (vocabulary-sized).  Last step: Q = orth(A Z)
-    by a distributed CholeskyQR2 and W = Aᵀ Q.  B = Qᵀ A = Wᵀ is small: its
-    SVD gives Σ and V, and U Σ = Q U_B Σ is computed row-locally."""
+    Each pass forms W = Aᵀ (A Z) for an orthonormal Z.  Rayleigh-Ritz on ZᵀW
+    gives the squared singular values and the right factors V in the span of
+    Z; the next Z is orth(W).  Passes end when no squared singular value of
+    the k moves by more than ``settled`` of the largest, or after
+    ``power_iters`` power steps.  U Σ = A V is computed row-locally."""
     sc = spark.sparkContext
     l = min(k + oversample, n_terms)
-    blocks = _blocks(spark, rows, partitions=partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    z = np.random.default_rng(seed).standard_normal((n_terms, l))
-
-    def gram_step(zz, mm=None):
-        zb_ = sc.broadcast(zz)
-        mb_ = sc.broadcast(mm if mm is not None else np.eye(l))
-        out = blocks.map(lambda b: _at_times(b, _a_times(b, zb_.value) @ mb_.value, n_terms)).treeAggregate(
-            np.zeros((n_terms, l)), lambda a, x: a + x, lambda a, x: a + x)
-        return out, zb_, mb_
-
-    # power steps: Z <- orth(Aᵀ A Z), one fused pass each (A Z and Aᵀ(A Z) in
-    # the same task); the orthonormalisation is on the vocabulary side
-    for _ in range(power_iters):
-        w, zb_, mb_ = gram_step(z)
-        zb_.unpersist()
-        mb_.unpersist()
+    rows = _spread(rows, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    z, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, l)))
+    last = None
+    for step in range(power_iters + 1):
+        zb = sc.broadcast(z)
+
+        def gram(batch, total, zb=zb):
+            for _, _, terms, d in _dense_chunks(batch, n_terms):
+                total[terms] += d.T @ (d @ zb.value[terms])
+
+        w = _summed(rows, gram, n_terms, l)
+        zb.destroy()
+        g = z.T @ w
+        values, e = np.linalg.eigh((g + g.T) / 2)
+        values, e = values[::-1][:k], e[:, ::-1][:, :k]
+        v = z @ e
+        if l == n_terms or (last is not None and np.abs(values - last).max() <= settled * max(values[0], EPS64)):
+            break
+        last = values
         z, _ = np.linalg.qr(w)
-    # final basis Q = orth(A Z) (distributed CholeskyQR2), then W = Aᵀ Q
-    zb = sc.broadcast(z)
-    m = _orthonormal_rows(blocks, lambda b: _a_times(b, zb.value), l)
-    w, _, _ = gram_step(z, m)
-    ub, sv, vt = np.linalg.svd(w.T, full_matrices=False)
-    ub, sv, vt = ub[:, :k], sv[:k], vt[:k]
-    signs = _canonical_signs(vt.T)
-    vt = vt * signs[:, None]
-    ub = ub * signs[None, :]
-    proj = sc.broadcast((m @ ub) * sv[None, :])
-    zf = zb
-    docs = blocks.flatMap(lambda b: [(int(i), [float(x) for x in row])
-                                     for i, row in zip(b[0], _a_times(b, zf.value) @ proj.value)])
-    doc_df = spark.createDataFrame(docs, "id long, vector array<double>")
-    return SVDResult(doc_df, _loadings_df(spark, vt), sv, n_terms, vt.copy())
+    sigma = np.sqrt(np.maximum(values, 0.0))
+    v = v * _canonical_signs(v)
+    return SVDResult(_projected(rows, sc.broadcast(v)), _loadings_df(spark, v.T), sigma, n_terms, v.T.copy(), rows)
 
 
 def _loadings_df(spark: SparkSession, comp: np.ndarray) -> DataFrame:
@@ -239,7 +264,7 @@ def concepts(topics: DataFrame, vocab: DataFrame, n_top: int = 10, threshold: fl
     the number of loadings above ``threshold`` (absolute value for LSI, signed
     for NMF).  ``position`` gives the listing order: ascending for LSI (the
     strongest last), descending for NMF.  Ties by term."""
-    t = topics.join(F.broadcast(vocab.select("term", "term_id")), "term_id")
+    t = topics.join(vocab.select("term", "term_id"), "term_id")
     w = Window.partitionBy("topic").orderBy(F.desc("loading"), F.asc("term"))
     ranked = t.withColumn("r", F.row_number().over(w))
     top = ranked.filter(F.col("r") <= n_top)
@@ -279,7 +304,7 @@ def variance(sigma: np.ndarray, total_sq: float | None = None) -> list[tuple]:
 
 
 def _nndsvda(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, svd: SVDResult):
-    """sklearn-style NNDSVD start from an SVD, zeros replaced by the mean of
+    """NNDSVD start from an SVD (Boutsidis & Gallopoulos 2008), zeros replaced by the mean of
     X over all cells.  Returns (W rows DataFrame (id, w), H ndarray)."""
     sig = svd.sigma
     v = svd.v  # k x n_terms (vocabulary-bounded)
@@ -331,57 +356,70 @@ def _nndsvda(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, svd: SV
     return w0, h
 
 
-def _block_iter(it):
-    ids, idx, val, w = [], [], [], []
-    for r in it:
-        ids.append(r[0])
-        idx.append(np.asarray(r[1], dtype=np.int64))
-        val.append(np.asarray(r[2], dtype=np.float64))
-        w.append(np.asarray(r[3], dtype=np.float64))
-    if not ids:
-        return
-    indptr = np.concatenate([[0], np.cumsum([len(x) for x in idx])])
-    yield (np.asarray(ids), indptr, np.concatenate(idx) if idx else np.zeros(0, np.int64),
-           np.concatenate(val) if val else np.zeros(0), np.vstack(w))
-
-
-def _wh(w, h, rows_nz, cols, chunk=200_000):
-    out = np.empty(len(cols))
-    for s in range(0, len(cols), chunk):
-        e = s + chunk
-        out[s:e] = np.einsum("ij,ji->i", w[rows_nz[s:e]], h[:, cols[s:e]])
-    return out
+def _ratio(d: np.ndarray, w: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """X / (W H) at the non-zeros of X, 0 elsewhere."""
+    return np.where(d != 0, d / np.maximum(w @ h, EPS32), 0.0)
+
+
+def _floor(x: np.ndarray) -> np.ndarray:
+    return np.where(x == 0, EPS32, x)
+
 
+def _w_updated(state: DataFrame, h) -> DataFrame:
+    """The rows (id, idx, val, w) with W after one multiplicative KL update
+    under the broadcast H (row-local)."""
 
-def _update_block(block, h, hsum):
-    """One KL multiplicative update of a partition's W rows (with the current
-    H) and that partition's share of H's numerator (with the new W).  Rows are
-    taken as dense vocabulary-wide chunks so the products run in BLAS; only
-    the non-zeros of X enter the ratios X / (W H)."""
-    ids, indptr, cols, data, w = block
+    def run(batches: Iterator[pa.RecordBatch]):
+        hh = h.value
+        den = _floor(hh.sum(axis=1))
+        for b in batches:
+            w = _factor(b)
+            new = np.zeros_like(w)  # a row without terms has no numerator
+            for r0, r1, terms, d in _dense_chunks(b, hh.shape[1]):
+                ht = hh[:, terms]
+                new[r0:r1] = w[r0:r1] * (_ratio(d, w[r0:r1], ht) @ ht.T) / den
+            yield pa.RecordBatch.from_arrays([*(_column(b, c) for c in ("id", "idx", "val")), _lists(new)],
+                                             ["id", "idx", "val", "w"])
+
+    kind = state.schema["id"].dataType.simpleString()
+    return state.select("id", "idx", "val", "w").mapInArrow(
+        run, f"id {kind}, idx array<int>, val array<double>, w array<double>")
+
+
+def _h_updated(state: DataFrame, h: np.ndarray, hb) -> np.ndarray:
+    """H after one multiplicative KL update under the state's W: one pass whose
+    sums are H's numerator (a row per term) and the column sums of W."""
+    k, n_terms = h.shape
+
+    def share(batch, total):
+        hh, w = hb.value, _factor(batch)
+        total[n_terms] += w.sum(axis=0)
+        for r0, r1, terms, d in _dense_chunks(batch, n_terms):
+            total[terms] += _ratio(d, w[r0:r1], hh[:, terms]).T @ w[r0:r1]
+
+    total = _summed(state, share, n_terms + 1, k)
+    h = h * total[:n_terms].T / _floor(total[n_terms])[:, None]
+    h[h < EPS64] = 0.0
+    return h
+
+
+def divergence(state: DataFrame, h: np.ndarray) -> float:
+    """sqrt(2 KL(X || W H)) of rows (id, idx, val, w): one pass."""
+    sc = state.sparkSession.sparkContext
+    hb = sc.broadcast(h)
     k, n_terms = h.shape
-    w_new = np.empty_like(w)
-    hnum = np.zeros((n_terms, k))
-    den = hsum.copy()
-    den[den == 0] = EPS32
-    for r0, r1, d in _dense_chunks(block, n_terms):
-        nz = d != 0
-        wc = w[r0:r1]
-        r = np.where(nz, d / np.maximum(wc @ h, EPS32), 0.0)
-        wn = wc * (r @ h.T) / den
-        w_new[r0:r1] = wn
-        r2 = np.where(nz, d / np.maximum(wn @ h, EPS32), 0.0)
-        hnum += r2.T @ wn
-    return (ids, indptr, cols, data, w_new), hnum, w_new.sum(axis=0)
-
-
-def _kl_parts(block, h):
-    ids, indptr, cols, data, w = block
-    rows_nz = np.repeat(np.arange(len(ids)), np.diff(indptr))
-    wh = _wh(w, h, rows_nz, cols)
-    wh[wh < EPS32] = EPS32
-    pos = data > 0
-    return np.array([float(np.dot(data[pos], np.log(data[pos] / wh[pos]))), float(data.sum())]), w.sum(axis=0)
+
+    def share(batch, total):  # x log(x / wh) - x, then the column sums of W
+        w = _factor(batch)
+        total[0, 1:] += w.sum(axis=0)
+        for r0, r1, terms, d in _dense_chunks(batch, n_terms):
+            wh = np.maximum(w[r0:r1] @ hb.value[:, terms], EPS32)
+            x = np.where(d > 0, d, 1.0)
+            total[0, 0] += np.where(d > 0, x * np.log(x / wh), 0.0).sum() - d.sum()
+
+    total = _summed(state, share, 1, k + 1)[0]
+    hb.destroy()
+    return float(np.sqrt(2 * max(total[0] + total[1:] @ h.sum(axis=1), 0.0)))
 
 
 @dataclass
@@ -390,83 +428,55 @@ class NMFResult:
     topics: DataFrame  # (topic, term_id, loading)
     n_iter: int
     errors: list
+    state: DataFrame | None = None  # the persisted rows that doc_vectors reads
+
+    def unpersist(self) -> None:
+        if self.state is not None:
+            self.state.unpersist()
 
 
 def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_iter: int = 100, tol: float = 1e-4,
-        init: SVDResult | None = None, checkpoint_every: int = 10) -> NMFResult:
+        init: SVDResult | None = None, start: tuple[DataFrame, np.ndarray] | None = None,
+        checkpoint_every: int = 10, partitions: int | None = None) -> NMFResult:
     """H4: NMF with Kullback-Leibler loss and multiplicative updates (W then
     H each iteration), NNDSVDa start from an SVD, stop when the divergence
-    drop over 10 iterations relative to the start is below ``tol``."""
+    drop over 10 iterations relative to the start is below ``tol``.  ``start``
+    gives the factors to begin with instead: W rows (id, w) and H.
+
+    ``errors`` holds the divergence at the start and after every tenth
+    iteration (none with ``tol=0``).  An iteration persists the new W beside
+    the rows, sums H's numerator over it and releases the one before."""
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
     if not 0 < k < n_terms:
         raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
-    svd = init or lsi(spark, rows, n_terms, k)
-    w0, h = _nndsvda(spark, rows, n_terms, k, svd)
-    joined = rows.join(w0, "id").select("id", "idx", "val", "w")
-    parts = max(joined.rdd.getNumPartitions(), sc.defaultParallelism)
-    state = joined.repartition(parts, "id").rdd.mapPartitions(_block_iter).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def divergence(st, hh):
-        hb = sc.broadcast(hh)
-        z = (np.zeros(2), np.zeros(k))
-        s, wsum = st.map(lambda b: _kl_parts(b, hb.value)).treeAggregate(
-            z, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
-        hb.unpersist()
-        res = s[0] + float(np.dot(wsum, hh.sum(axis=1))) - s[1]
-        return float(np.sqrt(2 * max(res, 0.0)))
-
-    err0 = divergence(state, h)
-    prev = err0
-    errors = [err0]
-    it = 0
-    prev_upd = state
+    w0, h = start or _nndsvda(spark, rows, n_terms, k, init or lsi(spark, rows, n_terms, k))
+    state = _spread(rows.join(w0, "id").select("id", "idx", "val", "w"), partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    errors = [divergence(state, h)] if tol > 0 else []
+    it, used = 0, []
     for it in range(1, max_iter + 1):
         hb = sc.broadcast(h)
-        hs = sc.broadcast(h.sum(axis=1))
-        upd = state.map(lambda b, hb=hb, hs=hs: _update_block(b, hb.value, hs.value)).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        zero = (np.zeros((n_terms, k)), np.zeros(k))
-        hnum, wsum = upd.map(lambda t: (t[1], t[2])).treeAggregate(
-            zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
-        hb.unpersist()  # executors' copies only; re-fetched if a lost task needs them
-        hs.unpersist()
-        den = wsum.copy()
-        den[den == 0] = EPS32
-        h = h * hnum.T / den[:, None]
-        h[h < EPS64] = 0.0
-        # the new W blocks are a cheap map over the persisted update; every
-        # ``checkpoint_every`` iterations they are written out to cut lineage
-        state = upd.map(lambda t: t[0])
+        used.append(hb)
+        new = _w_updated(state, hb).persist(StorageLevel.MEMORY_AND_DISK)
+        h = _h_updated(new, h, hb)
         if it % checkpoint_every == 0:
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            state.checkpoint()
-            state.count()
-        prev_upd.unpersist()
-        prev_upd = upd
+            cut = new.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
+            new.unpersist()
+            new = cut
+        state.unpersist()
+        if it % checkpoint_every == 0:  # nothing before the checkpoint is computed again
+            for b in used:
+                b.destroy()
+            used = []
+        state = new
         if tol > 0 and it % 10 == 0:
-            err = divergence(state, h)
-            errors.append(err)
-            if (prev - err) / err0 < tol:
+            errors.append(divergence(state, h))
+            if (errors[-2] - errors[-1]) / errors[0] < tol:
                 break
-            prev = err
-    docs = state.flatMap(lambda b: [(int(i), [float(x) for x in row]) for i, row in zip(b[0], b[4])])
-    doc_df = spark.createDataFrame(docs, "id long, vector array<double>")
-    return NMFResult(doc_df, _loadings_df(spark, h), it, errors)
+    return NMFResult(state.select("id", F.col("w").alias("vector")), _loadings_df(spark, h), it, errors, state)
 
 
 def nmf_w_step(spark: SparkSession, rows_w: DataFrame, h: np.ndarray) -> DataFrame:
     """One multiplicative KL update of the document factors (the W half of an
     NMF iteration) for rows (id, idx, val, w) and a fixed H: (id, w)."""
-    sc = spark.sparkContext
-    hb = sc.broadcast(h)
-    hs = sc.broadcast(h.sum(axis=1))
-
-    def run(it):
-        for b in _block_iter(it):
-            new, _, _ = _update_block(b, hb.value, hs.value)
-            for i, row in zip(new[0], new[4]):
-                yield int(i), [float(x) for x in row]
-
-    out = rows_w.select("id", "idx", "val", "w").rdd.mapPartitions(run)
-    return spark.createDataFrame(out, "id long, w array<double>")
+    return _w_updated(rows_w, spark.sparkContext.broadcast(h)).select("id", "w")

@@ -23,13 +23,84 @@ def test_randomized_svd_matches_numpy(spark):
     assert np.allclose(got, ref, atol=1e-6)
 
 
+def test_arpack_and_full_rank(spark):
+    rng = np.random.default_rng(5)
+    a = rng.random((30, 12)) * (rng.random((30, 12)) < 0.5)
+    a[4] = 0  # a document without terms
+    s = np.linalg.svd(a, compute_uv=False)
+    assert np.allclose(tp.lsi(spark, _rows(spark, a), 12, 5, method="arpack").sigma, s[:5], atol=1e-8)
+    r = tp.lsi(spark, _rows(spark, a), 12, 12)
+    got = np.vstack(r.doc_vectors.orderBy("id").toPandas()["vector"].to_numpy())
+    assert np.allclose(got @ r.v, a, atol=1e-8)
+
+
+def test_svd_of_many_chunks(spark, monkeypatch):
+    rng = np.random.default_rng(6)
+    a = rng.random((60, 120)) * (rng.random((60, 120)) < 0.2)
+    monkeypatch.setattr(tp, "CELLS", 50)
+    r = tp.lsi(spark, _rows(spark, a), 120, 4, oversample=40, power_iters=30)
+    assert np.allclose(r.sigma, np.linalg.svd(a, compute_uv=False)[:4], atol=1e-8)
+
+
+def _kl(a, w, h):
+    wh = np.maximum(w @ h, tp.EPS32)
+    return np.sqrt(2 * (np.where(a > 0, a * np.log(np.where(a > 0, a, 1) / wh), 0).sum() - a.sum() + (w @ h).sum()))
+
+
 def test_nmf_divergence_decreases(spark):
     rng = np.random.default_rng(1)
     a = rng.random((30, 20)) * (rng.random((30, 20)) < 0.5)
-    res = tp.nmf(spark, _rows(spark, a), 20, k=4, max_iter=30, tol=0)
+    a[3] = 0
+    w, h = 1 + rng.random((30, 4)), 1 + rng.random((4, 20))
+    state = _rows(spark, a).join(spark.createDataFrame([(i, w[i].tolist()) for i in range(30)], "id long, w array<double>"), "id")
+    sc, last = spark.sparkContext, tp.divergence(state, h)
+    assert abs(last - _kl(a, w, h)) < 1e-9
+    for _ in range(4):  # every half step against numpy, and none raises the divergence
+        hb = sc.broadcast(h)
+        state = tp._w_updated(state, hb)
+        w = w * (np.where(a > 0, a / np.maximum(w @ h, tp.EPS32), 0) @ h.T) / h.sum(1)
+        got = np.vstack(state.orderBy("id").toPandas()["w"].to_numpy())
+        assert np.allclose(got, w, atol=1e-10)
+        new = tp._h_updated(state, h, hb)
+        h = h * (w.T @ np.where(a > 0, a / np.maximum(w @ h, tp.EPS32), 0)) / w.sum(0)[:, None]
+        assert np.allclose(new, h, atol=1e-10)
+        now = tp.divergence(state, h)
+        assert now <= last + 1e-9
+        last = now
+
+
+def test_nmf_run(spark):
+    rng = np.random.default_rng(1)
+    a = rng.random((30, 20)) * (rng.random((30, 20)) < 0.5)
+    res = tp.nmf(spark, _rows(spark, a), 20, k=4, max_iter=30, tol=1e-9)
     w = np.vstack(res.doc_vectors.orderBy("id").toPandas()["vector"].to_numpy())
-    assert (w >= 0).all()
-    assert res.n_iter == 30
+    h = res.topics.orderBy("topic", "term_id").toPandas()["loading"].to_numpy().reshape(4, 20)
+    assert (w >= 0).all() and (h >= 0).all()
+    assert res.n_iter == 30 and len(res.errors) == 4 and np.all(np.diff(res.errors) <= 1e-9)
+    assert abs(res.errors[-1] - _kl(a, w, h)) < 1e-6
+
+
+def test_topic_cluster_report_and_sweep(spark):
+    rng = np.random.default_rng(3)
+    pts = np.vstack([rng.normal(c, 0.05, (8, 3)) for c in ([1, 0, 0], [0, 1, 0], [0, 0, 1])])
+    v = spark.createDataFrame([(i, pts[i].tolist()) for i in range(24)], "id long, vector array<double>")
+    details = spark.createDataFrame([(i, f"m{i}", None, "p", "r", "x" * 300) for i in range(24)],
+                                    "id long, member_name string, sitting_date date, political_party string, roles string, merged_speech string")
+    lines = cl.topic_cluster_report(v, 3, details).orderBy("cluster", "line_no").collect()
+    x = pts / np.linalg.norm(pts, axis=1, keepdims=True)
+    want = set()
+    for g in range(3):
+        d = np.linalg.norm(x[8 * g:8 * g + 8] - x[8 * g:8 * g + 8].mean(0), axis=1)
+        want.add(tuple(8 * g + i for i in np.argsort(d)[:2]))
+    got = {}
+    for r in lines:
+        if "Speech ID:" in r["line"]:
+            got.setdefault(r["cluster"], []).append(int(r["line"].split(":")[1]))
+    assert {tuple(g) for g in got.values()} == want
+    assert len(lines) == 3 * 16 and "  Sitting Date: None" in {r["line"] for r in lines}
+    total = ((x - x.mean(0)) ** 2).sum()
+    for k, within, score, both in cl.sweep(cl.normalize(v), [2, 3]):
+        assert abs(both - total) < 1e-9 and 0 <= within <= total and -1 <= score <= 1
 
 
 def test_assign_and_silhouette(spark):
