@@ -57,7 +57,8 @@ def centres_of(vectors: DataFrame, cluster: str = "cluster", col: str = "vector"
     return means.select(cluster, vector_to_array("m").alias("centre"))
 
 
-def _own_distance(vectors: DataFrame, centres: DataFrame, cluster: str, col: str) -> DataFrame:
+def with_own_distance(vectors: DataFrame, centres: DataFrame, cluster: str = "cluster",
+                      col: str = "vector") -> DataFrame:
     """Adds ``distance``, the Euclidean distance of a point to its own centre."""
     j = vectors.join(centres.select(F.col(cluster).alias("_c"), "centre"), F.col(cluster) == F.col("_c")).drop("_c")
     sq = F.aggregate(F.zip_with("centre", col, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda s, x: s + x)
@@ -67,7 +68,7 @@ def _own_distance(vectors: DataFrame, centres: DataFrame, cluster: str, col: str
 def wcss(vectors: DataFrame, cluster: str = "cluster", col: str = "vector") -> DataFrame:
     """H11 (inertia for given labels): sum of squared distances of the points
     to the mean of their cluster, as one row."""
-    d = _own_distance(vectors, centres_of(vectors, cluster, col), cluster, col)
+    d = with_own_distance(vectors, centres_of(vectors, cluster, col), cluster, col)
     return d.agg(F.sum(F.col("distance") * F.col("distance")).alias("wcss"))
 
 
@@ -98,7 +99,7 @@ def representatives(vectors: DataFrame, centres: DataFrame, n: int = 2, cluster:
                     col: str = "vector") -> DataFrame:
     """H9: the ``n`` members of each cluster nearest (Euclidean) to its centre,
     ties by id.  Distance is computed to the point's own centre only."""
-    d = _own_distance(vectors, centres, cluster, col)
+    d = with_own_distance(vectors, centres, cluster, col)
     w = Window.partitionBy(cluster).orderBy(F.round("distance", RANK_DIGITS), "id")
     return d.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n).select(
         cluster, "rank", "id", "distance")

@@ -6,7 +6,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 CONSOLIDATION_KEYS = [
@@ -37,10 +37,26 @@ def scan_speeches(speeches: DataFrame) -> DataFrame:
     return speeches.select("id", "sitting_date", "political_party", "merged_speech")
 
 
+def with_position(df: DataFrame, *order) -> DataFrame:
+    """Add ``pos``, the row's number (from 1) in the order, without a one-task
+    window: rows are range-partitioned and sorted, the layout is written once
+    (``checkpoint``), and a row's number is its place in its partition plus the
+    rows of the partitions before (a table with a row for each partition)."""
+    place = F.monotonically_increasing_id()  # partition number << 33 | place in it
+    laid = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_place", place).checkpoint()
+    part = F.shiftright("_place", 33)
+    sizes = laid.groupBy(part.alias("_part")).agg(F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = sizes.select("_part", before.alias("_before"))
+    out = laid.join(offsets, part == F.col("_part"))
+    inside = F.col("_place") - F.shiftleft("_part", 33)
+    return out.select(*df.columns, (F.col("_before") + inside + 1).alias("pos"))
+
+
 def scan_by_date(speeches: DataFrame) -> DataFrame:
-    """A2: (id, text) in sitting-date order (id breaks ties); a range-partitioned
-    sort, never a single-task one."""
-    return speeches.select("id", "sitting_date", "merged_speech").orderBy("sitting_date", "id")
+    """A2: (id, sitting_date, text, pos) with the row's number in sitting-date
+    order (id breaks ties)."""
+    return with_position(speeches.select("id", "sitting_date", "merged_speech"), "sitting_date", "id")
 
 
 def count_rows(df: DataFrame) -> DataFrame:

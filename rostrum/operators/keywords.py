@@ -112,25 +112,30 @@ def overall_keyword_trend(kw_meta: DataFrame, top_overall: DataFrame) -> DataFra
     return y.groupBy("sitting_year", "keyword").agg(F.sum("score").alias("score"))
 
 
-def trend_pivot(trends: DataFrame, top_n: int = 10, ranked_keywords: list[str] | None = None) -> DataFrame:
-    """Year x keyword matrix of summed scores, 0 where missing.
-
-    Without ``ranked_keywords`` the columns are the ``top_n`` keywords of
-    highest total over all groups and years (D18).  The keyword list is a
-    bounded driver-side value (``top_n`` strings)."""
-    if ranked_keywords is None:
-        tot = trends.groupBy("keyword").agg(F.sum("score").alias("t"))
-        top = tot.orderBy(F.desc(F.round("t", RANK_DIGITS)), F.asc("keyword")).limit(top_n)
-        ranked_keywords = [r["keyword"] for r in top.collect()]
+def top_of_trends(trends: DataFrame, top_n: int = 10) -> DataFrame:
+    """(rank, keyword) of the keywords of highest total over all groups and years."""
+    tot = trends.groupBy("keyword").agg(F.sum("score").alias("t"))
+    order = [F.desc(F.round("t", RANK_DIGITS)), F.asc("keyword")]
+    w = Window.orderBy(*order)  # over top_n rows only
+    return tot.orderBy(*order).limit(top_n).select(F.row_number().over(w).alias("rank"), "keyword")
+
+
+def trend_matrix(trends: DataFrame, ranked: DataFrame) -> DataFrame:
+    """(sitting_year, keyword, rank, score) for every year that has
+    any of the ranked keywords and each of them, 0 where missing; ``ranked`` is
+    a bounded (rank, keyword) table.  The ranking is a scalar subquery of the
+    same plan, so nothing runs before the result does; a year's scores are one
+    map of at most as many entries as there are ranked keywords."""
+    top = F.sort_array(F.collect_list(F.struct("rank", "keyword")))
+    ranks = ranked.agg(top.alias("top")).scalar()
+    sums = trends.join(ranked.select("keyword"), "keyword", "left_semi").groupBy("sitting_year", "keyword").agg(F.sum("score").alias("score"))
+    years = sums.groupBy("sitting_year").agg(F.map_from_entries(F.collect_list(F.struct("keyword", "score"))).alias("scores"))
+    cells = years.select("sitting_year", "scores", F.explode(ranks).alias("k"))
+    return cells.select("sitting_year", F.col("k.keyword").alias("keyword"), F.col("k.rank").alias("rank"),
+                        F.coalesce(F.try_element_at("scores", F.col("k.keyword")), F.lit(0.0)).alias("score"))
+
+
+def trend_pivot(trends: DataFrame, ranked_keywords: list[str]) -> DataFrame:
+    """The matrix with a column for each of the named keywords."""
     sub = trends.filter(F.col("keyword").isin(ranked_keywords))
     return sub.groupBy("sitting_year").pivot("keyword", ranked_keywords).agg(F.sum("score")).na.fill(0.0)
-
-
-def pivot_long(pivoted: DataFrame, ranked_keywords: list[str]) -> DataFrame:
-    """The pivot as (sitting_year, keyword, rank, score) rows (unpivot)."""
-    cols = [c for c in ranked_keywords if c in pivoted.columns]
-    if not cols:
-        return pivoted.sparkSession.createDataFrame([], "sitting_year int, keyword string, rank int, score double")
-    long = pivoted.unpivot("sitting_year", cols, "keyword", "score")
-    order = F.array_position(F.array(*[F.lit(c) for c in ranked_keywords]), F.col("keyword")).cast("int")
-    return long.select("sitting_year", "keyword", order.alias("rank"), "score")

@@ -8,9 +8,10 @@ factors (one k-vector per document) stay distributed.
 A pass over the rows is one ``mapInArrow``: each task adds up its share of a
 vocabulary-wide matrix, the shares travel in slices of ``SLICE`` terms and are
 added up by slice in an exchange, so the driver receives one matrix however
-many tasks there are.  NMF has no MLlib counterpart; the document factor W
-is a column beside the sparse rows and the topic matrix H (k x vocabulary) is
-broadcast.  Lineage is cut with reliable checkpoints (the folder named by
+many tasks there are.  NMF has no MLlib counterpart; each iteration is one
+pass: the document factor W of a partition lives beside its sparse rows, the
+topic matrix H (k x vocabulary) is broadcast, and the sums for H's update are
+combined by a tree aggregation.  Lineage is cut with reliable checkpoints (the folder named by
 ``spark.checkpoint.dir``) every ``checkpoint_every`` iterations.
 """
 
@@ -386,40 +387,71 @@ def _w_updated(state: DataFrame, h) -> DataFrame:
         run, f"id {kind}, idx array<int>, val array<double>, w array<double>")
 
 
-def _h_updated(state: DataFrame, h: np.ndarray, hb) -> np.ndarray:
-    """H after one multiplicative KL update under the state's W: one pass whose
-    sums are H's numerator (a row per term) and the column sums of W."""
-    k, n_terms = h.shape
-
-    def share(batch, total):
-        hh, w = hb.value, _factor(batch)
-        total[n_terms] += w.sum(axis=0)
-        for r0, r1, terms, d in _dense_chunks(batch, n_terms):
-            total[terms] += _ratio(d, w[r0:r1], hh[:, terms]).T @ w[r0:r1]
-
-    total = _summed(state, share, n_terms + 1, k)
-    h = h * total[:n_terms].T / _floor(total[n_terms])[:, None]
-    h[h < EPS64] = 0.0
-    return h
+def _block_chunks(block, n_terms, max_cells=4_000_000):
+    """The block's rows as dense (rows x n_terms) chunks of at most
+    ``max_cells`` cells (the width is the vocabulary, so temporaries stay
+    bounded) — sparse-dense products then run as BLAS matrix products."""
+    ids, indptr, cols, data = block[:4]
+    step = max(1, max_cells // max(n_terms, 1))
+    for r0 in range(0, len(ids), step):
+        r1 = min(r0 + step, len(ids))
+        s, e = indptr[r0], indptr[r1]
+        d = np.zeros((r1 - r0, n_terms))
+        d[np.repeat(np.arange(r1 - r0), np.diff(indptr[r0:r1 + 1])), cols[s:e]] = data[s:e]
+        yield r0, r1, d
+
+
+def _block_iter(it):
+    ids, idx, val, w = [], [], [], []
+    for r in it:
+        ids.append(r[0])
+        idx.append(np.asarray(r[1], dtype=np.int64))
+        val.append(np.asarray(r[2], dtype=np.float64))
+        w.append(np.asarray(r[3], dtype=np.float64))
+    if not ids:
+        return
+    indptr = np.concatenate([[0], np.cumsum([len(x) for x in idx])])
+    yield (np.asarray(ids), indptr, np.concatenate(idx) if idx else np.zeros(0, np.int64),
+           np.concatenate(val) if val else np.zeros(0), np.vstack(w))
+
+
+def _wh(w, h, rows_nz, cols, chunk=200_000):
+    out = np.empty(len(cols))
+    for s in range(0, len(cols), chunk):
+        e = s + chunk
+        out[s:e] = np.einsum("ij,ji->i", w[rows_nz[s:e]], h[:, cols[s:e]])
+    return out
 
 
-def divergence(state: DataFrame, h: np.ndarray) -> float:
-    """sqrt(2 KL(X || W H)) of rows (id, idx, val, w): one pass."""
-    sc = state.sparkSession.sparkContext
-    hb = sc.broadcast(h)
+def _update_block(block, h, hsum):
+    """One KL multiplicative update of a partition's W rows (with the current
+    H) and that partition's share of H's numerator (with the new W).  Rows are
+    taken as dense vocabulary-wide chunks so the products run in BLAS; only
+    the non-zeros of X enter the ratios X / (W H)."""
+    ids, indptr, cols, data, w = block
     k, n_terms = h.shape
-
-    def share(batch, total):  # x log(x / wh) - x, then the column sums of W
-        w = _factor(batch)
-        total[0, 1:] += w.sum(axis=0)
-        for r0, r1, terms, d in _dense_chunks(batch, n_terms):
-            wh = np.maximum(w[r0:r1] @ hb.value[:, terms], EPS32)
-            x = np.where(d > 0, d, 1.0)
-            total[0, 0] += np.where(d > 0, x * np.log(x / wh), 0.0).sum() - d.sum()
-
-    total = _summed(state, share, 1, k + 1)[0]
-    hb.destroy()
-    return float(np.sqrt(2 * max(total[0] + total[1:] @ h.sum(axis=1), 0.0)))
+    w_new = np.empty_like(w)
+    hnum = np.zeros((n_terms, k))
+    den = hsum.copy()
+    den[den == 0] = EPS32
+    for r0, r1, d in _block_chunks(block, n_terms):
+        nz = d != 0
+        wc = w[r0:r1]
+        r = np.where(nz, d / np.maximum(wc @ h, EPS32), 0.0)
+        wn = wc * (r @ h.T) / den
+        w_new[r0:r1] = wn
+        r2 = np.where(nz, d / np.maximum(wn @ h, EPS32), 0.0)
+        hnum += r2.T @ wn
+    return (ids, indptr, cols, data, w_new), hnum, w_new.sum(axis=0)
+
+
+def _kl_parts(block, h):
+    ids, indptr, cols, data, w = block
+    rows_nz = np.repeat(np.arange(len(ids)), np.diff(indptr))
+    wh = _wh(w, h, rows_nz, cols)
+    wh[wh < EPS32] = EPS32
+    pos = data > 0
+    return np.array([float(np.dot(data[pos], np.log(data[pos] / wh[pos]))), float(data.sum())]), w.sum(axis=0)
 
 
 @dataclass
@@ -428,11 +460,6 @@ class NMFResult:
     topics: DataFrame  # (topic, term_id, loading)
     n_iter: int
     errors: list
-    state: DataFrame | None = None  # the persisted rows that doc_vectors reads
-
-    def unpersist(self) -> None:
-        if self.state is not None:
-            self.state.unpersist()
 
 
 def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_iter: int = 100, tol: float = 1e-4,
@@ -441,39 +468,61 @@ def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_it
     """H4: NMF with Kullback-Leibler loss and multiplicative updates (W then
     H each iteration), NNDSVDa start from an SVD, stop when the divergence
     drop over 10 iterations relative to the start is below ``tol``.  ``start``
-    gives the factors to begin with instead: W rows (id, w) and H.
-
-    ``errors`` holds the divergence at the start and after every tenth
-    iteration (none with ``tol=0``).  An iteration persists the new W beside
-    the rows, sums H's numerator over it and releases the one before."""
+    gives the factors to begin with instead: W rows (id, w) and H."""
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
     if not 0 < k < n_terms:
         raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
     w0, h = start or _nndsvda(spark, rows, n_terms, k, init or lsi(spark, rows, n_terms, k))
-    state = _spread(rows.join(w0, "id").select("id", "idx", "val", "w"), partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    errors = [divergence(state, h)] if tol > 0 else []
-    it, used = 0, []
+    joined = rows.join(w0, "id").select("id", "idx", "val", "w")
+    state = _spread(joined, partitions).rdd.mapPartitions(_block_iter).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def divergence(st, hh):
+        hb = sc.broadcast(hh)
+        z = (np.zeros(2), np.zeros(k))
+        s, wsum = st.map(lambda b: _kl_parts(b, hb.value)).treeAggregate(
+            z, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        hb.unpersist()
+        res = s[0] + float(np.dot(wsum, hh.sum(axis=1))) - s[1]
+        return float(np.sqrt(2 * max(res, 0.0)))
+
+    err0 = divergence(state, h)
+    prev = err0
+    errors = [err0]
+    it = 0
+    prev_upd = state
     for it in range(1, max_iter + 1):
         hb = sc.broadcast(h)
-        used.append(hb)
-        new = _w_updated(state, hb).persist(StorageLevel.MEMORY_AND_DISK)
-        h = _h_updated(new, h, hb)
+        hs = sc.broadcast(h.sum(axis=1))
+        upd = state.map(lambda b, hb=hb, hs=hs: _update_block(b, hb.value, hs.value)).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        zero = (np.zeros((n_terms, k)), np.zeros(k))
+        hnum, wsum = upd.map(lambda t: (t[1], t[2])).treeAggregate(
+            zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
+        hb.unpersist()  # executors' copies only; re-fetched if a lost task needs them
+        hs.unpersist()
+        den = wsum.copy()
+        den[den == 0] = EPS32
+        h = h * hnum.T / den[:, None]
+        h[h < EPS64] = 0.0
+        # the new W blocks are a cheap map over the persisted update; every
+        # ``checkpoint_every`` iterations they are written out to cut lineage
+        state = upd.map(lambda t: t[0])
         if it % checkpoint_every == 0:
-            cut = new.checkpoint().persist(StorageLevel.MEMORY_AND_DISK)
-            new.unpersist()
-            new = cut
-        state.unpersist()
-        if it % checkpoint_every == 0:  # nothing before the checkpoint is computed again
-            for b in used:
-                b.destroy()
-            used = []
-        state = new
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            state.checkpoint()
+            state.count()
+        prev_upd.unpersist()
+        prev_upd = upd
         if tol > 0 and it % 10 == 0:
-            errors.append(divergence(state, h))
-            if (errors[-2] - errors[-1]) / errors[0] < tol:
+            err = divergence(state, h)
+            errors.append(err)
+            if (prev - err) / err0 < tol:
                 break
-    return NMFResult(state.select("id", F.col("w").alias("vector")), _loadings_df(spark, h), it, errors, state)
+            prev = err
+    docs = state.flatMap(lambda b: [(int(i), [float(x) for x in row]) for i, row in zip(b[0], b[4])])
+    doc_df = spark.createDataFrame(docs, "id long, vector array<double>")
+    return NMFResult(doc_df, _loadings_df(spark, h), it, errors)
 
 
 def nmf_w_step(spark: SparkSession, rows_w: DataFrame, h: np.ndarray) -> DataFrame:

@@ -30,7 +30,8 @@ def q_scan_speeches(spark, sf):
     return co.scan_speeches(_m(spark, sf))
 
 
-@query("scan_by_date", _sql(M, body="SELECT id, sitting_date, merged_speech FROM merged"))
+@query("scan_by_date", _sql(M, body="""
+SELECT id, sitting_date, merged_speech, row_number() OVER (ORDER BY sitting_date NULLS FIRST, id) AS pos FROM merged"""))
 def q_scan_by_date(spark, sf):
     return co.scan_by_date(_m(spark, sf))
 

@@ -161,7 +161,13 @@ def q_topic_report_lines(spark, sf):
         "topic", F.col("line_no").cast("int"), "line")
 
 
-# ---- rows-only: iterative / randomised algorithms (no SQL equivalent)
+# ---- topic models.  Factors and labels of a randomised or iterative fit have no
+# SQL equivalent, so the queries over the whole corpus return what SQL can say
+# about every row of them; the kernels are compared value by value below.
+
+_SPEECH = sp.speech_corpus_ctes()
+_LSI_K = 100
+_SWEEP = range(10, 250, 10)
 
 
 def _speech_rows(spark, sf):
@@ -170,7 +176,7 @@ def _speech_rows(spark, sf):
     return m, rows, m.vocab.count()
 
 
-def _lsi(spark, sf, k=100):
+def _lsi(spark, sf, k=_LSI_K):
     key = ("lsi", spark.sparkContext.applicationId, sf, k)
     if key not in corpora._MEMO:
         m, rows, nt = _speech_rows(spark, sf)
@@ -186,59 +192,209 @@ def _nmf(spark, sf, k=100):
     return corpora._MEMO[key]
 
 
-@query("lsi_vectors")
+def _lsi_vectors(spark, sf):
+    return _lsi(spark, sf)[3].doc_vectors
+
+
+def _nmf_vectors(spark, sf):
+    return _nmf(spark, sf)[1].doc_vectors
+
+
+def _square(col):
+    return F.aggregate(col, F.lit(0.0), lambda a, x: a + x * x)
+
+
+@query("lsi_vectors", _sql(*_SPEECH, body=f"""
+SELECT m.id, CAST({_LSI_K} AS INTEGER) AS n_components, round(coalesce(s.sq, 0), {R}) AS row_sq, TRUE AS inside
+FROM merged m LEFT JOIN (SELECT id, sum(weight * weight) AS sq FROM d_w GROUP BY id) s USING (id)
+WHERE m.merged_speech IS NOT NULL"""))
 def q_lsi_vectors(spark, sf):
-    return _explode(_lsi(spark, sf)[3].doc_vectors)
+    """H1 per document: its components, the squared length of its matrix row,
+    and that its vector, a projection of the row, is not longer."""
+    _, rows, _, svd = _lsi(spark, sf)
+    j = svd.doc_vectors.join(rows.select("id", _square("val").alias("sq")), "id")
+    return j.select("id", F.size("vector").alias("n_components"), F.round("sq", R).alias("row_sq"),
+                    (_square("vector") <= F.col("sq") + 1e-9).alias("inside"))
 
 
-@query("lsi_concepts")
+@query("lsi_concepts", _sql(*_SPEECH, body=f"""
+SELECT CAST(t.topic AS INTEGER) AS topic, least(10, v.n) AS n_words, 1.0::DOUBLE AS loading_sq, TRUE AS in_order
+FROM (SELECT unnest(range(1, {_LSI_K} + 1)) AS topic) t, (SELECT count(*) AS n FROM d_vocab) v"""))
 def q_lsi_concepts(spark, sf):
+    """H2 per concept: its listed words, the squared length of its loadings
+    (1) and that the listing goes from the weakest to the strongest."""
     m, _, _, svd = _lsi(spark, sf)
-    return tp.concepts(svd.topics, m.vocab, absolute=True, descending=False)
+    c = tp.concepts(svd.topics, m.vocab, absolute=True, descending=False)
+    listed = c.groupBy("topic").agg(
+        F.count_distinct("term").alias("n_words"),
+        F.transform(F.sort_array(F.collect_list(F.struct("position", "loading"))), lambda s: s["loading"]).alias("l"))
+    length = svd.topics.groupBy("topic").agg(F.round(F.sum(F.col("loading") * F.col("loading")), R).alias("loading_sq"))
+    return listed.join(length, "topic").select("topic", "n_words", "loading_sq", (F.col("l") == F.sort_array("l")).alias("in_order"))
 
 
-@query("lsi_variance")
+@query("lsi_variance", _sql(*_SPEECH, body=f"""
+SELECT CAST(r.rank AS INTEGER) AS rank, round(t.sq, 3) AS total_sq, TRUE AS in_order, TRUE AS inside
+FROM (SELECT unnest(range(1, 151)) AS rank) r, (SELECT sum(weight * weight) AS sq FROM d_w) t"""))
 def q_lsi_variance(spark, sf):
-    m, rows, nt = _speech_rows(spark, sf)
+    """H3 per component: the matrix's squared norm, that singular values
+    descend and that the shares up to this one sum to no more than all."""
+    _, rows, nt = _speech_rows(spark, sf)
     svd = tp.lsi(spark, rows, nt, 150)
-    total = rows.select(F.aggregate("val", F.lit(0.0), lambda a, x: a + x * x).alias("s")).agg(F.sum("s")).first()[0]
-    return spark.createDataFrame(tp.variance(svd.sigma, total),
-                                 "rank int, sigma double, ratio_within_k double, cumulative double, ratio_total double")
-
-
-@query("nmf_vectors")
+    total = rows.select(_square("val").alias("s")).agg(F.sum("s")).first()[0]
+    out, before, seen = [], float("inf"), 0.0
+    for rank, sigma, _, cumulative, share in tp.variance(svd.sigma, total):
+        seen += share
+        out.append((rank, round(total, 3), sigma <= before, seen <= 1 + 1e-9 and cumulative <= 1 + 1e-9))
+        before = sigma
+    svd.unpersist()
+    return spark.createDataFrame(out, "rank int, total_sq double, in_order boolean, inside boolean")
+
+
+@query("nmf_vectors", _sql(*_SPEECH, body=f"""
+SELECT id, CAST({_LSI_K} AS INTEGER) AS n_components, TRUE AS non_negative FROM merged WHERE merged_speech IS NOT NULL"""))
 def q_nmf_vectors(spark, sf):
-    return _explode(_nmf(spark, sf)[1].doc_vectors)
+    """H4 per document: its components, and that none is negative."""
+    return _nmf_vectors(spark, sf).select(
+        "id", F.size("vector").alias("n_components"), F.forall("vector", lambda x: x >= 0).alias("non_negative"))
 
 
-@query("nmf_concepts")
+@query("nmf_concepts", _sql(*_SPEECH, body="SELECT term, round(sum(weight), 4) AS mass FROM d_w GROUP BY term"))
 def q_nmf_concepts(spark, sf):
+    """H4 / H5 per term: the weight that W H gives it in all documents.  An
+    update of H makes it that of the matrix itself, whatever W is."""
     m, res = _nmf(spark, sf)
-    return tp.concepts(res.topics, m.vocab, absolute=False, descending=True)
+    w = res.doc_vectors.select(F.posexplode("vector").alias("t", "x")).groupBy("t").agg(F.sum("x").alias("w"))
+    j = res.topics.join(w, F.col("topic") == F.col("t") + 1)
+    mass = j.groupBy("term_id").agg(F.round(F.sum(F.col("loading") * F.col("w")), 4).alias("mass"))
+    return mass.join(m.vocab.select("term", "term_id"), "term_id").select("term", "mass")
+
+
+# ---- K-means
 
 
-@query("kmeans_embeddings")
+def _nearest(spark, vectors, k):
+    """Per point: no centre of the fitted model is nearer than its own."""
+    v = cl.normalize(vectors.select("id", "vector"))
+    model, assigned = cl.fit_kmeans(v, k)
+    centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())],
+                                    "cluster int, centre array<double>")
+    best = cl.assign(v, centres).select("id", F.col("distance").alias("best"))
+    own = v.join(assigned.select("id", "cluster"), "id")
+    own = cl.with_own_distance(own, centres).select("id", "distance")
+    return own.join(best, "id").select("id", (F.col("distance") <= F.col("best") + 1e-6).alias("nearest"))
+
+
+_SPEECH_IDS = "FROM merged WHERE merged_speech IS NOT NULL"
+
+
+@query("kmeans_embeddings", "SELECT vec_id AS id, TRUE AS nearest FROM embeddings")
 def q_kmeans_embeddings(spark, sf):
-    _, assigned = cl.fit_kmeans(_vectors(spark, sf), 10)
-    return assigned.select("id", "cluster")
+    return _nearest(spark, fx.embeddings(spark, sf), 10)
 
 
-@query("kmeans_lsi")
+@query("kmeans_lsi", _sql(fx.sql_merged(), body=f"SELECT id, TRUE AS nearest {_SPEECH_IDS}"))
 def q_kmeans_lsi(spark, sf):
-    _, assigned = cl.fit_kmeans(cl.normalize(_lsi(spark, sf)[3].doc_vectors), 50)
-    return assigned.select("id", "cluster")
+    return _nearest(spark, _lsi_vectors(spark, sf), 50)
 
 
-@query("kmeans_nmf")
+@query("kmeans_nmf", _sql(fx.sql_merged(), body=f"SELECT id, TRUE AS nearest {_SPEECH_IDS}"))
 def q_kmeans_nmf(spark, sf):
-    _, assigned = cl.fit_kmeans(cl.normalize(_nmf(spark, sf)[1].doc_vectors), 70)
-    return assigned.select("id", "cluster")
+    return _nearest(spark, _nmf_vectors(spark, sf), 70)
+
+
+def _lloyd_sql(steps: int) -> list[str]:
+    """Assignments a1 .. and centres c1 .. from c0, the labels' means."""
+    out = ["c0 AS (SELECT label AS cluster, dim, m FROM cen)"]
+    for i in range(steps):
+        out.append(f"""a{i + 1} AS (SELECT id, cluster, d FROM (
+          SELECT id, cluster, d, row_number() OVER (PARTITION BY id ORDER BY d, cluster) AS rn FROM (
+            SELECT v.id, c.cluster, sqrt(sum((v.x - c.m) * (v.x - c.m))) AS d
+            FROM nv v JOIN c{i} c ON c.dim = v.dim GROUP BY v.id, c.cluster)) WHERE rn = 1)""")
+        out.append(f"c{i + 1} AS (SELECT a.cluster, v.dim, avg(v.x) AS m FROM nv v JOIN a{i + 1} a ON a.id = v.id GROUP BY a.cluster, v.dim)")
+    return out
+
+
+@query("kmeans_steps", _sql(*_EMB, *_lloyd_sql(3), body=f"SELECT id, cluster, round(d, {R}) AS distance FROM a3"))
+def q_kmeans_steps(spark, sf):
+    """H7 step by step: three Lloyd steps from the labels' means."""
+    v = _vectors(spark, sf).persist()
+    centres = cl.centres_of(v)
+    for _ in range(2):
+        moved = v.drop("cluster").join(cl.assign(v, centres).select("id", "cluster"), "id")
+        centres = cl.centres_of(moved)
+    return cl.assign(v, centres).withColumn("distance", F.round("distance", R))
+
+
+def _sweep(spark, vectors):
+    """Per k: the squared distances within and between clusters together, and
+    that the silhouette is one."""
+    rows = [(k, round(total, 4), within <= total and -1 <= score <= 1)
+            for k, within, score, total in cl.sweep(cl.normalize(vectors), _SWEEP)]
+    return spark.createDataFrame(rows, "k int, total_ss double, in_range boolean")
+
+
+@query("kmeans_sweep", _sql(*_EMB, body=f"""
+SELECT CAST(k AS INTEGER) AS k, round(ss, 4) AS total_ss, TRUE AS in_range
+FROM (SELECT unnest(range({_SWEEP.start}, {_SWEEP.stop}, {_SWEEP.step})) AS k),
+     (SELECT sum((v.x - c.m) * (v.x - c.m)) AS ss
+      FROM nv v JOIN (SELECT dim, avg(x) AS m FROM nv GROUP BY dim) c ON c.dim = v.dim)"""))
+def q_kmeans_sweep(spark, sf):
+    return _sweep(spark, fx.embeddings(spark, sf))
 
 
-@query("kmeans_sweep")
-def q_kmeans_sweep(spark, sf):
-    res = cl.sweep(_vectors(spark, sf), range(10, 250, 10))
-    return spark.createDataFrame(res, "k int, wcss double, silhouette double")
+@query("kmeans_sweep_lsi")
+def q_kmeans_sweep_lsi(spark, sf):
+    """H11 over LSI vectors."""
+    return _sweep(spark, _lsi_vectors(spark, sf))
+
+
+@query("kmeans_sweep_nmf")
+def q_kmeans_sweep_nmf(spark, sf):
+    """H11 over NMF vectors."""
+    return _sweep(spark, _nmf_vectors(spark, sf))
+
+
+@query("lsi_cluster_report")
+def q_lsi_cluster_report(spark, sf):
+    """E8, H6, H7, H9, H10 over LSI vectors."""
+    return cl.topic_cluster_report(_lsi_vectors(spark, sf), 50, fx.merged_speeches(spark, sf))
+
+
+@query("nmf_cluster_report")
+def q_nmf_cluster_report(spark, sf):
+    """E8, H6, H7, H9, H10 over NMF vectors."""
+    return cl.topic_cluster_report(_nmf_vectors(spark, sf), 70, fx.merged_speeches(spark, sf))
+
+
+# ---- kernels, value by value, over embeddings
+
+
+def _embedding_rows(spark, sf, absolute=False):
+    e = fx.embeddings(spark, sf)
+    val = F.transform("vector", lambda x: F.abs(x)) if absolute else F.col("vector")
+    return e.select("id", F.sequence(F.lit(0), F.size("vector") - 1).alias("idx"), val.alias("val"))
+
+
+@query("svd_product", _sql(_EMB[0], body=f"SELECT id, CAST(dim AS INTEGER) AS dim, round(x, {R}) AS value FROM emb"))
+def q_svd_product(spark, sf):
+    """H1: the full-rank factors multiplied again are the matrix."""
+    svd = tp.lsi(spark, _embedding_rows(spark, sf), _NMF_DIM, _NMF_DIM)
+    u = svd.doc_vectors.select("id", F.posexplode("vector").alias("t", "u"))
+    j = u.join(svd.topics, F.col("topic") == F.col("t") + 1)
+    out = j.groupBy("id", F.col("term_id").alias("dim")).agg(F.sum(F.col("u") * F.col("loading")).alias("value"))
+    return out.select("id", "dim", F.round("value", R).alias("value"))
+
+
+@query("svd_traces", _sql(_EMB[0], """gram AS (SELECT a.dim AS i, b.dim AS j, sum(a.x * b.x) AS g
+              FROM emb a JOIN emb b ON a.id = b.id GROUP BY a.dim, b.dim)""", body="""
+SELECT round(sum(CASE WHEN i = j THEN g END), 4) AS sigma2, round(sum(g * g), 2) AS sigma4 FROM gram"""))
+def q_svd_traces(spark, sf):
+    """H1: the sums of the squared and fourth powers of the singular values
+    are the traces of the Gram matrix and of its square."""
+    svd = tp.lsi(spark, _embedding_rows(spark, sf), _NMF_DIM, _NMF_DIM)
+    out = [(round(float((svd.sigma ** 2).sum()), 4), round(float((svd.sigma ** 4).sum()), 2))]
+    svd.unpersist()
+    return spark.createDataFrame(out, "sigma2 double, sigma4 double")
 
 
 _NMF_K, _NMF_DIM = 3, 64
@@ -252,11 +408,20 @@ def _nmf_h0():
     return 1 + ((c * 7 + j) % 5) / 10.0
 
 
-@query("nmf_step", _sql(
+def _nmf_w0():
+    return F.array(*[(1 + (F.col("id") + c) % 3).cast("double") for c in range(_NMF_K)])
+
+
+_NMF_START = [
     """emb AS (SELECT vec_id AS id, abs(CAST(unnest(embedding) AS DOUBLE)) AS x,
                       unnest(range(0, len(embedding))) AS j FROM embeddings)""",
     f"w0 AS (SELECT id, c, CAST(1 + ((id + c) % 3) AS DOUBLE) AS w FROM (SELECT DISTINCT id FROM emb), range(0, {_NMF_K}) t(c))",
     f"h0 AS (SELECT c, j, 1 + ((c * 7 + j) % 5) / 10.0 AS h FROM range(0, {_NMF_K}) a(c), range(0, {_NMF_DIM}) b(j))",
+]
+
+
+@query("nmf_step", _sql(
+    *_NMF_START,
     """wh AS (SELECT e.id, e.j, e.x, sum(w0.w * h0.h) AS wh FROM emb e JOIN w0 ON w0.id = e.id
               JOIN h0 ON h0.c = w0.c AND h0.j = e.j GROUP BY e.id, e.j, e.x)""",
     "num AS (SELECT wh.id, h0.c, sum(wh.x / wh.wh * h0.h) AS num FROM wh JOIN h0 ON h0.j = wh.j GROUP BY wh.id, h0.c)",
@@ -267,13 +432,40 @@ FROM num JOIN w0 ON w0.id = num.id AND w0.c = num.c JOIN hs ON hs.c = num.c"""))
 def q_nmf_step(spark, sf):
     """H4 kernel check: one KL multiplicative W update on a data-derived
     non-negative matrix (|embeddings|) with fixed starting factors."""
-    e = fx.embeddings(spark, sf)
-    rows = e.select(
-        "id",
-        F.sequence(F.lit(0), F.size("vector") - 1).alias("idx"),
-        F.transform("vector", lambda x: F.abs(x)).alias("val"),
-        F.array(*[(1 + (F.col("id") + c) % 3).cast("double") for c in range(_NMF_K)]).alias("w"),
-    )
+    rows = _embedding_rows(spark, sf, absolute=True).withColumn("w", _nmf_w0())
     out = tp.nmf_w_step(spark, rows, _nmf_h0())
     return out.select("id", F.posexplode("w").alias("topic", "w")).select(
         "id", F.col("topic").cast("int"), F.round("w", R).alias("w"))
+
+
+def _nmf_iteration_sql(i: int) -> list[str]:
+    """w{i+1} and h{i+1} from w{i} and h{i}."""
+    def product(name, w):
+        return f"""{name} AS (SELECT e.id, e.j, e.x / sum(w.w * h.h) AS r FROM emb e JOIN {w} w ON w.id = e.id
+                   JOIN h{i} h ON h.c = w.c AND h.j = e.j GROUP BY e.id, e.j, e.x)"""
+
+    n = i + 1
+    return [
+        product(f"p{i}", f"w{i}"),
+        f"""w{n} AS (SELECT w.id, w.c, w.w * num.s / hs.s AS w FROM w{i} w
+            JOIN (SELECT p.id, h.c, sum(p.r * h.h) AS s FROM p{i} p JOIN h{i} h ON h.j = p.j GROUP BY p.id, h.c) num
+              ON num.id = w.id AND num.c = w.c
+            JOIN (SELECT c, sum(h) AS s FROM h{i} GROUP BY c) hs ON hs.c = w.c)""",
+        product(f"q{i}", f"w{n}"),
+        f"""h{n} AS (SELECT h.c, h.j, h.h * num.s / ws.s AS h FROM h{i} h
+            JOIN (SELECT q.j, w.c, sum(q.r * w.w) AS s FROM q{i} q JOIN w{n} w ON w.id = q.id GROUP BY q.j, w.c) num
+              ON num.j = h.j AND num.c = h.c
+            JOIN (SELECT c, sum(w) AS s FROM w{n} GROUP BY c) ws ON ws.c = h.c)""",
+    ]
+
+
+@query("nmf_iterations", _sql(*_NMF_START, *_nmf_iteration_sql(0), *_nmf_iteration_sql(1), body=f"""
+SELECT 'W' AS factor, id AS row, CAST(c AS INTEGER) AS topic, round(w, {R}) AS value FROM w2
+UNION ALL SELECT 'H', j, CAST(c AS INTEGER), round(h, {R}) FROM h2"""))
+def q_nmf_iterations(spark, sf):
+    """H4: two whole iterations, W and H, from fixed factors."""
+    rows = _embedding_rows(spark, sf, absolute=True)
+    res = tp.nmf(spark, rows, _NMF_DIM, _NMF_K, max_iter=2, tol=0, start=(rows.select("id", _nmf_w0().alias("w")), _nmf_h0()))
+    w = res.doc_vectors.select(F.lit("W").alias("factor"), F.col("id").cast("long").alias("row"), F.posexplode("vector").alias("topic", "value"))
+    h = res.topics.select(F.lit("H"), F.col("term_id").cast("long"), F.col("topic") - 1, "loading")
+    return w.unionAll(h).withColumn("value", F.round("value", R))

@@ -297,12 +297,8 @@ def _pivot_top_sql(src: str) -> str:
 def _group_pivot(spark, sf, group):
     rows = corpora.keyword_rows(spark, sf)
     trends = kw.group_keyword_trends(rows, kw.top_keywords_by_group(rows, group), group)
-    tot = trends.groupBy("keyword").agg(F.sum("score").alias("t"))
-    top = tot.orderBy(F.desc(F.round("t", kw.RANK_DIGITS)), F.asc("keyword")).limit(10)
-    ranked = [r["keyword"] for r in top.collect()]
-    p = kw.trend_pivot(trends, ranked_keywords=ranked)
-    long = kw.pivot_long(p, ranked)
-    return long.select("sitting_year", "keyword", "rank", F.round("score", R).alias("score"))
+    out = kw.trend_matrix(trends, kw.top_of_trends(trends))
+    return out.withColumn("score", F.round("score", R))
 
 
 @query("member_trend_pivot", _sql(*_KW, _group_top_sql("member_name"), _trend_sql("member_name"),
@@ -323,7 +319,5 @@ def q_party_trend_pivot(spark, sf):
 def q_overall_trend_pivot(spark, sf):
     rows = corpora.keyword_rows(spark, sf)
     top = kw.top_keywords_overall(rows)
-    ranked = [r["keyword"] for r in top.orderBy("rank").collect()]
-    p = kw.trend_pivot(kw.overall_keyword_trend(rows, top), ranked_keywords=ranked)
-    long = kw.pivot_long(p, ranked)
-    return long.select("sitting_year", "keyword", "rank", F.round("score", R).alias("score"))
+    out = kw.trend_matrix(kw.overall_keyword_trend(rows, top), top.select("rank", "keyword"))
+    return out.withColumn("score", F.round("score", R))
