@@ -8,7 +8,8 @@ import __spark_entry__ as E
 SF = "/root/testdata/sf0.001"
 TABLES = ["documents", "conversations", "benchmark", "embeddings", "labels"]
 SAMPLE = ["fetch_by_ids", "speech_polarity", "stem_tokens", "tfidf_documents", "top_keywords_per_year", "search", "batch_search", "search_page", "search_page_info", "union_chunks", "restore_order", "member_similarity",
-          "lexicon_stemmed", "polarity_trend", "top_positive_words", "merge_speeches", "assign_clusters", "silhouette"]
+          "lexicon_stemmed", "polarity_trend", "top_positive_words", "merge_speeches", "assign_clusters", "silhouette",
+          "scan_by_date", "party_trend_pivot", "svd_product", "svd_traces", "nmf_iterations", "kmeans_steps"]
 
 
 def _norm(v):
@@ -30,8 +31,7 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_or_is_iterative():
     rows_only = {q for q in set(E.queries()) - set(E.oracle_sql()) if not re.fullmatch(r"op\d+_\w+|pipeline", q)}
-    assert rows_only <= {"lsi_vectors", "lsi_concepts", "lsi_variance", "nmf_vectors", "nmf_concepts",
-                         "kmeans_embeddings", "kmeans_lsi", "kmeans_nmf", "kmeans_sweep"}
+    assert rows_only == {"kmeans_sweep_lsi", "kmeans_sweep_nmf", "lsi_cluster_report", "nmf_cluster_report"}
 
 
 def test_sample_against_duckdb(spark):
