@@ -70,16 +70,16 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view(np.uint64)[0])
 
 
-def fingerprints(documents: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(documents: DataFrame, shingle: int = SHINGLE, keys: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp) and the long columns ``keys``: the fingerprint as a signed long."""
 
     def run(batches):
         for b, texts in column_lists(batches, "text"):
             fp = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp)], ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp), *b.columns[2:]], ["doc_id", "fp", *keys])
 
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, fp long")
+    return documents.select("doc_id", "text", *keys).mapInArrow(run, ", ".join([f"doc_id {kind}, fp long", *(f"{k} long" for k in keys)]))
 
 
 # ------------------------------------------------------- partitions, thresholds
@@ -348,11 +348,19 @@ def hex_digits(fp):
 
 
 def keep_first(documents: DataFrame, shingle: int = SHINGLE, most: int = MAX_DISTANCE) -> DataFrame:
-    """One document of each group, that with the smallest id (one row of it
-    where rows repeat the id), with its own columns."""
-    found = near_duplicates(documents, shingle, most)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("keep")).distinct()
+    """One document of each group, also of a group without ids, with its own
+    columns: the one with the smallest id (rows without id last), then the
+    smallest fingerprint, then the smallest hashes.  A row is known by two
+    hashes, of its text and of all it holds, never by its id alone; rows that
+    agree in both have one text, so they are of one group."""
+    hashed = [c for c in documents.columns if "map<" not in documents.schema[c].dataType.simpleString()]
+    keys = F.xxhash64("text").alias("text_key"), F.xxhash64(F.col("doc_id").isNull(), *hashed).alias("row_key")
+    prints = fingerprints(documents.select("doc_id", "text", *keys), shingle, ("text_key", "row_key"))
+    first = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "fp", "text_key", "row_key")
+    classes = prints.groupBy("fp").agg(F.min(first).alias("first")).checkpoint()
+    linked = components(links(classes, most)).withColumnRenamed("node", "fp")
+    keep = classes.join(linked, "fp", "left").groupBy(F.coalesce("component", "fp")).agg(F.min("first").alias("first"))
     # the document's columns travel as one, whatever their names
-    rows = documents.select(F.struct(*documents.columns).alias("doc"), F.col("doc_id").alias("id"))
-    rows = rows.join(keep, F.col("id").eqNullSafe(F.col("keep"))).dropDuplicates(["id"])
+    rows = documents.select(F.struct(*documents.columns).alias("doc"), *keys)
+    rows = rows.join(keep.select("first.text_key", "first.row_key"), ["text_key", "row_key"]).dropDuplicates(["text_key", "row_key"])
     return rows.select(*(F.col("doc")[c].alias(c) for c in documents.columns))

@@ -235,6 +235,15 @@ def test_simhash_brute(spark, odd, empty, monkeypatch):
     assert simhash.near_duplicates(empty).count() == 0 and simhash.keep_first(empty).count() == 0
 
 
+def test_keep_first_keeps_a_document_of_every_group(spark):
+    sea, hill, iron = ("the boat went over the sea and back home", "der hund lief ueber den berg ins tal", "iron and coal were sold on the market")
+    docs = [(None, "no id and a text of its own"), (None, "another one without any id"), (None, "another one without any id"), (None, sea),
+            (1, sea), (7, hill), (7, iron), (8, iron), (9, hill), (9, hill)]
+    frame = spark.createDataFrame([(*d, "x") for d in docs], "doc_id long, text string, fp string")
+    kept = sorted((str(r["doc_id"]), r["text"]) for r in simhash.keep_first(frame).collect())
+    assert kept == sorted([("None", docs[0][1]), ("None", docs[1][1]), ("1", sea), ("7", hill), ("7", iron)])
+
+
 # op10
 
 
