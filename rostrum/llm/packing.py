@@ -4,7 +4,7 @@ A document's ids are its tokens and one end id; only a document longer than a
 sequence is cut.  Pieces are dealt by hash to groups of about ``GROUP`` pieces
 and each group is packed in one task by bin completion: best-fit decreasing
 gives the incumbent; while it uses more sequences than the lower bound,
-sequences are completed around the largest piece left with the fillings
+sequences are completed around the largest piece left with all fillings
 that no other filling dominates, branches whose waste exceeds what the
 incumbent allows are cut, and the search ends at the bound or after
 ``SEARCH_STEPS`` placements with the best packing found so far.  A group can waste
@@ -33,7 +33,7 @@ CAPACITY = 4096
 END_ID = 1
 GROUP = 16_384
 SEARCH_STEPS = 3_000
-_FILLINGS = 24
+_NODES = 200
 
 
 # ----------------------------------------------------------------- tokenising
@@ -184,39 +184,70 @@ def lower_bound(counts: dict[int, int], capacity: int) -> int:
     return int((alone + pairs + np.maximum(0, more)).max())
 
 
-def _fillings(left: dict[int, int], avail: int, room: int) -> list[tuple[int, ...]]:
-    """Fillings of ``room`` from the lengths left (the bits of ``avail``), least
-    waste first, without those in which one piece could be swapped for a
-    larger length that is left (Martello and Toth's dominance for such swaps).
-    Enumerated depth first from the largest lengths, at most ``_FILLINGS``."""
+def _fillings(left: dict[int, int], first: int, avail: int, room: int, spare: int, rounds: float = np.inf) -> Iterator[tuple[int, ...] | None]:
+    """Fillings of ``room`` beside ``first`` from the lengths left (the bits of
+    ``avail``) that waste at most ``spare``, without those in which one piece
+    could be swapped for a larger length that is still free, or several for the
+    one length that fills their space exactly (Martello and Toth's dominance).
+    Enumerated depth first from the largest lengths and handed out while ``left``
+    is as at the call: after each full sequence or ``_NODES`` pieces a round ends and what it found is sorted, least waste first;
+    None if it found nothing.  Ends after ``rounds`` of them."""
+    taken: list[int] = []
+    used = {first: 1}
+    space, nodes = room, 0
     found: list[tuple[int, ...]] = []
-    budget = 200
-
-    def extend(limit: int, space: int, taken: tuple[int, ...]):
-        nonlocal budget
-        fits, below = False, avail & ((1 << (min(limit, space) + 1)) - 1)
-        while below and budget > 0 and len(found) < _FILLINGS:
-            s = below.bit_length() - 1
-            below ^= 1 << s
-            if left[s] > taken.count(s):
-                fits = True
-                budget -= 1
-                extend(s, space - s, (*taken, s))
-                if found and sum(found[-1]) == room:
-                    return  # nothing dominates a full sequence
-        if not fits and not any(avail >> (t + 1) & ((1 << space) - 1) for t in taken):
-            found.append(taken)
-
-    extend(room, room, ())
-    return sorted(found, key=lambda f: (-sum(f), len(f)))
+    below, fits = [avail & ((1 << (room + 1)) - 1)], [False]
+    while below and rounds > 0:
+        full = False
+        if below[-1]:
+            s = below[-1].bit_length() - 1
+            below[-1] ^= 1 << s
+            if left[s] <= used.get(s, 0):
+                continue
+            if s == space:
+                below[-1] = 0  # it dominates whatever else fits into this space
+            fits[-1] = True
+            nodes += 1
+            taken.append(s)
+            used[s] = used.get(s, 0) + 1
+            space -= s
+            below.append(avail & ((1 << (min(s, space) + 1)) - 1))
+            fits.append(False)
+        else:
+            if not fits[-1] and space <= spare:
+                free = avail
+                for t, k in used.items():
+                    if k and left[t] <= k:
+                        free &= ~(1 << t)
+                if not space or not any(free >> (t + 1) & ((1 << space) - 1) for t in set(taken)):
+                    found.append(tuple(taken))
+                    full = not space
+            below.pop()
+            fits.pop()
+            if taken:
+                s = taken.pop()
+                used[s] -= 1
+                space += s
+        if full or nodes >= _NODES or not below:
+            yield from sorted(found, key=lambda f: (-sum(f), len(f))) or [None]
+            found, nodes, rounds = [], 0, rounds - 1
 
 
 def complete(counts: dict[int, int], capacity: int, incumbent: list[list[int]], steps: int) -> list[list[int]]:
-    """Bin completion from an incumbent: depth first over the fillings around
-    the largest piece left, up to ``steps`` placements beyond a first descent."""
+    """Bin completion from an incumbent, up to ``steps`` placements, or rounds
+    of the enumeration without a filling, beyond a first descent.  A search of
+    the first round of each enumeration improves the incumbent; if it ends
+    before the steps do, the whole tree is searched with those left."""
+    steps += len(incumbent)
+    best, steps = _search(counts, capacity, incumbent, steps, 1)
+    return _search(counts, capacity, best, steps, np.inf)[0]
+
+
+def _search(counts: dict[int, int], capacity: int, best: list[list[int]], steps: int, rounds: float) -> tuple[list[list[int]], int]:
+    """Depth first over the fillings around the largest piece left; the best
+    packing and the steps not used."""
     total = sum(s * n for s, n in counts.items())
-    bound, best = lower_bound(counts, capacity), incumbent
-    steps += len(best)
+    bound = lower_bound(counts, capacity)
     left, avail = dict(counts), sum(1 << s for s in counts)
     path: list[list[int]] = []
     stack: list[Iterator] = []
@@ -224,10 +255,8 @@ def complete(counts: dict[int, int], capacity: int, incumbent: list[list[int]],
 
     def choices():
         first = avail.bit_length() - 1
-        left[first] -= 1
-        fill = _fillings(left, avail if left[first] else avail ^ (1 << first), capacity - first) or [()]
-        left[first] += 1
-        return iter([[first, *f] for f in fill])
+        spare = (len(best) - 1) * capacity - total - waste
+        return (f if f is None else [first, *f] for f in _fillings(left, first, avail, capacity - first, spare, rounds))
 
     def place(b: list[int], n: int):
         nonlocal waste, avail
@@ -239,14 +268,16 @@ def complete(counts: dict[int, int], capacity: int, incumbent: list[list[int]],
     while len(best) > bound and steps > 0:
         if not path and not stack:
             stack.append(choices())
-        b = next(stack[-1], None)
-        if b is None:
+        b = next(stack[-1], ())
+        if b == ():
             stack.pop()
             if not path:
                 break
             place(path.pop(), -1)
             continue
         steps -= 1
+        if b is None:
+            continue
         if waste + capacity - sum(b) > (len(best) - 1) * capacity - total:
             continue
         path.append(b)
@@ -256,7 +287,7 @@ def complete(counts: dict[int, int], capacity: int, incumbent: list[list[int]],
         else:
             best = list(path)
             place(path.pop(), -1)
-    return best
+    return best, steps
 
 
 def pack(lengths: list[int], capacity: int = CAPACITY, steps: int = SEARCH_STEPS) -> list[tuple[int, int]]:

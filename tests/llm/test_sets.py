@@ -210,6 +210,19 @@ def test_bin_completion_is_optimal_on_small_cases():
         assert len({b for b, _ in placed}) == least(0, ())
 
 
+def test_bin_completion_tries_every_undominated_filling():
+    for sizes, capacity in (([41, 40, 30, 29, 28, 27], 100), ([1679, 1638, 1229, 1188, 1147, 1106], 4096)):
+        placed = packing.pack(sizes, capacity)
+        assert len({b for b, _ in placed}) == 2
+    # 36 and 34 fill 70 as well as 35 and 35 do, and only the second leaves the rest whole
+    left = {30: 1, 34: 1, 35: 2, 36: 1}
+    got = [f for f in packing._fillings(left, 30, sum(1 << s for s in left), 70, 0) if f]
+    assert sorted(got) == [(35, 35), (36, 34)]
+    # a thousand equal pieces are one filling, deeper than one round of the enumeration
+    got = [f for f in packing._fillings({3000: 1, 1: 1096}, 3000, 1 << 3000 | 2, 1096, 0) if f]
+    assert got == [(1,) * 1096]
+
+
 # op8
 
 
