@@ -3,11 +3,14 @@ inheritance from the nearest ancestor directory.
 
 A file's units are its lines, its leading comment block and, if its name says
 that it is a licence file, its whole text.  Every unit of every file is a bag
-of words weighted by TF-IDF; document frequencies of the templates' words are
-counted over all units of the corpus, a word in no template weighs like one
-seen once.  A unit whose cosine to its best template reaches ``COSINE`` carries
-that licence.  A cosine cannot exceed the share of a unit's length that is in
-template words, so most units need no product.
+of words weighted by TF-IDF; document frequencies of all words are counted over
+all units of the corpus.  A unit whose cosine to its best template reaches
+``COSINE`` carries that licence.  Tasks know the frequencies of the templates'
+words and of the ``FREQUENT`` most common ones; no other word is more frequent
+than these, which bounds its weight from below and so a unit's cosine from
+above.  A cosine cannot exceed the share of a unit's length that is in template
+words either, so most units need no product.  The other words of units that may
+still match are joined with their counted frequencies.
 
 A licence file's licences hold for its directory.  A file without one of its
 own inherits those of the nearest directory above it that has any: the distinct
@@ -31,6 +34,10 @@ from pyspark.sql import functions as F
 from rostrum.llm.common import column_lists
 
 COSINE = 0.6
+#: Words, the most common first, whose frequencies every task gets; those of others are joined.
+FREQUENT = 20_000
+#: Words that a task counts before it hands on its counts.
+_COUNTED = 1 << 19
 _WORDS = re.compile(r"[^\W_]+")
 _COMMENT = re.compile(r"\s*(#|//|/\*|\*|--|;|<!--|\"\"\"|%)")
 #: File names that hold a licence, and notices and grants in the words of the licences' authors.
@@ -93,13 +100,15 @@ def units(text: str | None, licence_file: bool) -> list[list[str]]:
 
 
 class Matcher:
-    """Cosines of bags of words to the templates, given the number of units
-    and the document frequencies of the templates' words."""
+    """Cosines of bags of words to the templates, given the number of units,
+    the document frequencies of the templates' words and of frequent ones, and
+    the highest that any other word may have."""
 
-    def __init__(self, templates: list[tuple[str, str]], n: int, df: dict[str, int]):
+    def __init__(self, templates: list[tuple[str, str]], n: int, df: dict[str, int], most: int):
         self.names = [name for name, _ in templates]
         weight = {w: math.log((1 + n) / (1 + df.get(w, 0))) + 1 for _, t in templates for w in words(t)}
-        self.weight, self.other = weight, math.log((1 + n) / 2) + 1
+        self.weight, self.least = weight, math.log((1 + n) / (1 + most)) + 1
+        self.frequent = {w: math.log((1 + n) / (1 + k)) + 1 for w, k in df.items() if w not in weight}
         self.postings: dict[str, list[tuple[int, float]]] = {}
         for i, (_, t) in enumerate(templates):
             bag = {w: c * weight[w] for w, c in Counter(words(t)).items()}
@@ -107,42 +116,58 @@ class Matcher:
             for w, v in bag.items():
                 self.postings.setdefault(w, []).append((i, v / norm))
 
-    def best(self, bag: list[str], cosine: float) -> tuple[str, float] | None:
-        weight = self.weight
+    def best(self, bag: list[str], cosine: float) -> tuple[str, float, float, dict[str, int]] | None:
+        """The nearest template, the product with it, the bag's squared length
+        in words of known frequency and the counts of its other words; None if
+        the cosine cannot reach ``cosine`` whatever their frequencies are."""
+        weight, frequent = self.weight, self.frequent
         counts = Counter(bag)
         inside = {w: c * weight[w] for w, c in counts.items() if w in weight}
         known = sum(v * v for v in inside.values())
         if not known:
             return None
-        square = known + self.other**2 * sum(c * c for w, c in counts.items() if w not in weight)
-        if known < cosine * cosine * square * (1 - 1e-9):
+        square, other = known, {}
+        for w, c in counts.items():
+            if w not in weight:
+                if w in frequent:
+                    square += (c * frequent[w]) ** 2
+                else:
+                    other[w] = c
+        at_least = square + self.least**2 * sum(c * c for c in other.values())
+        if known < cosine * cosine * at_least * (1 - 1e-9):
             return None
         dots: dict[int, float] = {}
         for w, v in inside.items():
             for i, t in self.postings[w]:
                 dots[i] = dots.get(i, 0.0) + v * t
         i = max(sorted(dots), key=lambda k: round(dots[k], 12))
-        score = dots[i] / math.sqrt(square)
-        return (self.names[i], min(1.0, score)) if score >= cosine else None
+        if dots[i] < cosine * math.sqrt(at_least) * (1 - 1e-9 if other else 1):
+            return None
+        return self.names[i], dots[i], square, other
 
 
-def frequencies(files: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> tuple[int, dict[str, int]]:
-    """Units of all files, and in how many each template word occurs; the
-    driver gets a row for each template word."""
-    vocabulary = frozenset(w for _, t in templates for w in words(t))
+def frequencies(files: DataFrame) -> DataFrame:
+    """(word, n): in how many units of all files each word occurs; the empty
+    word has the number of units."""
 
     def run(batches):
-        n, df = 0, Counter()
+        df = Counter()
+
+        def out():
+            b = pa.RecordBatch.from_arrays([pa.array(list(df), pa.string()), pa.array(list(df.values()), pa.int64())], ["word", "n"])
+            df.clear()
+            return b
+
         for _, named, texts in column_lists(batches, "licence_file", "text"):
             for name, text in zip(named, texts):
                 for bag in units(text, name):
-                    n += 1
-                    df.update(vocabulary.intersection(bag))
-        yield pa.RecordBatch.from_arrays([pa.array(["", *df], pa.string()), pa.array([n, *df.values()], pa.int64())], ["word", "n"])
+                    df[""] += 1
+                    df.update(set(bag))
+                if len(df) > _COUNTED:
+                    yield out()
+        yield out()
 
-    counted = files.mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n")).collect()
-    df = {r["word"]: r["n"] for r in counted}
-    return df.pop("", 0), df
+    return files.select("licence_file", "text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
 def named_files(documents: DataFrame, path: Column) -> DataFrame:
@@ -156,24 +181,47 @@ def named_files(documents: DataFrame, path: Column) -> DataFrame:
 def own_licences(files: DataFrame, cosine: float = COSINE, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """(doc_id, path, directory, licence_file, own, score): the licences found
     in each file, sorted, and the best cosine (0 without any)."""
-    n, df = frequencies(files.select("licence_file", "text"), templates)
+    counted = frequencies(files).checkpoint()
+    common = counted.where("word != ''").orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    most = common[-1]["n"] if common else 0
+    vocabulary = sorted({"", *(w for _, t in templates for w in words(t))})
+    df = {r["word"]: r["n"] for r in [*common, *counted.where(F.col("word").isin(vocabulary)).collect()]}
+    n = df.pop("", 0)
+    shared = files.sparkSession.sparkContext.broadcast(Matcher(templates, n, df, most))
+    hit = pa.list_(pa.struct([("name", pa.string()), ("score", pa.float64())]))
+    unit = pa.list_(pa.struct([("name", pa.string()), ("dot", pa.float64()), ("square", pa.float64()),
+                               ("other", pa.list_(pa.struct([("word", pa.string()), ("count", pa.int64())])))]))
 
     def run(batches):
-        match = Matcher(templates, n, df)
+        match = shared.value
         for b, named, texts in column_lists(batches, "licence_file", "text"):
-            own, score = [], []
+            hits, left = [], []
             for name, text in zip(named, texts):
-                hits = [h for h in (match.best(bag, cosine) for bag in units(text, name)) if h]
-                own.append(sorted({h[0] for h in hits}))
-                score.append(max((h[1] for h in hits), default=0.0))
+                near = [m for m in (match.best(bag, cosine) for bag in units(text, name)) if m]
+                hits.append([{"name": k, "score": min(1.0, dot / math.sqrt(square))} for k, dot, square, other in near if not other])
+                left.append([{"name": k, "dot": dot, "square": square, "other": [{"word": w, "count": c} for w, c in other.items()]}
+                             for k, dot, square, other in near if other])
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(b.schema.get_field_index(c)) for c in ("doc_id", "path", "directory", "licence_file")),
-                 pa.array(own, pa.list_(pa.string())), pa.array(score, pa.float64())],
-                ["doc_id", "path", "directory", "licence_file", "own", "score"])
+                 pa.array(hits, hit), pa.array(left, unit)],
+                ["doc_id", "path", "directory", "licence_file", "hits", "left"])
 
     kind = files.schema["doc_id"].dataType.simpleString()
-    return files.select("doc_id", "path", "directory", "licence_file", "text").mapInArrow(
-        run, f"doc_id {kind}, path string, directory string, licence_file boolean, own array<string>, score double")
+    found = files.select("doc_id", "path", "directory", "licence_file", "text").mapInArrow(
+        run, f"doc_id {kind}, path string, directory string, licence_file boolean, hits array<struct<name:string,score:double>>, "
+             "left array<struct<name:string,dot:double,square:double,other:array<struct<word:string,count:bigint>>>>")
+    found = found.withColumn("file", F.monotonically_increasing_id()).checkpoint()
+    # a word that is joined occurs in no more units than the rarest of the common ones, so no key is crowded
+    left = found.select("file", F.posexplode("left").alias("unit", "of"))
+    left = left.select("file", "unit", "of.name", "of.dot", "of.square", F.inline("of.other"))
+    weight = F.log((1 + F.lit(n)) / (1 + F.col("n"))) + 1
+    late = left.join(counted, "word").groupBy("file", "unit", "name", "dot", "square").agg(F.sum((F.col("count") * weight) ** 2).alias("more"))
+    late = late.withColumn("score", F.least(F.lit(1.0), F.col("dot") / F.sqrt(F.col("square") + F.col("more")))).where(F.col("score") >= cosine)
+    late = late.groupBy("file").agg(F.collect_set("name").alias("names"), F.max("score").alias("late"))
+    own = F.concat("hits.name", F.coalesce("names", F.array().cast("array<string>")))
+    return found.join(late, "file", "left").select(
+        "doc_id", "path", "directory", "licence_file", F.sort_array(F.array_distinct(own)).alias("own"),
+        F.greatest(F.coalesce(F.array_max("hits.score"), F.lit(0.0)), F.coalesce("late", F.lit(0.0))).alias("score"))
 
 
 def scan(files: DataFrame, cosine: float = COSINE, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:

@@ -273,3 +273,34 @@ def test_licences(spark, empty):
     assert got[2] == (["MIT"], "inherited", "a/b") and got[4] == (["Apache-2.0"], "own", "a/b/c") and got[8] == (["GPL-3.0"], "inherited", "a")
     assert got[5] == got[7] == got[100] == ([], "none", None)
     assert licenses.scan(licenses.named_files(empty, F.lit("a"))).count() == 0
+
+
+def test_licences_weigh_every_word_by_its_frequency(spark, monkeypatch):
+    import math
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    lines = ["Code licensed under the MIT License with data files", "Qwertz licensed under the MIT License with zebra notes",
+             "Some Licensed under the Apache License, Version 2.0. text"]
+    lines += ["the code and some data files with text"] * 300 + [f"zebra{i} of the plain notes {i} and code" for i in range(700)]
+    bags = [Counter(licenses.words(x)) for x in lines]
+    df = Counter(w for b in bags for w in b)
+
+    def vector(bag):
+        v = {w: c * (math.log((1 + len(bags)) / (1 + df[w])) + 1) for w, c in bag.items()}
+        norm = math.sqrt(sum(x * x for x in v.values()))
+        return {w: x / norm for w, x in v.items()}
+
+    marks = [(name, vector(Counter(licenses.words(t)))) for name, t in licenses.TEMPLATES]
+    want = []
+    for v in map(vector, bags):
+        score, name = max((sum(x * t.get(w, 0) for w, x in v.items()), name) for name, t in marks)
+        want.append(([name], pytest.approx(score)) if score >= 0.6 else ([], 0))
+    assert want[0][0] == ["MIT"] and want[2][0] == ["Apache-2.0"]
+    frame = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    files = licenses.named_files(frame, F.lit("a.txt"))
+    for frequent in (3, 20_000):
+        monkeypatch.setattr(licenses, "FREQUENT", frequent)
+        got = {r["doc_id"]: (r["own"], r["score"]) for r in licenses.own_licences(files).collect()}
+        assert [got[i] for i in range(len(lines))] == want
