@@ -46,6 +46,20 @@ def test_toxicity_odd_rows(odd, empty, labels):
     assert toxicity.classify(odd, labels.limit(0)).count() == odd.count()
 
 
+def test_stage_drops_what_the_operator_flags(odd, labels, monkeypatch):
+    model = toxicity.fit(odd, labels)
+    scores = {r["doc_id"]: r["score"] for r in toxicity.score_documents(odd, model).collect()}
+    # the German cut below every score, the English one above, none for French
+    model.thresholds = {"de": min(scores.values()) / 2, "en": 1.1}
+    monkeypatch.setattr(toxicity, "fit", lambda *a: model)
+    flagged = {r["doc_id"] for r in toxicity.score_documents(odd, model).collect() if r["flagged"]}
+    assert {8, 9} <= flagged and not {1, 2, 10, 13} & flagged
+    kept = [r["doc_id"] for r in toxicity.keep_clean(odd, labels).collect()]
+    assert set(kept) == set(scores) - flagged
+    bare = {r["doc_id"] for r in toxicity.keep_clean(odd, labels, 0.0).collect()}
+    assert 1 in bare and not bare & {8, 12}
+
+
 def test_pooling_by_pieces_equals_whole(monkeypatch):
     rng = np.random.default_rng(0)
     m = toxicity.Model(np.zeros((2, 8), np.float32), [rng.normal(size=(w, 8, 8)).astype(np.float32) for w in toxicity.WIDTHS],
