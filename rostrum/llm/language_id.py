@@ -117,6 +117,20 @@ def fit(rows: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Mo
     return Model(langs, np.hstack([full, np.ones((BUCKETS, 1), np.float32)]), base - mean @ w)
 
 
+def _labels(m: Model, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """The predicted language and its confidence for each text."""
+    grams = [ngram_buckets(t) for t in texts]
+    known = [i for i, g in enumerate(grams) if g is not None and m.languages]
+    pred, conf = ["und"] * len(grams), np.zeros(len(grams))
+    if known:
+        s = m.scores([grams[i] for i in known])
+        e = np.exp(3 * (s - s.max(1, keepdims=True)))
+        best = s.argmax(1)
+        for i, k, p in zip(known, best, e.max(1) / e.sum(1)):
+            pred[i], conf[i] = m.languages[k], p
+    return pred, conf
+
+
 def predict(documents: DataFrame, model: Model) -> DataFrame:
     """All columns of ``documents`` but the texts are left out: (doc_id,
     lang_pred, score).  The model is one broadcast of 1.3 MB for four languages."""
@@ -125,15 +139,7 @@ def predict(documents: DataFrame, model: Model) -> DataFrame:
     def score(batches):
         m = shared.value
         for b, texts in column_lists(batches, "text"):
-            grams = [ngram_buckets(t) for t in texts]
-            known = [i for i, g in enumerate(grams) if g is not None and m.languages]
-            pred, conf = ["und"] * len(grams), np.zeros(len(grams))
-            if known:
-                s = m.scores([grams[i] for i in known])
-                e = np.exp(3 * (s - s.max(1, keepdims=True)))
-                best = s.argmax(1)
-                for i, k, p in zip(known, best, e.max(1) / e.sum(1)):
-                    pred[i], conf[i] = m.languages[k], p
+            pred, conf = _labels(m, texts)
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(pred, pa.string()), pa.array(conf, pa.float64())],
                 ["doc_id", "lang_pred", "score"])
@@ -154,13 +160,12 @@ def identify(documents: DataFrame) -> DataFrame:
 
 
 def keep_identified(documents: DataFrame) -> DataFrame:
-    """Documents in which a language is recognised, with their own columns."""
+    """Documents whose predicted language is not ``und``, with their own columns."""
     shared = documents.sparkSession.sparkContext.broadcast(fit(train_rows(documents)))
 
     def keep(batches):
         m = shared.value
         for b, texts in column_lists(batches, "text"):
-            grams = [ngram_buckets(t) for t in texts]
-            yield b.filter(pa.array([g is not None and bool(m.languages) for g in grams], pa.bool_()))
+            yield b.filter(pa.array([k != "und" for k in _labels(m, texts)[0]], pa.bool_()))
 
     return documents.mapInArrow(keep, documents.schema)

@@ -19,6 +19,13 @@ def test_language_rules(odd, empty):
     assert kept.columns == odd.columns and {r["doc_id"] for r in kept.collect()} == {1, 2, 7, 8, 9, 10, None, 11, 12, 13}
 
 
+def test_stage_keeps_what_the_operator_identifies(spark):
+    rows = [(i, f"{SEA} {i}", "en") for i in range(30)] + [(100 + i, f"xqz zzkq qqxz kzq{i} zxzx", "und") for i in range(30)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    known = {r["doc_id"] for r in language_id.identify(frame).collect() if r["lang_pred"] != "und"}
+    assert known == set(range(30)) == {r["doc_id"] for r in language_id.keep_identified(frame).collect()}
+
+
 def test_kernel_equals_shared_ngrams():
     a, b = language_id.ngram_buckets(SEA), language_id.ngram_buckets(HILL)
     m = language_id.Model(["one"], np.zeros((language_id.BUCKETS, 2), np.float32), np.zeros(1))
