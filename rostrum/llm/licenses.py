@@ -182,7 +182,8 @@ def own_licences(files: DataFrame, cosine: float = COSINE, templates: list[tuple
     """(doc_id, path, directory, licence_file, own, score): the licences found
     in each file, sorted, and the best cosine (0 without any)."""
     counted = frequencies(files).checkpoint()
-    common = counted.where("word != ''").orderBy(F.desc("n"), "word").limit(FREQUENT).collect()
+    # written first: collected at once, the driver would get as many rows of every task
+    common = counted.where("word != ''").orderBy(F.desc("n"), "word").limit(FREQUENT).checkpoint().orderBy(F.desc("n"), "word").collect()
     most = common[-1]["n"] if common else 0
     vocabulary = sorted({"", *(w for _, t in templates for w in words(t))})
     df = {r["word"]: r["n"] for r in [*common, *counted.where(F.col("word").isin(vocabulary)).collect()]}
