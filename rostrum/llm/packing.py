@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rostrum.llm.common import column_lists
+from rostrum.llm.common import column_lists, scratch
 
 CAPACITY = 4096
 END_ID = 1
@@ -44,7 +44,18 @@ _LETTER, _NUMBER = "a-zªµºß-öø-ÿ", "0-9²³¹¼½¾"
 _SPLIT = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_NUMBER}]|[^\\s{_LETTER}{_NUMBER}]+")
 #: What the fast path leaves to the tokeniser: characters beyond U+00FF, separators that only Python
 #: counts as white space, and the opening of special tokens.
-_OTHER = re.compile("[^\x00-\x1b\x20-\xff]|<\\|")
+_OTHER = ("\x1c", "\x1d", "\x1e", "\x1f", "<|")
+#: What a string costs a store beside its characters and ids, about, and what a store may hold.
+_ENTRY_BYTES = 200
+STORE_BYTES = 128 << 20
+
+
+def _plain(text: str) -> bool:
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return not any(x in text for x in _OTHER)
 
 
 class _Store:
@@ -52,9 +63,11 @@ class _Store:
 
     def __init__(self):
         self.rows: dict[str, int] = {}
+        self.bytes = 0
         self.ids, self.starts, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
 
     def add(self, keys: list[str], ids: np.ndarray, sizes: np.ndarray):
+        self.bytes += _ENTRY_BYTES * len(keys) + sum(map(len, keys)) + ids.nbytes
         self.rows.update(zip(keys, range(len(self.rows), len(self.rows) + len(keys))))
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
@@ -64,12 +77,12 @@ class _Store:
         """All ids of all lists, end to end, and each list's number of ids;
         ``learn`` adds the strings that are new."""
         flat = list(itertools.chain.from_iterable(split))
-        found = list(map(self.rows.get, flat))
-        fresh = dict.fromkeys(k for k, r in zip(flat, found) if r is None)
-        if fresh:
-            learn(list(fresh))
-            found = list(map(self.rows.get, flat))
-        at = np.array(found, np.int64)
+        at = np.fromiter(map(self.rows.get, flat, itertools.repeat(-1)), np.int64, len(flat))
+        missing = np.flatnonzero(at < 0)
+        if len(missing):
+            fresh = [flat[k] for k in missing.tolist()]
+            learn(list(dict.fromkeys(fresh)))
+            at[missing] = np.fromiter(map(self.rows.get, fresh), np.int64, len(fresh))
         sizes = self.sizes[at]
         ends = np.cumsum(sizes)
         ids = self.ids[np.arange(int(sizes.sum())) + np.repeat(self.starts[at] - ends + sizes, sizes)]
@@ -82,9 +95,9 @@ class WordTokens:
     splitting pattern on its own and no match crosses white space, so a text's
     ids are those of its chunks, a chunk's those of its matches, and every
     distinct chunk and match is encoded once.  Texts with other characters are
-    encoded as they are.  Both stores start anew when they have grown large."""
+    encoded as they are.  A store that holds ``most`` bytes starts anew."""
 
-    def __init__(self, path: str, most: int = 1_000_000):
+    def __init__(self, path: str, most: int = STORE_BYTES):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -102,18 +115,30 @@ class WordTokens:
         self.words.add(words, ids, np.diff(np.flatnonzero(self.ends[ids]), prepend=-1))
 
     def _learn_chunks(self, chunks: list[str]):
-        self.chunks.add(chunks, *self.words.of([_SPLIT.findall(c.lower()) for c in chunks], self._learn_words))
+        split = [[c.lower()] if c.isalpha() else _SPLIT.findall(c.lower()) for c in chunks]
+        self.chunks.add(chunks, *self.words.of(split, self._learn_words))
 
     def block(self, texts: list[str | None]) -> list[np.ndarray]:
         for name in ("words", "chunks"):
-            if len(getattr(self, name).rows) > self.most:
+            if getattr(self, name).bytes > self.most:
                 setattr(self, name, _Store())
-        plain = [not t or not _OTHER.search(t) for t in texts]
+        plain = [not t or _plain(t) for t in texts]
         split = [t.split() if t and ok else [] for t, ok in zip(texts, plain)]
         ids, sizes = self.chunks.of(split, self._learn_chunks)
         return [i if ok else self._encode(t) for t, ok, i in zip(texts, plain, np.split(ids, np.cumsum(sizes)[:-1]))]
 
 
+_TOKENS: dict[str, WordTokens] = {}
+
+
+def word_tokens(path: str) -> WordTokens:
+    """The tokens of a vocabulary file, one set of stores for a worker process."""
+    if path not in _TOKENS:
+        _TOKENS.clear()
+        _TOKENS[path] = WordTokens(path)
+    return _TOKENS[path]
+
+
 _PIECES = "piece int, start long, length long, ids_crc32 long"
 
 
@@ -121,7 +146,7 @@ def tokenised_pieces(documents: DataFrame, path: str, capacity: int = CAPACITY,
     """(doc_id, piece, start, length, ids_crc32) of every document."""
 
     def run(batches: Iterator[pa.RecordBatch]):
-        tokens = WordTokens(path)
+        tokens = word_tokens(path)
         end = np.array([end_id], np.uint32)
         for b, texts in column_lists(batches, "text"):
             row, rest = [], []
@@ -322,7 +347,10 @@ def pack_pieces(pieces: DataFrame, groups: int, capacity: int = CAPACITY) -> Dat
 
 
 def pack_documents(documents: DataFrame, path: str, capacity: int = CAPACITY, group: int = GROUP) -> DataFrame:
-    """Tokenise and pack whole documents; the number of groups follows the
-    number of documents."""
-    groups = -(-max(1, documents.count()) // group)
-    return pack_pieces(tokenised_pieces(documents, path, capacity), groups, capacity)
+    """Tokenise and pack whole documents.  The pieces, numbers only, are written
+    to the shared folder, counted there and dealt to groups of about ``group``."""
+    spark = documents.sparkSession
+    folder = scratch(spark, "pieces")
+    tokenised_pieces(documents, path, capacity).write.parquet(folder)
+    pieces = spark.read.parquet(folder)
+    return pack_pieces(pieces, -(-max(1, pieces.count()) // group), capacity)
