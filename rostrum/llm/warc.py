@@ -16,8 +16,11 @@ archive at a time.  Page ids travel in an HTTP header.
 Null html is an empty payload, a null or blank url becomes ``-``, other
 characters than URLs may have are percent-encoded, a null page id is left out
 and read back as null (and is the smallest).  Bytes that are no record are
-reported as rows of kind ``damage``, not dropped in silence.  An empty table
-gives no archive and no row."""
+reported as rows of kind ``damage``, not dropped in silence: ``read_arc`` has
+them among its rows, ``convert`` returns them.  A packed file may be one gzip
+member or many; it is unpacked in parts, and a cut or damaged member is damage
+of its own.  Other columns of the pages are not read.  An empty table gives no
+archive and no row."""
 
 from __future__ import annotations
 
@@ -75,38 +78,115 @@ def http_body(page_id: int | None, payload: bytes) -> bytes:
     return (b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n" % len(payload)) + own + _CRLF + payload
 
 
-def parse_arc(data: bytes) -> Iterator[dict]:
-    """Records of an ARC file: url, address, date, kind, status, offset, body;
-    spans that are no record come as {"damage": bytes, "offset": ...}."""
-    version, at, bad, n = 1, 0, None, len(data)
-    while at < n:
-        end = data.find(b"\n", at)
-        end = n if end < 0 else end
-        line = data[at:end].decode("utf-8", "replace").rstrip("\r")
-        if not line:
-            at = end + 1
-            continue
-        opening = line.startswith("filedesc://")
-        width = len(ARC_FIELDS[version].split())
-        fields = line.rsplit(" ", 4 if opening and line.count(" ") < 9 else (9 if opening else width - 1))
-        size = int(fields[-1]) if len(fields) in (5, 10) and fields[-1].isdigit() else -1
-        if size < 0 or end + 1 + size > n or not re.fullmatch(r"\d{12,14}", fields[2]):
-            bad = at if bad is None else bad
-            at = end + 1
+class ArcParser:
+    """Records of an ARC file handed over in parts: url, address, date, kind,
+    status, offset (in the unpacked file), body; spans that are no record come
+    as {"damage": bytes, "offset": ...}.  Holds no more than the record at hand."""
+
+    def __init__(self):
+        self.parts: list[bytes] = []
+        self.size, self.need, self.base = 0, 1, 0
+        self.version, self.bad = 1, None
+
+    def feed(self, data: bytes) -> Iterator[dict]:
+        self.parts.append(data)
+        self.size += len(data)
+        if self.size >= self.need:
+            yield from self._parse(False)
+
+    def cut(self) -> Iterator[dict]:
+        """The rest, where the file or an undamaged stretch of it ends."""
+        yield from self._parse(True)
+
+    def _damage(self, end: int) -> Iterator[dict]:
+        if self.bad is not None:
+            yield {"damage": self.base + end - self.bad, "offset": self.bad}
+            self.bad = None
+
+    def _parse(self, last: bool) -> Iterator[dict]:
+        data, at = b"".join(self.parts), 0
+        n, self.need = len(data), 1
+        while at < n:
+            end = data.find(b"\n", at)
+            if end < 0 and not last:
+                self.need = 2 * (n - at)
+                break
+            end = n if end < 0 else end
+            line = data[at:end].decode("utf-8", "replace").rstrip("\r")
+            if not line:
+                at = end + 1
+                continue
+            opening = line.startswith("filedesc://")
+            width = len(ARC_FIELDS[self.version].split())
+            fields = line.rsplit(" ", 4 if opening and line.count(" ") < 9 else (9 if opening else width - 1))
+            size = int(fields[-1]) if len(fields) in (5, 10) and re.fullmatch("[0-9]+", fields[-1]) else -1
+            sound = size >= 0 and re.fullmatch(r"\d{12,14}", fields[2])
+            if sound and end + 1 + size > n and not last:
+                self.need = end + 1 + size - at
+                break
+            if not sound or end + 1 + size > n:
+                self.bad = self.base + at if self.bad is None else self.bad
+                at = min(end + 1, n)
+                continue
+            yield from self._damage(at)
+            body = data[end + 1 : end + 1 + size]
+            if opening:
+                mark = body[:1]
+                self.version = int(mark) if mark in (b"1", b"2") else 1
+            else:
+                yield {"url": fields[0], "address": fields[1], "date": fields[2], "kind": fields[3],
+                       "status": fields[4] if self.version == 2 else None, "offset": self.base + at, "body": body}
+            at = end + 1 + size
+        at = min(at, n)
+        if last:
+            yield from self._damage(n)
+        self.parts, self.size, self.base = [data[at:]], n - at, self.base + at
+
+
+_MAGIC = b"\x1f\x8b\x08"
+_PART = 1 << 20
+
+
+def unpacked(content: bytes) -> Iterator[bytes | int]:
+    """The bytes of a file in parts: as they are, or those of all gzip members
+    (a file may be one member or one for each record).  A number stands for so
+    many packed bytes that are no whole member: a cut or damaged one, or
+    anything between members but zeros."""
+    if content[:2] != _MAGIC[:2]:
+        yield from (content[k : k + _PART] for k in range(0, len(content), _PART))
+        return
+    at = 0
+    while at < len(content):
+        member, fed, out = zlib.decompressobj(31), at, b""
+        try:
+            while not member.eof and (out or fed < len(content) or member.unconsumed_tail):
+                take = member.unconsumed_tail or content[fed : fed + _PART]
+                fed += 0 if member.unconsumed_tail else len(take)
+                if out := member.decompress(take, _PART):
+                    yield out
+        except zlib.error:
+            pass
+        if member.eof:
+            at = fed - len(member.unused_data)
             continue
-        if bad is not None:
-            yield {"damage": at - bad, "offset": bad}
-            bad = None
-        body = data[end + 1 : end + 1 + size]
-        if opening:
-            mark = body[:1]
-            version = int(mark) if mark in (b"1", b"2") else 1
+        following = content.find(_MAGIC, at + 2)
+        following = len(content) if following < 0 else following
+        if content[at:following].strip(b"\0"):
+            yield following - at
+        at = following
+
+
+def parse_arc(content: bytes) -> Iterator[dict]:
+    """Records and damage of an ARC file, packed or not (see ``ArcParser``).
+    Damage of a packed file has the number of packed bytes lost at its place."""
+    parser = ArcParser()
+    for part in unpacked(content):
+        if isinstance(part, bytes):
+            yield from parser.feed(part)
         else:
-            yield {"url": fields[0], "address": fields[1], "date": fields[2], "kind": fields[3],
-                   "status": fields[4] if version == 2 else None, "offset": at, "body": body}
-        at = end + 1 + size
-    if bad is not None:
-        yield {"damage": n - bad, "offset": bad}
+            yield from parser.cut()
+            yield {"damage": part, "offset": parser.base}
+    yield from parser.cut()
 
 
 def _archives(parts: Iterator[bytes], opening, joint: bytes) -> Iterator[pa.RecordBatch]:
@@ -169,11 +249,17 @@ def _files(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.format("binaryFile").load(folder).select("path", "content")
 
 
-def _unzipped(batches) -> Iterator[tuple[str, bytes]]:
+def _contents(batches) -> Iterator[tuple[str, bytes]]:
     for _, paths, contents in column_lists(batches, "path", "content"):
         for path, content in zip(paths, contents):
-            name = path.rsplit("/", 1)[-1]
-            yield name, zlib.decompress(content, 31) if content[:2] == b"\x1f\x8b" else content
+            yield path.rsplit("/", 1)[-1], content
+
+
+def _whole(name: str, content: bytes) -> bytes:
+    parts = list(unpacked(content))
+    if not all(isinstance(p, bytes) for p in parts):
+        raise ValueError(f"damaged gzip member in {name}")
+    return b"".join(parts)
 
 
 def _rows(rows: Iterator[tuple], names: list[str], kinds: list[pa.DataType], sized: int | None = None, most: int = 4 << 20):
@@ -209,8 +295,8 @@ def read_arc(spark: SparkSession, folder: str) -> DataFrame:
     kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.string(), pa.int64(), pa.binary()]
 
     def records(batches):
-        for name, data in _unzipped(batches):
-            for r in parse_arc(data):
+        for name, content in _contents(batches):
+            for r in parse_arc(content):
                 if "damage" in r:
                     yield (name, r["offset"], None, None, None, None, None, None, r["damage"], None)
                     continue
@@ -260,11 +346,13 @@ def parse_warc(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
         at = cut + 4 + size + 4
 
 
-def convert(spark: SparkSession, arc_folder: str, warc_folder: str, min_bytes: int = 0) -> None:
-    """WARC files of all records in the ARC files.  Payloads shuffle once, on
+def convert(spark: SparkSession, arc_folder: str, warc_folder: str, min_bytes: int = 0) -> DataFrame:
+    """WARC files of all records in the ARC files; returns the spans that are no
+    record (file, offset, bytes), read when asked for.  Payloads shuffle once, on
     their digest, with what each digest's response is; that table has a row
     for each payload."""
-    records = read_arc(spark, arc_folder).where("damage is null")
+    found = read_arc(spark, arc_folder)
+    records = found.where("damage is null")
     best = records.where(F.length("payload") >= min_bytes).groupBy(F.col("digest").alias("_digest")).agg(
         F.max(F.struct("page_id", "file", "offset", "url", "date")).alias("best"))
     rows = records.join(best, (F.col("digest") == F.col("_digest")) & (F.length("payload") >= min_bytes), "left").drop("_digest")
@@ -297,6 +385,7 @@ def convert(spark: SparkSession, arc_folder: str, warc_folder: str, min_bytes: i
         return _archives(records(), opening, _CRLF + _CRLF)
 
     _write(rows.mapInArrow(run, "value string"), warc_folder, "\r\n\r\n")
+    return found.where("damage is not null").select("file", "offset", F.col("damage").alias("bytes"))
 
 
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
@@ -308,8 +397,8 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     kinds = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
 
     def records(batches):
-        for name, data in _unzipped(batches):
-            for fields, block in parse_warc(data):
+        for name, content in _contents(batches):
+            for fields, block in parse_warc(_whole(name, content)):
                 if fields["warc-type"] == "warcinfo":
                     continue
                 head, payload = _split_http(block)

@@ -1,5 +1,7 @@
+import gzip
 import hashlib
 import re
+import zlib
 from itertools import groupby
 
 import numpy as np
@@ -132,6 +134,48 @@ def test_arc_versions_and_damage():
         assert got[0]["body"] == body and got[1]["damage"] == 13 and got[3]["damage"] > 0
 
 
+def packed_records(version):
+    """An ARC file whose records are gzip members of their own, and the records."""
+    bodies = [b"", b"a\nb " * 400_000, b"\x1f\x8b\x08 no member", b"http://x 0.0.0.0 20200101000000 text/html 3\nabc"]
+    records = [warc.arc_record(version, f"http://{i}", b, "f.arc", 9) for i, b in enumerate(bodies)]
+    return bodies, [gzip.compress(x) for x in (warc.arc_opening(version, "f.arc"), *records)]
+
+
+@pytest.mark.parametrize("version", [1, 2])
+def test_arc_of_gzip_members(version, monkeypatch):
+    bodies, members = packed_records(version)
+    got = list(warc.parse_arc(b"".join(members)))
+    assert [r["body"] for r in got] == bodies and len({r["offset"] for r in got}) == 4
+    plain = b"".join(map(gzip.decompress, members))
+    for part in (7, 1 << 20):  # whatever the parts are, and packed or not, the records and offsets are the same
+        monkeypatch.setattr(warc, "_PART", part)
+        assert list(warc.parse_arc(gzip.compress(plain))) == list(warc.parse_arc(b"".join(members))) == got
+        if part > 7:
+            assert list(warc.parse_arc(plain)) == got
+    # a cut last member, a damaged one in the middle, zeros and other bytes between members
+    cut = list(warc.parse_arc(b"".join(members)[:-5]))
+    assert [r["body"] for r in cut if "body" in r] == bodies[:3] or [r["body"] for r in cut if "body" in r] == bodies
+    assert any("damage" in r for r in cut)
+    torn = members[2][:500] + bytes(40) + members[2][540:]
+    got = list(warc.parse_arc(b"".join([*members[:2], torn, *members[3:]])))
+    sound = [r["body"] for r in got if "body" in r]
+    assert sound[0] == bodies[0] and sound[-2:] == bodies[2:] and sum(r.get("damage", 0) for r in got) >= len(torn)
+    got = list(warc.parse_arc(b"".join([members[0], bytes(100), members[1], b"junk", *members[2:]])))
+    assert [r["body"] for r in got if "body" in r] == bodies and [r["damage"] for r in got if "damage" in r] == [4]
+
+
+def test_convert_reports_damage(spark, tmp_path):
+    bodies, members = packed_records(1)
+    (tmp_path / "arc").mkdir()
+    (tmp_path / "arc" / "a.arc.gz").write_bytes(b"".join(members)[:-5])
+    (tmp_path / "arc" / "b.arc").write_bytes(b"".join(map(gzip.decompress, members)) + b"garbage\n")
+    damage = warc.convert(spark, str(tmp_path / "arc"), str(tmp_path / "warc")).collect()
+    assert sorted(r["file"] for r in damage if r["bytes"] == 8) == ["b.arc"] and any(r["file"] == "a.arc.gz" for r in damage)
+    kept = [r["body"] for r in warc.parse_arc(b"".join(members)[:-5]) if "body" in r]
+    got = warc.read_warc(spark, str(tmp_path / "warc")).collect()
+    assert sorted(r["payload_digest"] for r in got) == sorted(map(warc.sha1_base32, kept + bodies))
+
+
 # op6
 
 
@@ -185,6 +229,20 @@ def test_packing_places_every_piece(odd, empty, monkeypatch):
     assert packing.pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_packing_rows_are_the_tokenizers(spark):
+    """Every row of the query against the tokeniser itself."""
+    from tokenizers import Tokenizer
+
+    t, want = Tokenizer.from_file(tokenizer_path()), []
+    for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect():
+        ids = [*t.encode(r["text"] or "", add_special_tokens=False).ids, 1]
+        for k in range(0, len(ids), 4096):
+            part = np.array(ids[k : k + 4096], "<u4")
+            want.append((r["doc_id"], k // 4096, k, len(part), zlib.crc32(part.tobytes())))
+    got = QUERIES["op7_packing"](spark, "/root/testdata/sf0.001").select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert sorted(map(tuple, got)) == sorted(want)
+
+
 def test_word_tokens_equal_the_tokenizer():
     w = packing.WordTokens(tokenizer_path(), most=3)
     texts = ["a b  c", "x\x1cy z", "<|endoftext|>abc don't", "é ́a", "I'LL it's 'S ''s", "", None, " ", "½x²7 ÀÉ\x85b\xa0c", "ΑΣ ς"]
