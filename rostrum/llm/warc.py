@@ -196,7 +196,7 @@ def _archives(parts: Iterator[bytes], opening, joint: bytes) -> Iterator[pa.Reco
 
     def out():
         data = b"".join([opening(), *held])
-        return pa.RecordBatch.from_arrays([pa.array([data[: len(data) - len(joint)]], pa.binary()).cast(pa.string())], ["value"])
+        return pa.RecordBatch.from_arrays([pa.array([data[: len(data) - len(joint)]], pa.binary()).cast(pa.string(), safe=False)], ["value"])  # any bytes: Spark's text writer copies them
 
     for p in parts:
         held.append(p)

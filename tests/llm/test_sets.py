@@ -136,7 +136,7 @@ def test_arc_versions_and_damage():
 
 def packed_records(version):
     """An ARC file whose records are gzip members of their own, and the records."""
-    bodies = [b"", b"a\nb " * 400_000, b"\x1f\x8b\x08 no member", b"http://x 0.0.0.0 20200101000000 text/html 3\nabc"]
+    bodies = [b"", b"a\nb " * 400_000, b"\x1f\x8b\x08 no \xff\x00 member", b"http://x 0.0.0.0 20200101000000 text/html 3\nabc"]
     records = [warc.arc_record(version, f"http://{i}", b, "f.arc", 9) for i, b in enumerate(bodies)]
     return bodies, [gzip.compress(x) for x in (warc.arc_opening(version, "f.arc"), *records)]
 
@@ -156,7 +156,7 @@ def test_arc_of_gzip_members(version, monkeypatch):
     cut = list(warc.parse_arc(b"".join(members)[:-5]))
     assert [r["body"] for r in cut if "body" in r] == bodies[:3] or [r["body"] for r in cut if "body" in r] == bodies
     assert any("damage" in r for r in cut)
-    torn = members[2][:500] + bytes(40) + members[2][540:]
+    torn = members[2][:500] + b"\xff" * 40 + members[2][540:]
     got = list(warc.parse_arc(b"".join([*members[:2], torn, *members[3:]])))
     sound = [r["body"] for r in got if "body" in r]
     assert sound[0] == bodies[0] and sound[-2:] == bodies[2:] and sum(r.get("damage", 0) for r in got) >= len(torn)
