@@ -18,7 +18,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
-from rostrum.operators import tfidf
+from rostrum.operators import impact, tfidf
+from rostrum.session import stored
 
 RANK_DIGITS = 9
 RESULT_SCHEMA = (
@@ -45,6 +46,16 @@ def query_scores(spark: SparkSession, query: str, index, stopwords: Iterable[str
     return scores(index.weights.filter(F.col("term").isin([r["term"] for r in found])), qw)
 
 
+def page_scores(spark: SparkSession, query: str, index, threshold: float, top_k: int, stopwords: Iterable[str] = (),
+                stems: tfidf.Stems = None) -> DataFrame:
+    """G1 + G2 for the pages up to ``top_k`` matches: (id, score) of at least
+    these, from the impact blocks that can reach them."""
+    found = query_weights(spark, query, index.vocab, stopwords, stems, index.max_features).collect()
+    qw = spark.createDataFrame([(0, *r) for r in found], "query_id int, term string, qweight double")
+    terms = F.col("term").isin([r["term"] for r in found])
+    return impact.matches(qw, index.blocks.filter(terms), index.weights.filter(terms), threshold, top_k).select("id", "score")
+
+
 def scores(doc_weights: DataFrame, qweights: DataFrame) -> DataFrame:
     """G1: (id, score) for every document sharing a term with the query.
     Partial aggregation per task precedes the shuffle on id."""
@@ -111,7 +122,10 @@ def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: Da
     the speeches are read with ``id IN (...)``."""
     if not query:
         return spark.createDataFrame([], RESULT_SCHEMA)
-    m = ranked(query_scores(spark, query, model, stopwords, stems), threshold)
+    if getattr(model, "blocks", None) is None or threshold <= 0:
+        m = ranked(query_scores(spark, query, model, stopwords, stems), threshold)
+    else:
+        m = ranked(page_scores(spark, query, model, threshold, max(page_no, 1) * per_page, stopwords, stems), threshold)
     rows = page(m, page_no, per_page).select("id", "score", "rank").collect()
     pg = spark.createDataFrame(rows, "id long, score double, rank int")
     return with_details(pg, details.filter(F.col("id").isin([r["id"] for r in rows])))
@@ -119,21 +133,25 @@ def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: Da
 
 def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, stopwords: Iterable[str] = (),
                  stems: tfidf.Stems = None, max_features: int | None = 10_000,
-                 threshold: float = 0.1, top_k: int | None = None) -> DataFrame:
+                 threshold: float = 0.1, top_k: int | None = None, blocks: DataFrame | None = None) -> DataFrame:
     """Many queries at once — (query_id, id, score) for every match
     >= threshold; with ``top_k`` the best of each query with their rank (the
     planner keeps ``top_k`` rows per query in each task before the shuffle).
     Each query is reduced to its vocabulary
     terms; the join on term carries no hint: the planner broadcasts a small
     query side by its real bytes, else both sides shuffle on term (AQE splits
-    skewed terms)."""
+    skewed terms).  With the ``blocks`` of a stored index only blocks that can
+    reach the threshold, or the ``top_k``-th score, are read (``impact``)."""
     q = queries.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
     qtok = tfidf.tokenize(q, "id", "text", stopwords, stems)
     qw = tfidf.transform(qtok, vocab, "id", max_features).select(
         F.col("id").alias("query_id"), "term", F.col("weight").alias("qweight")
     )
-    j = doc_weights.join(qw, "term")
-    sc = j.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
+    if blocks is not None and threshold > 0:
+        sc = impact.matches(stored(qw, "queries"), blocks, doc_weights, threshold, top_k)
+    else:
+        j = doc_weights.join(qw, "term")
+        sc = j.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))
     sc = ranked(sc, threshold)
     return sc if top_k is None else batch_top(sc, top_k)
 

@@ -55,7 +55,7 @@ def q_search_scores(spark, sf):
 def _matches(spark, sf, top_k=None):
     ix = corpora.search_index(spark, sf)
     return se.batch_scores(ix.weights, fx.search_queries(spark, sf), ix.vocab, fx.FIX_STOPWORDS,
-                           corpora.stems(spark, sf), ix.max_features, top_k=top_k)
+                           corpora.stems(spark, sf), ix.max_features, top_k=top_k, blocks=ix.blocks)
 
 
 @query("search_ranked", _sql(*_BATCH, body=f"SELECT query_id, id, round(score, {R}) AS score FROM bm"))

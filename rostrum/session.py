@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from rostrum.functions.blas import single_thread
 
@@ -68,6 +69,15 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or path
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared checkpoint folder and read again: computed
+    once, of known size for the planner, and safe from lost executors."""
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 _SHIPPED: set[str] = set()
 
 

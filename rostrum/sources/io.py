@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
+from rostrum.operators import impact
 from rostrum.operators.lexicon import read_lexicon  # noqa: F401  (A5, re-exported)
 
 BOM = "﻿"
@@ -46,11 +47,12 @@ def save(df: DataFrame, path: str, mode: str = "overwrite", partition_by: Iterab
 
 def save_postings(post: DataFrame, path: str, partitions: int | None = None) -> None:
     """A7 for the search index: postings range-partitioned and sorted by (term,
-    id), so a later ``term IN (...)`` filter skips row groups by their min/max
+    tier, id), so a later ``term IN (...)`` filter skips row groups by their min/max
     statistics instead of reading the whole index, and a frequent term spreads
     over several files."""
     n = [partitions] if partitions else []
-    post.repartitionByRange(*n, "term", "id").sortWithinPartitions("term", "id").write.mode("overwrite").parquet(path)
+    order = ["term", "tier", "id"]
+    impact.with_tiers(post).repartitionByRange(*n, *order).sortWithinPartitions(*order).write.mode("overwrite").parquet(path)
 
 
 def load(spark: SparkSession, path: str) -> DataFrame:
@@ -64,13 +66,17 @@ class SearchIndex:
 
     weights: DataFrame
     vocab: DataFrame
+    blocks: DataFrame
     n_docs: int
     max_features: int | None
 
 
 def save_index(model, path: str, partitions: int | None = None) -> None:
-    """The weights, the vocabulary and the corpus size of a fitted model."""
+    """The weights in impact blocks, the table of blocks, the vocabulary
+    and the corpus size of a fitted model."""
     save_postings(model.weights.select("term", "id", "weight"), f"{path}/weights", partitions)
+    spark = model.weights.sparkSession
+    save(impact.block_table(load(spark, f"{path}/weights")), f"{path}/blocks")
     save(model.vocab, f"{path}/vocabulary")
     size = model.tokens.agg(F.count("*").alias("n_docs"))
     save(size.withColumn("max_features", F.lit(model.max_features).cast("int")), f"{path}/corpus")
@@ -79,7 +85,7 @@ def save_index(model, path: str, partitions: int | None = None) -> None:
 def load_index(spark: SparkSession, path: str) -> SearchIndex:
     """The index that ``save_index`` wrote."""
     size = load(spark, f"{path}/corpus").first()
-    return SearchIndex(load(spark, f"{path}/weights"), load(spark, f"{path}/vocabulary"),
+    return SearchIndex(load(spark, f"{path}/weights"), load(spark, f"{path}/vocabulary"), load(spark, f"{path}/blocks"),
                        size["n_docs"], size["max_features"])
 
 
