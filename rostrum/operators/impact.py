@@ -17,9 +17,10 @@ For the best k matches ``least`` comes from the data: the k-th largest partial
 score over each query's strongest blocks, which its k-th score cannot be below.
 
 Choosing is window functions over (query, term, tier) rows, which do not grow with
-the postings.  Where the choice saves less than half of the postings (long queries
-of common words, a low threshold), completing would cost more than it saves and all blocks are
-read in one join; both ways give the same matches.
+the postings.  Where the queries' blocks hold few postings, or the choice saves less
+than half of them (long queries of common words, a low threshold), the further passes
+would cost more than they save and all blocks are read in one join; both ways
+give the same matches.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ from rostrum.session import stored
 SLACK = 2e-9
 #: Part of the score to reach that skipped blocks may hold.
 SHARE = 0.5
+#: Postings of all queries up to which one join reads them all.
+SMALL = 10_000_000
 #: The skipping way must read at most one in so many postings.
 GAIN = 2
 #: The first pass reads about so many postings for each result asked for, and
@@ -89,11 +92,9 @@ def choose(mine: DataFrame) -> DataFrame:
     return rows.select("query_id", "term", "tier", "qweight", "n", "least", "given", skipped.alias("skipped"))
 
 
-def chosen_blocks(queries: DataFrame, blocks: DataFrame, postings: DataFrame, threshold: float, top_k: int | None) -> DataFrame:
-    """The choice for every query, stored: it is read several times."""
-    mine = query_blocks(queries, blocks)
+def chosen_blocks(mine: DataFrame, postings: DataFrame, threshold: float, top_k: int | None) -> DataFrame:
+    """The choice among query blocks, stored: it is read several times."""
     if top_k is not None:
-        mine = stored(mine, "query-blocks")
         size = mine.agg(F.sum("n").alias("n"), F.count_distinct("query_id").alias("queries")).first()
         if (size["n"] or 0) >= HEAD_WORTH * HEAD * top_k * size["queries"]:
             return stored(choose(mine.join(head_least(mine, postings, top_k, threshold), "query_id")), "blocks")
@@ -117,14 +118,16 @@ def completed(chosen: DataFrame, postings: DataFrame) -> DataFrame:
 
 
 def matches(queries: DataFrame, blocks: DataFrame, postings: DataFrame, threshold: float, top_k: int | None = None,
-            gain: float = GAIN) -> DataFrame:
+            gain: float = GAIN, small: int = SMALL) -> DataFrame:
     """(query_id, id, score) of all documents that reach the threshold, and with
     ``top_k`` at least the best ``top_k`` of each query among them.  ``queries``
     are rows (query_id, term, qweight); ``threshold`` must be positive."""
     if threshold <= 0:
         raise ValueError("blocks are skipped by a positive threshold")
-    chosen = chosen_blocks(queries, blocks, postings, threshold, top_k)
-    size = chosen.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("skipped"), 0).otherwise(F.col("n"))).alias("read")).first()
-    if (size["read"] or 0) * gain <= (size["all"] or 0):
-        return completed(chosen, postings)
-    return partial_scores(postings, chosen).withColumnRenamed("part", "score")
+    mine = stored(query_blocks(queries, blocks), "query-blocks")
+    if (mine.agg(F.sum("n")).first()[0] or 0) >= small:
+        chosen = chosen_blocks(mine, postings, threshold, top_k)
+        size = chosen.agg(F.sum("n").alias("all"), F.sum(F.when(F.col("skipped"), 0).otherwise(F.col("n"))).alias("read")).first()
+        if (size["read"] or 0) * gain <= (size["all"] or 0):
+            return completed(chosen, postings)
+    return partial_scores(postings, mine).withColumnRenamed("part", "score")

@@ -19,7 +19,6 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
 from rostrum.operators import impact, tfidf
-from rostrum.session import stored
 
 RANK_DIGITS = 9
 RESULT_SCHEMA = (
@@ -131,6 +130,16 @@ def search(spark: SparkSession, query: str, model: tfidf.TfidfModel, details: Da
     return with_details(pg, details.filter(F.col("id").isin([r["id"] for r in rows])))
 
 
+def batch_weights(queries: DataFrame, vocab: DataFrame, stopwords: Iterable[str] = (), stems: tfidf.Stems = None,
+                  max_features: int | None = 10_000) -> DataFrame:
+    """C7 + D8 for many queries: (query_id, term, qweight)."""
+    q = queries.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
+    qtok = tfidf.tokenize(q, "id", "text", stopwords, stems)
+    return tfidf.transform(qtok, vocab, "id", max_features).select(
+        F.col("id").alias("query_id"), "term", F.col("weight").alias("qweight")
+    )
+
+
 def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, stopwords: Iterable[str] = (),
                  stems: tfidf.Stems = None, max_features: int | None = 10_000,
                  threshold: float = 0.1, top_k: int | None = None, blocks: DataFrame | None = None) -> DataFrame:
@@ -142,13 +151,9 @@ def batch_scores(doc_weights: DataFrame, queries: DataFrame, vocab: DataFrame, s
     query side by its real bytes, else both sides shuffle on term (AQE splits
     skewed terms).  With the ``blocks`` of a stored index only blocks that can
     reach the threshold, or the ``top_k``-th score, are read (``impact``)."""
-    q = queries.select(F.col("query_id").alias("id"), F.col("query").alias("text"))
-    qtok = tfidf.tokenize(q, "id", "text", stopwords, stems)
-    qw = tfidf.transform(qtok, vocab, "id", max_features).select(
-        F.col("id").alias("query_id"), "term", F.col("weight").alias("qweight")
-    )
+    qw = batch_weights(queries, vocab, stopwords, stems, max_features)
     if blocks is not None and threshold > 0:
-        sc = impact.matches(stored(qw, "queries"), blocks, doc_weights, threshold, top_k)
+        sc = impact.matches(qw, blocks, doc_weights, threshold, top_k)
     else:
         j = doc_weights.join(qw, "term")
         sc = j.groupBy("query_id", "id").agg(F.sum(F.col("weight") * F.col("qweight")).alias("score"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
+from rostrum.operators import impact
 from rostrum.operators import search as se
 from rostrum.plans import corpora
 from rostrum.plans import sql_parts as sp
@@ -105,6 +106,16 @@ def q_batch_search(spark, sf):
     return _matches(spark, sf, TOP_K).select("query_id", "id", F.round("score", R).alias("score"), "rank")
 
 
+@query("batch_search_blocks", _sql(*_BATCH, body=f"""
+SELECT query_id, id, round(score, {R}) AS score, CAST(rank AS INTEGER) AS rank FROM br WHERE rank <= 10"""))
+def q_batch_search_blocks(spark, sf):
+    """The best ten of every item by skipping blocks, whatever the tables' size."""
+    ix = corpora.search_index(spark, sf)
+    qw = se.batch_weights(fx.search_queries(spark, sf), ix.vocab, fx.FIX_STOPWORDS, corpora.stems(spark, sf), ix.max_features)
+    found = impact.matches(qw, ix.blocks, ix.weights, 0.1, top_k=10, gain=0, small=0)
+    return se.batch_top(se.ranked(found), 10).select("query_id", "id", F.round("score", R).alias("score"), "rank")
+
+
 _L = fx.FIX_LOOKUP
 
 

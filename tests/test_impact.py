@@ -49,7 +49,7 @@ def test_tiers_and_block_tops(corpus):
 @pytest.mark.parametrize("gain", [0, 1e9])
 def test_matches_equal_the_plain_join(corpus, threshold, gain):
     p, blocks, q = corpus
-    got = {(r["query_id"], r["id"]): r["score"] for r in se.ranked(impact.matches(q, blocks, p, threshold, gain=gain), threshold).collect()}
+    got = {(r["query_id"], r["id"]): r["score"] for r in se.ranked(impact.matches(q, blocks, p, threshold, gain=gain, small=0), threshold).collect()}
     want = {k: s for k, s in plain(corpus).items() if round(s, 9) >= threshold}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in got)
 
@@ -58,7 +58,7 @@ def test_matches_equal_the_plain_join(corpus, threshold, gain):
 def test_best_matches_from_the_head(corpus, k, monkeypatch):
     monkeypatch.setattr(impact, "HEAD_WORTH", 0)
     p, blocks, q = corpus
-    got = se.batch_top(se.ranked(impact.matches(q, blocks, p, 0.05, top_k=k, gain=0), 0.05), k).collect()
+    got = se.batch_top(se.ranked(impact.matches(q, blocks, p, 0.05, top_k=k, gain=0, small=0), 0.05), k).collect()
     want = []
     for query in (0, 1, 2, 3, 4, 9):
         best = sorted((-round(s, 9), i) for (n, i), s in plain(corpus).items() if n == query and round(s, 9) >= 0.05)[:k]
@@ -71,7 +71,7 @@ def test_skips_blocks(corpus, monkeypatch):
     monkeypatch.setattr(impact, "HEAD_WORTH", 0)
     p, blocks, q = corpus
     for threshold, k, most in ((0.7, None, 0.6), (0.05, 3, 0.9)):
-        rows = impact.chosen_blocks(q, blocks, p, threshold, k).collect()
+        rows = impact.chosen_blocks(impact.query_blocks(q, blocks).persist(), p, threshold, k).collect()
         total, read = sum(r["n"] for r in rows), sum(r["n"] for r in rows if not r["skipped"])
         assert 0 < read < most * total
     # what a term skips are its lowest tiers
