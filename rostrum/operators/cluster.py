@@ -1,9 +1,8 @@
 """K-means clustering of topic vectors, model selection and representatives
 (inventory H6-H11).
 
-Vectors are ``(id, vector array<double>)``.  Fitting uses MLlib's
-distributed K-means (k-means|| initialisation, seed 42); silhouette uses
-MLlib's cosine evaluator, which is linear in the number of points (the
+Vectors are ``(id, vector array<double>)``.  Fits and sweeps are in ``kmeans``;
+silhouette uses MLlib's cosine evaluator, which is linear in the number of points (the
 reference sampled 10,000 points to afford a quadratic one).  Assignment
 compares each Arrow batch of vectors with the model's centres (k rows);
 representatives join each point with its own centre.
@@ -15,15 +14,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from rostrum.operators import kmeans
+from rostrum.session import stored
+
 RANK_DIGITS = 9
 
+
 def normalize(vectors: DataFrame, col: str = "vector") -> DataFrame:
     """H6: rows scaled to unit L2 norm; zero rows stay zero.  The norm is its
     own projection (a lambda would recompute it per element)."""
@@ -33,16 +35,6 @@ def normalize(vectors: DataFrame, col: str = "vector") -> DataFrame:
     return n.withColumn(col, scaled).drop("_norm")
 
 
-def fit_kmeans(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 300, tol: float = 1e-4,
-               col: str = "vector"):
-    """H7: MLlib K-means on (normalised) vectors; returns (model, assigned)
-    with ``cluster`` per id."""
-    feats = vectors.select("id", array_to_vector(col).alias("features"))
-    km = KMeans(k=k, seed=seed, maxIter=max_iter, tol=tol, featuresCol="features", predictionCol="cluster")
-    model = km.fit(feats)
-    return model, model.transform(feats).select("id", "features", "cluster")
-
-
 def silhouette(assigned: DataFrame, features: str = "features", cluster: str = "cluster") -> float:
     """H8: mean silhouette with cosine distance over all points."""
     ev = ClusteringEvaluator(featuresCol=features, predictionCol=cluster, metricName="silhouette",
@@ -105,17 +97,16 @@ def representatives(vectors: DataFrame, centres: DataFrame, n: int = 2, cluster:
         cluster, "rank", "id", "distance")
 
 
-def clustered(vectors: DataFrame, k: int, seed: int = 42, max_iter: int = 300) -> DataFrame:
-    """H6 + H7: (id, vector, cluster) of the normalised vectors."""
-    _, assigned = fit_kmeans(normalize(vectors), k, seed, max_iter)
-    return assigned.select("id", vector_to_array("features").alias("vector"), "cluster")
+def clustered(vectors: DataFrame, k: int, seed: int = kmeans.SEED, max_iter: int = 300, tol: float = 1e-4) -> DataFrame:
+    """H6 + H7: (id, vector, cluster, distance) of the normalised vectors."""
+    return kmeans.fit(normalize(vectors.select("id", "vector")), k, seed, max_iter, tol)[1]
 
 
 def topic_cluster_report(vectors: DataFrame, k: int, details: DataFrame, n: int = 2) -> DataFrame:
     """E8 + H6 + H7 + H9 + H10: document vectors of a topic model normalised,
     clustered, the ``n`` nearest to each centre joined with their details by
     id, as report lines."""
-    v = clustered(vectors, k).persist()
+    v = stored(clustered(vectors, k).drop("distance"), "clusters")
     return report_lines(representatives(v, centres_of(v), n), details)
 
 
@@ -147,24 +138,3 @@ def report_lines(reps: DataFrame, details: DataFrame, cluster: str = "cluster")
     n_reps = reps.groupBy(cluster).agg(F.max("rank").alias("n"))
     tail = n_reps.select(cluster, (1 + F.col("n") * 7).cast("int").alias("line_no"), F.lit("").alias("line"))
     return head.unionByName(lines).unionByName(tail)
-
-
-def sweep(vectors: DataFrame, ks, seed: int = 42, max_iter: int = 300, col: str = "vector") -> list[tuple]:
-    """(k, wcss, silhouette, total) for each k, one distributed fit per k
-    over the cached vectors (model selection is a driver loop of cluster jobs).
-    wcss is about the means of the fitted clusters; ``total`` adds the squared
-    distances of those means to the mean of all points, so it is the same for
-    every k."""
-    v = vectors.select("id", col).cache()
-    out = []
-    for k in ks:
-        _, assigned = fit_kmeans(v, k, seed, max_iter, col=col)
-        score = float(silhouette(assigned))
-        found = assigned.select("id", vector_to_array("features").alias("vector"), "cluster")
-        within = float(wcss(found).first()[0])
-        means = assigned.groupBy("cluster").agg(Summarizer.mean(F.col("features")).alias("m"), F.count("*").alias("n")).collect()
-        m, n = np.array([r["m"].toArray() for r in means]), np.array([r["n"] for r in means], float)
-        between = float((n[:, None] * (m - n @ m / n.sum()) ** 2).sum())
-        out.append((int(k), within, score, within + between))
-    v.unpersist()
-    return out

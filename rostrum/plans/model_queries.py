@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
 from rostrum.operators import cluster as cl
+from rostrum.operators import kmeans
 from rostrum.operators import topics as tp
 from rostrum.plans import corpora
 from rostrum.plans import sql_parts as sp
@@ -161,9 +162,9 @@ def q_topic_report_lines(spark, sf):
         "topic", F.col("line_no").cast("int"), "line")
 
 
-# ---- topic models.  Factors and labels of a randomised or iterative fit have no
-# SQL equivalent, so the queries over the whole corpus return what SQL can say
-# about every row of them; the kernels are compared value by value below.
+# ---- topic models.  Factors of a randomised or iterative fit, and the clusters
+# of those factors, have no SQL equivalent: the queries over the whole corpus return them
+# without one; the kernels are compared value by value below.
 
 _SPEECH = sp.speech_corpus_ctes()
 _LSI_K = 100
@@ -204,102 +205,116 @@ def _square(col):
     return F.aggregate(col, F.lit(0.0), lambda a, x: a + x * x)
 
 
-@query("lsi_vectors", _sql(*_SPEECH, body=f"""
-SELECT m.id, CAST({_LSI_K} AS INTEGER) AS n_components, round(coalesce(s.sq, 0), {R}) AS row_sq, TRUE AS inside
-FROM merged m LEFT JOIN (SELECT id, sum(weight * weight) AS sq FROM d_w GROUP BY id) s USING (id)
-WHERE m.merged_speech IS NOT NULL"""))
+@query("lsi_vectors")
 def q_lsi_vectors(spark, sf):
-    """H1 per document: its components, the squared length of its matrix row,
-    and that its vector, a projection of the row, is not longer."""
-    _, rows, _, svd = _lsi(spark, sf)
-    j = svd.doc_vectors.join(rows.select("id", _square("val").alias("sq")), "id")
-    return j.select("id", F.size("vector").alias("n_components"), F.round("sq", R).alias("row_sq"),
-                    (_square("vector") <= F.col("sq") + 1e-9).alias("inside"))
+    """H1: every document's components."""
+    return _lsi_vectors(spark, sf).select("id", F.posexplode("vector").alias("component", "value")).withColumn("value", F.round("value", R))
 
 
-@query("lsi_concepts", _sql(*_SPEECH, body=f"""
-SELECT CAST(t.topic AS INTEGER) AS topic, least(10, v.n) AS n_words, 1.0::DOUBLE AS loading_sq, TRUE AS in_order
-FROM (SELECT unnest(range(1, {_LSI_K} + 1)) AS topic) t, (SELECT count(*) AS n FROM d_vocab) v"""))
+@query("lsi_concepts")
 def q_lsi_concepts(spark, sf):
-    """H2 per concept: its listed words, the squared length of its loadings
-    (1) and that the listing goes from the weakest to the strongest."""
+    """H2: the ten words of every concept, from the weakest to the strongest."""
     m, _, _, svd = _lsi(spark, sf)
     c = tp.concepts(svd.topics, m.vocab, absolute=True, descending=False)
-    listed = c.groupBy("topic").agg(
-        F.count_distinct("term").alias("n_words"),
-        F.transform(F.sort_array(F.collect_list(F.struct("position", "loading"))), lambda s: s["loading"]).alias("l"))
-    length = svd.topics.groupBy("topic").agg(F.round(F.sum(F.col("loading") * F.col("loading")), R).alias("loading_sq"))
-    return listed.join(length, "topic").select("topic", "n_words", "loading_sq", (F.col("l") == F.sort_array("l")).alias("in_order"))
+    return c.withColumn("loading", F.round("loading", R))
 
 
-@query("lsi_variance", _sql(*_SPEECH, body=f"""
-SELECT CAST(r.rank AS INTEGER) AS rank, round(t.sq, 3) AS total_sq, TRUE AS in_order, TRUE AS inside
-FROM (SELECT unnest(range(1, 151)) AS rank) r, (SELECT sum(weight * weight) AS sq FROM d_w) t"""))
+@query("lsi_variance")
 def q_lsi_variance(spark, sf):
-    """H3 per component: the matrix's squared norm, that singular values
-    descend and that the shares up to this one sum to no more than all."""
+    """H3: singular values of the first 150 concepts with their shares of the
+    150 and of the whole matrix."""
     _, rows, nt = _speech_rows(spark, sf)
     svd = tp.lsi(spark, rows, nt, 150)
     total = rows.select(_square("val").alias("s")).agg(F.sum("s")).first()[0]
-    out, before, seen = [], float("inf"), 0.0
-    for rank, sigma, _, cumulative, share in tp.variance(svd.sigma, total):
-        seen += share
-        out.append((rank, round(total, 3), sigma <= before, seen <= 1 + 1e-9 and cumulative <= 1 + 1e-9))
-        before = sigma
+    out = [(rank, *(round(float(x), R) for x in rest)) for rank, *rest in tp.variance(svd.sigma, total)]
     svd.unpersist()
-    return spark.createDataFrame(out, "rank int, total_sq double, in_order boolean, inside boolean")
+    return spark.createDataFrame(out, "rank int, sigma double, ratio_within_k double, cumulative double, ratio_total double")
 
 
-@query("nmf_vectors", _sql(*_SPEECH, body=f"""
-SELECT id, CAST({_LSI_K} AS INTEGER) AS n_components, TRUE AS non_negative FROM merged WHERE merged_speech IS NOT NULL"""))
+@query("nmf_vectors")
 def q_nmf_vectors(spark, sf):
-    """H4 per document: its components, and that none is negative."""
-    return _nmf_vectors(spark, sf).select(
-        "id", F.size("vector").alias("n_components"), F.forall("vector", lambda x: x >= 0).alias("non_negative"))
+    """H4: every document's weights of the themes."""
+    return _nmf_vectors(spark, sf).select("id", F.posexplode("vector").alias("theme", "weight")).withColumn("weight", F.round("weight", R))
 
 
-@query("nmf_concepts", _sql(*_SPEECH, body="SELECT term, round(sum(weight), 4) AS mass FROM d_w GROUP BY term"))
+@query("nmf_concepts")
 def q_nmf_concepts(spark, sf):
-    """H4 / H5 per term: the weight that W H gives it in all documents.  An
-    update of H makes it that of the matrix itself, whatever W is."""
+    """H5: the ten words of every theme, strongest first."""
     m, res = _nmf(spark, sf)
-    w = res.doc_vectors.select(F.posexplode("vector").alias("t", "x")).groupBy("t").agg(F.sum("x").alias("w"))
-    j = res.topics.join(w, F.col("topic") == F.col("t") + 1)
-    mass = j.groupBy("term_id").agg(F.round(F.sum(F.col("loading") * F.col("w")), 4).alias("mass"))
-    return mass.join(m.vocab.select("term", "term_id"), "term_id").select("term", "mass")
+    c = tp.concepts(res.topics, m.vocab, absolute=False, descending=True)
+    return c.withColumn("loading", F.round("loading", R))
 
 
 # ---- K-means
 
 
-def _nearest(spark, vectors, k):
-    """Per point: no centre of the fitted model is nearer than its own."""
-    v = cl.normalize(vectors.select("id", "vector"))
-    model, assigned = cl.fit_kmeans(v, k)
-    centres = spark.createDataFrame([(i, c.tolist()) for i, c in enumerate(model.clusterCenters())],
-                                    "cluster int, centre array<double>")
-    best = cl.assign(v, centres).select("id", F.col("distance").alias("best"))
-    own = v.join(assigned.select("id", "cluster"), "id")
-    own = cl.with_own_distance(own, centres).select("id", "distance")
-    return own.join(best, "id").select("id", (F.col("distance") <= F.col("best") + 1e-6).alias("nearest"))
+_POINTS = """p AS MATERIALIZED (
+  SELECT id, CASE WHEN n > 0 THEN list_transform(e, lambda v: v / n) ELSE e END AS x,
+         -ln((CAST('0x' || substr(md5('42:' || id), 1, 13) AS BIGINT) + 1) / 4503599627370496.0::DOUBLE) AS race
+  FROM (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS e, sqrt(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[]))) AS n
+        FROM embeddings))"""
 
 
-_SPEECH_IDS = "FROM merged WHERE merged_speech IS NOT NULL"
+def _seeds_sql(k: int) -> str:
+    """The first ``k`` seeds: the least race by squared distance, again and again."""
+    return f"""s AS (
+  SELECT 1 AS step, id, x, race, 1e300::DOUBLE AS near, row_number() OVER (ORDER BY race, id) = 1 AS picked FROM p
+  UNION ALL
+  SELECT step + 1, id, x, race, closer,
+         row_number() OVER (ORDER BY CASE WHEN closer > 0 THEN race / closer ELSE 'inf'::DOUBLE END, id) = 1
+  FROM (SELECT *, least(near, list_distance(x, first_value(x) OVER (ORDER BY picked DESC)) ** 2) AS closer FROM s)
+  WHERE step < {k})"""
+
+
+def _fit_sql(ks: str, k: int, steps: int) -> list[str]:
+    """Points p, seeds s, and for every k of the list ``ks`` centres c0 .. and
+    assignments a1 .. of ``steps`` Lloyd steps; the last assignment is to the last centres."""
+    def nearest(i):
+        return f"""a{i + 1} AS MATERIALIZED (
+  SELECT k, id, x, best.cluster AS cluster, best.d AS d FROM (
+    SELECT c.k, p.id, any_value(p.x) AS x, min({{'d': list_distance(p.x, c.c), 'cluster': c.cluster}}) AS best
+    FROM p, c{i} c GROUP BY c.k, p.id))"""
+
+    out = [_POINTS, _seeds_sql(k), f"""c0 AS MATERIALIZED (
+  SELECT k, step - 1 AS cluster, x AS c FROM s, (SELECT unnest({ks}) AS k) WHERE picked AND step <= k)"""]
+    for i in range(steps):
+        out.append(nearest(i))
+        out.append(f"""c{i + 1} AS MATERIALIZED (
+  SELECT c.k, c.cluster, coalesce(m.c, c.c) AS c FROM c{i} c LEFT JOIN (
+    SELECT k, cluster, list(m ORDER BY dim) AS c FROM (
+      SELECT k, cluster, dim, avg(v) AS m FROM (
+        SELECT k, cluster, unnest(x) AS v, unnest(range(len(x))) AS dim FROM a{i + 1}) GROUP BY k, cluster, dim)
+    GROUP BY k, cluster) m ON m.k = c.k AND m.cluster = c.cluster)""")
+    return [*out, nearest(steps)]
+
+
+def _recursive(ctes: list[str], body: str) -> str:
+    return "WITH RECURSIVE " + ",\n".join(ctes) + body
+
+
+_FIT_STEPS, _SWEEP_STEPS = 12, 2
 
 
-@query("kmeans_embeddings", "SELECT vec_id AS id, TRUE AS nearest FROM embeddings")
+@query("kmeans_embeddings", _recursive(_fit_sql("[10]", 10, _FIT_STEPS), f"""
+SELECT id, CAST(cluster AS INTEGER) AS cluster, round(d, {R}) AS distance FROM a{_FIT_STEPS + 1}"""))
 def q_kmeans_embeddings(spark, sf):
-    return _nearest(spark, fx.embeddings(spark, sf), 10)
+    """H6 + H7: a whole fit, seeds and steps."""
+    found = cl.clustered(fx.embeddings(spark, sf), 10, max_iter=_FIT_STEPS, tol=0)
+    return found.select("id", "cluster", F.round("distance", R).alias("distance"))
 
 
-@query("kmeans_lsi", _sql(fx.sql_merged(), body=f"SELECT id, TRUE AS nearest {_SPEECH_IDS}"))
+def _labels(vectors, k):
+    return cl.clustered(vectors, k).select("id", "cluster", F.round("distance", R).alias("distance"))
+
+
+@query("kmeans_lsi")
 def q_kmeans_lsi(spark, sf):
-    return _nearest(spark, _lsi_vectors(spark, sf), 50)
+    return _labels(_lsi_vectors(spark, sf), 50)
 
 
-@query("kmeans_nmf", _sql(fx.sql_merged(), body=f"SELECT id, TRUE AS nearest {_SPEECH_IDS}"))
+@query("kmeans_nmf")
 def q_kmeans_nmf(spark, sf):
-    return _nearest(spark, _nmf_vectors(spark, sf), 70)
+    return _labels(_nmf_vectors(spark, sf), 70)
 
 
 def _lloyd_sql(steps: int) -> list[str]:
@@ -317,7 +332,7 @@ def _lloyd_sql(steps: int) -> list[str]:
 @query("kmeans_steps", _sql(*_EMB, *_lloyd_sql(3), body=f"SELECT id, cluster, round(d, {R}) AS distance FROM a3"))
 def q_kmeans_steps(spark, sf):
     """H7 step by step: three Lloyd steps from the labels' means."""
-    v = _vectors(spark, sf).persist()
+    v = _vectors(spark, sf)
     centres = cl.centres_of(v)
     for _ in range(2):
         moved = v.drop("cluster").join(cl.assign(v, centres).select("id", "cluster"), "id")
@@ -325,21 +340,31 @@ def q_kmeans_steps(spark, sf):
     return cl.assign(v, centres).withColumn("distance", F.round("distance", R))
 
 
-def _sweep(spark, vectors):
-    """Per k: the squared distances within and between clusters together, and
-    that the silhouette is one."""
-    rows = [(k, round(total, 4), within <= total and -1 <= score <= 1)
-            for k, within, score, total in cl.sweep(cl.normalize(vectors), _SWEEP)]
-    return spark.createDataFrame(rows, "k int, total_ss double, in_range boolean")
-
-
-@query("kmeans_sweep", _sql(*_EMB, body=f"""
-SELECT CAST(k AS INTEGER) AS k, round(ss, 4) AS total_ss, TRUE AS in_range
-FROM (SELECT unnest(range({_SWEEP.start}, {_SWEEP.stop}, {_SWEEP.step})) AS k),
-     (SELECT sum((v.x - c.m) * (v.x - c.m)) AS ss
-      FROM nv v JOIN (SELECT dim, avg(x) AS m FROM nv GROUP BY dim) c ON c.dim = v.dim)"""))
+def _sweep(spark, vectors, **limits):
+    """Inertia and silhouette of every k."""
+    rows = [(k, round(inertia, R), None if score is None else round(score, R))
+            for k, inertia, score in kmeans.sweep(cl.normalize(vectors.select("id", "vector")), _SWEEP, **limits)]
+    return spark.createDataFrame(rows, "k int, inertia double, silhouette double")
+
+
+@query("kmeans_sweep", _recursive([
+    *_fit_sql(f"range({_SWEEP.start}, {_SWEEP.stop}, {_SWEEP.step})", _SWEEP[-1], _SWEEP_STEPS),
+    f"""t AS MATERIALIZED (
+  SELECT k, cluster, sum(n) AS n, list(total ORDER BY dim) AS t FROM (
+    SELECT k, cluster, dim, sum(v) AS total, CASE WHEN dim = 0 THEN count(*) ELSE 0 END AS n FROM (
+      SELECT k, cluster, unnest(x) AS v, unnest(range(len(x))) AS dim FROM a{_SWEEP_STEPS + 1}) GROUP BY k, cluster, dim)
+  GROUP BY k, cluster)""",
+    f"""sil AS (
+  SELECT k, id, max(n) FILTER (WHERE own) AS n, max((n - 1 - dot + self) / greatest(n - 1, 1)) FILTER (WHERE own) AS a,
+         min(1 - dot / n) FILTER (WHERE NOT own) AS b
+  FROM (SELECT a.k, a.id, a.cluster = t.cluster AS own, t.n, list_inner_product(a.x, t.t) AS dot, list_inner_product(a.x, a.x) AS self
+        FROM a{_SWEEP_STEPS + 1} a JOIN t ON t.k = a.k) GROUP BY k, id)"""], f"""
+SELECT CAST(a.k AS INTEGER) AS k, round(sum(a.d * a.d), {R}) AS inertia,
+       round(avg(CASE WHEN n > 1 AND greatest(sil.a, sil.b) <> 0 THEN (sil.b - sil.a) / greatest(sil.a, sil.b) ELSE 0 END), {R}) AS silhouette
+FROM a{_SWEEP_STEPS + 1} a JOIN sil ON sil.k = a.k AND sil.id = a.id GROUP BY a.k"""))
 def q_kmeans_sweep(spark, sf):
-    return _sweep(spark, fx.embeddings(spark, sf))
+    """H11 with a fixed number of steps, so that SQL can follow."""
+    return _sweep(spark, fx.embeddings(spark, sf), max_iter=_SWEEP_STEPS, tol=0)
 
 
 @query("kmeans_sweep_lsi")
