@@ -70,6 +70,7 @@ class SVDResult:
     n_terms: int
     v: np.ndarray  # k x n_terms right factors (sign-canonical), vocabulary-bounded
     rows: DataFrame | None = None  # the persisted rows that doc_vectors reads
+    residuals: np.ndarray | None = None  # |AᵀA v - sigma² v| of every component
 
     def unpersist(self) -> None:
         if self.rows is not None:
@@ -84,20 +85,19 @@ def _canonical_signs(v: np.ndarray) -> np.ndarray:
     return s
 
 
-def lsi(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, method: str = "randomized",
-        oversample: int = 50, power_iters: int = 10, seed: int = 42, partitions: int | None = None) -> SVDResult:
+def lsi(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, method: str = "krylov",
+        oversample: int = 20, max_passes: int = 30, seed: int = 42, partitions: int | None = None) -> SVDResult:
     """H1: truncated, uncentred SVD of the document-term matrix with k
     components (descending singular values); document vectors U*sigma.
 
-    ``randomized`` (default): subspace iteration (Halko, Martinsson & Tropp
-    2011), at most ``power_iters`` + 1 passes over the rows whatever k is.
-    ``arpack``: MLlib ``computeSVD`` (one pass per Lanczos step: exact to
-    tolerance but hundreds of passes)."""
+    ``krylov`` (default): block Krylov method with a residual stop; a pass
+    over the rows serves a whole block of vectors.  ``arpack``: MLlib
+    ``computeSVD`` (one pass per Lanczos step: hundreds of passes)."""
     if not 0 < k <= n_terms or (method == "arpack" and k == n_terms):
         raise ValueError(f"{k} components need more terms; the vocabulary has {n_terms}")
     if method == "arpack":
         return _lsi_arpack(spark, rows, n_terms, k, partitions)
-    return randomized_svd(spark, rows, n_terms, k, oversample, power_iters, seed, partitions)
+    return krylov_svd(spark, rows, n_terms, k, oversample, max_passes, seed, partitions)
 
 
 def _spread(rows: DataFrame, partitions: int | None) -> DataFrame:
@@ -210,42 +210,60 @@ def _projected(rows: DataFrame, v) -> DataFrame:
     return rows.mapInArrow(run, f"id {kind}, vector array<double>")
 
 
-def randomized_svd(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, oversample: int = 20,
-                   power_iters: int = 7, seed: int = 42, partitions: int | None = None,
-                   settled: float = 1e-12) -> SVDResult:
-    """Randomized truncated SVD over distributed sparse rows.  Broadcasts and
-    driver state are n_terms x (k + oversample), bounded by the vocabulary.
-
-    Each pass forms W = Aᵀ (A Z) for an orthonormal Z.  Rayleigh-Ritz on ZᵀW
-    gives the squared singular values and the right factors V in the span of
-    Z; the next Z is orth(W).  Passes end when no squared singular value of
-    the k moves by more than ``settled`` of the largest, or after
-    ``power_iters`` power steps.  U Σ = A V is computed row-locally."""
+def _orthonormal(x: np.ndarray, against: np.ndarray) -> np.ndarray:
+    """An orthonormal basis of what the columns of x add to the span of the
+    orthonormal ``against``; columns that add nothing are left out."""
+    size = np.linalg.norm(x, axis=0).max(initial=0.0)
+    for _ in range(2):  # once more for what rounding left
+        x = x - against @ (against.T @ x)
+        q, r = np.linalg.qr(x)
+        x = q[:, np.abs(np.diag(r)) > 1e-12 * max(size, EPS64)]
+        size = 1.0
+    return x
+
+
+def krylov_svd(spark: SparkSession, rows: DataFrame, n_terms: int, k: int, oversample: int = 20, max_passes: int = 30,
+               seed: int = 42, partitions: int | None = None, tol: float = 1e-7, most_blocks: int = 6) -> SVDResult:
+    """Truncated SVD of distributed sparse rows by a block Krylov method.
+
+    Each pass forms W = AᵀA Z for a block Z of k + ``oversample`` orthonormal columns.  All
+    blocks and their products stay as a basis Q, AᵀA Q on the driver, so Rayleigh-Ritz
+    over the whole basis costs no further pass; the next block is what W
+    adds to the basis.  A basis of ``most_blocks`` blocks is restarted with its
+    leading Ritz vectors (thick restart).  Passes end when every residual
+    |AᵀA v - s² v| is at most ``tol`` of the largest s², when the basis cannot
+    grow, or after ``max_passes``; the residuals are returned.  Driver state is
+    n_terms x (``most_blocks`` blocks), bounded by the vocabulary; U S = A V is row-local."""
     sc = spark.sparkContext
-    l = min(k + oversample, n_terms)
+    block = min(k + oversample, n_terms)
     rows = _spread(rows, partitions).persist(StorageLevel.MEMORY_AND_DISK)
-    z, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, l)))
-    last = None
-    for step in range(power_iters + 1):
+    z, _ = np.linalg.qr(np.random.default_rng(seed).standard_normal((n_terms, block)))
+    q, aq, g = np.zeros((n_terms, 0)), np.zeros((n_terms, 0)), np.zeros((0, 0))
+    for _ in range(max_passes):
         zb = sc.broadcast(z)
 
         def gram(batch, total, zb=zb):
             for _, _, terms, d in _dense_chunks(batch, n_terms):
                 total[terms] += d.T @ (d @ zb.value[terms])
 
-        w = _summed(rows, gram, n_terms, l)
+        w = _summed(rows, gram, n_terms, z.shape[1])
         zb.destroy()
-        g = z.T @ w
-        values, e = np.linalg.eigh((g + g.T) / 2)
-        values, e = values[::-1][:k], e[:, ::-1][:, :k]
-        v = z @ e
-        if l == n_terms or (last is not None and np.abs(values - last).max() <= settled * max(values[0], EPS64)):
+        side, corner = q.T @ w, z.T @ w
+        g = np.block([[g, side], [side.T, (corner + corner.T) / 2]])
+        q, aq = np.hstack([q, z]), np.hstack([aq, w])
+        z = _orthonormal(w, q)
+        values, e = np.linalg.eigh(g)
+        values, e = values[::-1], e[:, ::-1]
+        v = q @ e[:, :k]
+        residuals = np.linalg.norm(aq @ e[:, :k] - v * values[:k], axis=0)
+        if not z.shape[1] or residuals.max() <= tol * max(values[0], EPS64):
             break
-        last = values
-        z, _ = np.linalg.qr(w)
-    sigma = np.sqrt(np.maximum(values, 0.0))
+        if q.shape[1] + z.shape[1] > most_blocks * block:
+            keep = min(k + block // 2, q.shape[1])
+            q, aq, g = q @ e[:, :keep], aq @ e[:, :keep], np.diag(values[:keep])
+    sigma = np.sqrt(np.maximum(values[:k], 0.0))
     v = v * _canonical_signs(v)
-    return SVDResult(_projected(rows, sc.broadcast(v)), _loadings_df(spark, v.T), sigma, n_terms, v.T.copy(), rows)
+    return SVDResult(_projected(rows, sc.broadcast(v)), _loadings_df(spark, v.T), sigma, n_terms, v.T.copy(), rows, residuals)
 
 
 def _loadings_df(spark: SparkSession, comp: np.ndarray) -> DataFrame:

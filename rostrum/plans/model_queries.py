@@ -221,14 +221,15 @@ def q_lsi_concepts(spark, sf):
 
 @query("lsi_variance")
 def q_lsi_variance(spark, sf):
-    """H3: singular values of the first 150 concepts with their shares of the
-    150 and of the whole matrix."""
+    """H3: singular values of the first 150 concepts with their shares of the 150
+    and of the whole matrix, and how far each is from satisfying its equation."""
     _, rows, nt = _speech_rows(spark, sf)
     svd = tp.lsi(spark, rows, nt, 150)
     total = rows.select(_square("val").alias("s")).agg(F.sum("s")).first()[0]
-    out = [(rank, *(round(float(x), R) for x in rest)) for rank, *rest in tp.variance(svd.sigma, total)]
+    out = [(rank, *(round(float(x), R) for x in rest), round(float(e), R))
+           for (rank, *rest), e in zip(tp.variance(svd.sigma, total), svd.residuals)]
     svd.unpersist()
-    return spark.createDataFrame(out, "rank int, sigma double, ratio_within_k double, cumulative double, ratio_total double")
+    return spark.createDataFrame(out, "rank int, sigma double, ratio_within_k double, cumulative double, ratio_total double, residual double")
 
 
 @query("nmf_vectors")

@@ -11,7 +11,7 @@ def _rows(spark, a):
     return spark.createDataFrame(rows, "id long, idx array<int>, val array<double>")
 
 
-def test_randomized_svd_matches_numpy(spark):
+def test_krylov_svd_matches_numpy(spark):
     rng = np.random.default_rng(0)
     a = rng.random((50, 40)) * (rng.random((50, 40)) < 0.3)
     r = tp.lsi(spark, _rows(spark, a), 40, 10)
@@ -34,11 +34,29 @@ def test_arpack_and_full_rank(spark):
     assert np.allclose(got @ r.v, a, atol=1e-8)
 
 
+def test_restarts_and_residuals(spark):
+    """Few components of many terms: several passes, restarts of a short basis, and residuals as numpy has them."""
+    rng = np.random.default_rng(8)
+    a = rng.random((90, 70)) * (rng.random((90, 70)) < 0.4)
+    a[:, 5] = a[:, 6]  # a rank less
+    s = np.linalg.svd(a, compute_uv=False)
+    for blocks, passes in ((6, 30), (2, 60)):
+        r = tp.krylov_svd(spark, _rows(spark, a), 70, 6, oversample=2, max_passes=passes, most_blocks=blocks, tol=1e-10)
+        assert np.allclose(r.sigma, s[:6], atol=1e-8)
+        want = np.linalg.norm(a.T @ (a @ r.v.T) - r.v.T * r.sigma ** 2, axis=0)
+        assert r.residuals.max() <= 1e-9 * s[0] ** 2 and np.allclose(want, r.residuals, atol=1e-8)
+        assert np.allclose(r.v @ r.v.T, np.eye(6), atol=1e-9)
+    short = tp.krylov_svd(spark, _rows(spark, a), 70, 6, oversample=2, max_passes=2)
+    assert short.residuals.max() > 1e-9 * s[0] ** 2  # ended early, and says so
+    full = tp.krylov_svd(spark, _rows(spark, a), 70, 68, oversample=0)
+    assert np.allclose(full.sigma, s[:68], atol=1e-7)
+
+
 def test_svd_of_many_chunks(spark, monkeypatch):
     rng = np.random.default_rng(6)
     a = rng.random((60, 120)) * (rng.random((60, 120)) < 0.2)
     monkeypatch.setattr(tp, "CELLS", 50)
-    r = tp.lsi(spark, _rows(spark, a), 120, 4, oversample=40, power_iters=30)
+    r = tp.lsi(spark, _rows(spark, a), 120, 4, oversample=40)
     assert np.allclose(r.sigma, np.linalg.svd(a, compute_uv=False)[:4], atol=1e-8)
 
 
