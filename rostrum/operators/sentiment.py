@@ -1,7 +1,8 @@
 """Lexicon sentiment per speech, party and year (inventory F1-F3, with B4,
 B9, B10).
 
-Speech tokens are exploded and joined with the stemmed lexicon (no hint); the per-speech mean is an aggregate whose
+Words are counted in each speech's row, stemmed and joined with the stemmed
+lexicon (no hint); the per-speech mean is an aggregate whose
 partial step collapses each speech inside its own task, so one row per
 speech is shuffled.  Word counts per party are (party, word) aggregates,
 never per-party collections, so a party holding a third of the corpus costs
@@ -41,26 +42,27 @@ GREEK_SELECTED_PARTIES = [
 ]
 
 
-def party_speech_tokens(speeches: DataFrame, party_map, parties: Iterable[str], stopwords: Iterable[str] = (),
-                        stems: tfidf.Stems = None) -> DataFrame:
+def party_speech_terms(speeches: DataFrame, party_map, parties: Iterable[str], stopwords: Iterable[str] = (),
+                       stems: tfidf.Stems = None) -> DataFrame:
     """Speeches of the selected parties with a valid year, as (id,
-    standard_party, year, tokens).  Null text counts as empty (B2)."""
-    tok = tfidf.tokenize(speeches, "id", "merged_speech", stopwords, stems, drop_null=False,
-                         carry=["political_party", "sitting_date"])
-    std = co.standardize_party(tok, party_map)
-    sel = co.selected_parties(std, parties)
-    y = sel.withColumn("year", tx.lenient_year("sitting_date")).filter(F.col("year").isNotNull())
-    return y.select("id", "standard_party", "year", "tokens")
+    standard_party, year, term, tf) rows; a speech without a term has one of
+    null term.  Null text counts as empty (B2).  Speeches are selected before
+    their text is read."""
+    std = co.selected_parties(co.standardize_party(speeches, party_map), parties)
+    dated = std.withColumn("year", tx.lenient_year("sitting_date")).filter(F.col("year").isNotNull())
+    return tfidf.stem_counts(dated, "id", "merged_speech", stopwords, stems, drop_null=False,
+                             carry=["standard_party", "year"], min_len=1, keep_empty=True)
 
 
-def speech_polarity(tokens: DataFrame, lexicon: DataFrame, keys: Iterable[str] = ("standard_party", "year")) -> DataFrame:
+def speech_polarity(terms: DataFrame, lexicon: DataFrame, keys: Iterable[str] = ("standard_party", "year")) -> DataFrame:
     """mean lexicon polarity of each speech's tokens (repeats count),
     0 when none of its tokens is in the lexicon."""
     keys = list(keys)
-    lex = lexicon.select(F.col("stem").alias("token"), "polarity")
-    ex = tokens.select("id", *keys, F.explode_outer("tokens").alias("token"))
-    j = ex.join(lex, "token", "left")
-    return j.groupBy("id", *keys).agg(F.coalesce(F.avg("polarity"), F.lit(0.0)).alias("polarity"))
+    lex = lexicon.select(F.col("stem").alias("term"), "polarity")
+    j = terms.join(lex, "term", "left")
+    hits = F.sum(F.when(F.col("polarity").isNotNull(), F.col("tf")))
+    mean = F.sum(F.col("polarity") * F.col("tf")) / hits
+    return j.groupBy("id", *keys).agg(F.coalesce(mean, F.lit(0.0)).alias("polarity"))
 
 
 def polarity_trend(polarity: DataFrame) -> DataFrame:
@@ -73,18 +75,18 @@ def polarity_pivot(trend: DataFrame, parties: list[str]) -> DataFrame:
     return trend.groupBy("year").pivot("standard_party", parties).agg(F.first("polarity"))
 
 
-def top_polar_words(tokens: DataFrame, lexicon: DataFrame, stopwords: Iterable[str] = (), top_n: int = 10) -> DataFrame:
+def top_polar_words(terms: DataFrame, lexicon: DataFrame, stopwords: Iterable[str] = (), top_n: int = 10) -> DataFrame:
     """F3 (+B13): per party the ``top_n`` most frequent positive and negative
     lexicon words (stopwords skipped, zero polarity ignored); ties by word.
     (party, word, frequency, polarity)."""
     lex = lexicon.filter(F.col("polarity") != 0).select(F.col("stem").alias("word"), "polarity")
-    ex = tokens.select(F.col("standard_party").alias("party"), F.explode("tokens").alias("word"))
+    ex = terms.select(F.col("standard_party").alias("party"), F.col("term").alias("word"), "tf")
     stop = sorted(set(stopwords))
     if stop:
         ex = ex.filter(~F.col("word").isin(stop))
     j = ex.join(lex, "word")
     sign = F.when(F.col("polarity") > 0, F.lit("positive")).otherwise(F.lit("negative"))
-    counts = j.groupBy("party", sign.alias("polarity"), "word").agg(F.count("*").alias("frequency"))
+    counts = j.groupBy("party", sign.alias("polarity"), "word").agg(F.sum("tf").alias("frequency"))
     w = Window.partitionBy("party", "polarity").orderBy(F.desc("frequency"), F.asc("word"))
     ranked = counts.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= top_n)
     return ranked.select("party", "word", "frequency", "polarity", F.col("rank").cast("int"))

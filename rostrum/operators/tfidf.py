@@ -67,6 +67,39 @@ def tokenize(
     return src.select("id", *carry, norm)
 
 
+def stem_counts(
+    docs: DataFrame,
+    id_col: str = "id",
+    text_col: str = "merged_speech",
+    stopwords: Iterable[str] = (),
+    stems: Stems = None,
+    drop_null: bool = True,
+    suffix_rule: str | None = None,
+    carry: Iterable[str] = (),
+    min_len: int = 2,
+    keep_empty: bool = False,
+) -> DataFrame:
+    """C5 + D3 where order does not matter: (id, *carry, term, tf), counted
+    inside each document's row before it is stemmed, so that only distinct words
+    meet the dictionary and no text or token moves.  With a (token, stem) table a
+    document has a row for each of its words: words of one stem are not yet
+    added up.  ``keep_empty`` keeps a document without a term as a row of null term."""
+    carry = list(carry)
+    table = isinstance(stems, DataFrame)
+    src = docs.select(F.col(id_col).alias("id"), *carry, F.col(text_col).alias("text"))
+    src = src.dropna(subset=["text"]) if drop_null else src.withColumn("text", F.coalesce("text", F.lit("")))
+    words = F.transform(tx.kept_tokens("text", stopwords), F.lower) if table else tx.normalize("text", stopwords, stems, suffix_rule=suffix_rule)
+    counted = tx.with_term_counts(src.select("id", *carry, words.alias("tokens")), min_len=1 if table else min_len)
+    rows = counted.select("id", *carry, F.inline_outer("terms"))
+    if table:
+        st = stems.groupBy(F.col("token").alias("_low")).agg(F.min("stem").alias("_stem"))
+        other = F.regexp_replace("term", F.lit(suffix_rule), F.lit("")) if suffix_rule else F.col("term")
+        stem = F.coalesce("_stem", other)
+        long = F.length(stem) >= max(min_len, 1)
+        rows = rows.join(st, F.col("term") == F.col("_low"), "left").select("id", *carry, F.when(long, stem).alias("term"), "tf")
+    return rows if keep_empty else rows.filter(F.col("term").isNotNull())
+
+
 def postings(tokens: DataFrame, min_len: int = 2, carry: Iterable[str] = ()) -> DataFrame:
     """D3: (id, *carry, term, tf) — term counts per document, computed
     row-locally."""
@@ -118,9 +151,9 @@ def weights(post: DataFrame, vocab: DataFrame, key: str = "id", max_features: in
 
 @dataclass
 class TfidfModel:
-    """A fitted corpus: tokens, postings, vocabulary and weights."""
+    """A fitted corpus: documents (or groups), postings, vocabulary and weights."""
 
-    tokens: DataFrame
+    docs: DataFrame
     postings: DataFrame
     vocab: DataFrame
     weights: DataFrame
@@ -128,7 +161,7 @@ class TfidfModel:
     max_features: int | None
 
     def unpersist(self) -> None:
-        self.tokens.unpersist()
+        self.postings.unpersist()
         self.vocab.unpersist()
 
 
@@ -141,20 +174,24 @@ def fit(
     max_features: int | None = 10_000,
     persist: bool = True,
 ) -> TfidfModel:
-    """C5 + D3-D7 over a document table.  The token table and the
-    vocabulary are persisted (memory and disk) because the corpus size, the
-    postings and every later step read them; they are recomputed from their
-    lineage if an executor is lost."""
-    tok = tokenize(docs, id_col, text_col, stopwords, stems)
+    """C5 + D3-D7 over a document table (ids must be unique).  Words are
+    counted in their rows; the counts of a document's words move once, to
+    their document, where words of one stem are added up: the
+    partitioning that the weights' norm needs anyway.  The postings and the
+    vocabulary are persisted (memory and disk) because every later step reads
+    them; they are recomputed from their lineage if an executor is lost."""
+    ids = docs.dropna(subset=[text_col]).select(F.col(id_col).alias("id"))
+    n = ids.select(F.count("*")).scalar()
+    post = stem_counts(docs, id_col, text_col, stopwords, stems)
+    if isinstance(stems, DataFrame):
+        post = post.repartition("id").groupBy("id", "term").agg(F.sum("tf").alias("tf"))
     if persist:
-        tok = tok.persist(StorageLevel.MEMORY_AND_DISK)
-    n = tok.select(F.count("*")).scalar()
-    post = postings(tok)
+        post = post.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = vocabulary(doc_freq(post), n, max_features)
     if persist:
         vocab = vocab.persist(StorageLevel.MEMORY_AND_DISK)
     w = weights(post, vocab, "id", max_features)
-    return TfidfModel(tok, post, vocab, w, n, max_features)
+    return TfidfModel(ids, post, vocab, w, n, max_features)
 
 
 def transform(tokens: DataFrame, vocab: DataFrame, key: str = "id", max_features: int | None = 10_000) -> DataFrame:
@@ -163,15 +200,14 @@ def transform(tokens: DataFrame, vocab: DataFrame, key: str = "id", max_features
     return weights(postings(tokens), vocab, key, max_features)
 
 
-def group_postings(tokens: DataFrame, group_col: str = "member_name") -> DataFrame:
+def group_postings(counts: DataFrame, group_col: str = "member_name") -> DataFrame:
     """D2 re-aimed: term counts of all documents of a group (e.g. a member),
     summed instead of concatenating the texts (the concatenation order is
     unspecified in the reference, the counts are not).  Partial aggregation
     runs before the shuffle, so a group holding a third of the corpus still
     ships at most one row per (task, term); the final aggregate is spread over
     reducers by (group, term)."""
-    post = postings(tokens.dropna(subset=[group_col]), carry=[group_col])
-    return post.groupBy(group_col, "term").agg(F.sum("tf").alias("tf"))
+    return counts.dropna(subset=[group_col]).groupBy(group_col, "term").agg(F.sum("tf").alias("tf"))
 
 
 def fit_groups(
@@ -184,10 +220,10 @@ def fit_groups(
 ) -> TfidfModel:
     """TF-IDF with one document per group (member TF-IDF): n counts the
     groups that have any text."""
-    tok = tokenize(docs, "id", text_col, stopwords, stems, carry=[group_col]).dropna(subset=[group_col])
-    tok = tok.persist(StorageLevel.MEMORY_AND_DISK)
-    n = tok.select(F.count_distinct(group_col)).scalar()
-    gp = group_postings(tok, group_col)
+    groups = docs.dropna(subset=[text_col, group_col]).select(group_col).distinct()
+    n = groups.select(F.count("*")).scalar()
+    gp = group_postings(stem_counts(docs, "id", text_col, stopwords, stems, carry=[group_col]), group_col)
+    gp = gp.persist(StorageLevel.MEMORY_AND_DISK)
     vocab = vocabulary(doc_freq(gp, group_col), n, max_features).persist(StorageLevel.MEMORY_AND_DISK)
     w = weights(gp, vocab, group_col, max_features)
-    return TfidfModel(tok, gp, vocab, w, n, max_features)
+    return TfidfModel(groups, gp, vocab, w, n, max_features)

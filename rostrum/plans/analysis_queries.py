@@ -163,7 +163,7 @@ _SENT_CTES = [
 
 def _sent_tokens(spark, sf):
     lex = lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf))
-    toks = st.party_speech_tokens(fx.dated_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
+    toks = st.party_speech_terms(fx.dated_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
                                   fx.FIX_STOPWORDS, corpora.stems(spark, sf))
     return toks, lex
 

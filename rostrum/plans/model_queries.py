@@ -173,7 +173,7 @@ _SWEEP = range(10, 250, 10)
 
 def _speech_rows(spark, sf):
     m = corpora.speech_model(spark, sf)
-    rows = tp.doc_rows(m.weights, m.vocab, all_ids=m.tokens)
+    rows = tp.doc_rows(m.weights, m.vocab, all_ids=m.docs)
     return m, rows, m.vocab.count()
 
 

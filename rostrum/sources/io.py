@@ -78,7 +78,7 @@ def save_index(model, path: str, partitions: int | None = None) -> None:
     spark = model.weights.sparkSession
     save(impact.block_table(load(spark, f"{path}/weights")), f"{path}/blocks")
     save(model.vocab, f"{path}/vocabulary")
-    size = model.tokens.agg(F.count("*").alias("n_docs"))
+    size = model.docs.agg(F.count("*").alias("n_docs"))
     save(size.withColumn("max_features", F.lit(model.max_features).cast("int")), f"{path}/corpus")
 
 

@@ -23,8 +23,8 @@ def test_half_average_in_entry_order(spark):
 
 
 def test_speech_polarity_zero_without_hits(spark):
-    toks = spark.createDataFrame([(1, "P", 2000, ["good", "x", "good"]), (2, "P", 2000, []), (3, "P", 2000, ["bad"])],
-                                 "id long, standard_party string, year int, tokens array<string>")
+    toks = spark.createDataFrame([(1, "P", 2000, "good", 2), (1, "P", 2000, "x", 1), (2, "P", 2000, None, None), (3, "P", 2000, "bad", 1)],
+                                 "id long, standard_party string, year int, term string, tf long")
     lex = spark.createDataFrame([("good", 1.0), ("bad", -0.5)], "stem string, polarity double")
     got = {r["id"]: r["polarity"] for r in st.speech_polarity(toks, lex).collect()}
     assert got == {1: 1.0, 2: 0.0, 3: -0.5}

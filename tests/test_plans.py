@@ -25,3 +25,16 @@ def test_vocabulary_is_a_bounded_topk_broadcast(spark):
     assert "TakeOrderedAndProject" in plan and "limit=5" in plan
     assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+
+
+def test_only_counted_words_move(spark):
+    """A stem dictionary of any size: words are counted in their rows, and the counts move once, to their document."""
+    stems = spark.createDataFrame([("alpha", "beta"), ("delta", "beta"), ("delta", "zz")], "token string, stem string")
+    m = tfidf.fit(_docs(spark), stems=stems, persist=False)
+    got = {(r["id"], r["term"]): r["tf"] for r in m.postings.collect()}
+    assert got[(5, "beta")] == 3 and (5, "alpha") not in got and got[(5, "gamma")] == 1
+    plan = _plan(m.postings)
+    assert "posexplode" not in plan and "collect_list" not in plan
+    empty = tfidf.stem_counts(spark.createDataFrame([(1, None), (2, "the"), (3, "Beta beta")], "id long, merged_speech string"),
+                              stopwords=["the"], stems=stems, drop_null=False, keep_empty=True).collect()
+    assert sorted((r["id"], r["term"] or "", r["tf"] or 0) for r in empty) == [(1, "", 0), (2, "", 0), (3, "beta", 2)]
