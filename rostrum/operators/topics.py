@@ -9,9 +9,9 @@ A pass over the rows is one ``mapInArrow``: each task adds up its share of a
 vocabulary-wide matrix, the shares travel in slices of ``SLICE`` terms and are
 added up by slice in an exchange, so the driver receives one matrix however
 many tasks there are.  NMF has no MLlib counterpart; each iteration is one
-pass: the document factor W of a partition lives beside its sparse rows, the
+pass: the document factor W is a column beside the sparse rows, the
 topic matrix H (k x vocabulary) is broadcast, and the sums for H's update are
-combined by a tree aggregation.  Lineage is cut with reliable checkpoints (the folder named by
+added up the same way.  Lineage is cut with reliable checkpoints (the folder named by
 ``spark.checkpoint.dir``) every ``checkpoint_every`` iterations.
 """
 
@@ -143,16 +143,16 @@ def _lists(x: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.ascontiguousarray(x).ravel()))
 
 
-def _dense_chunks(batch: pa.RecordBatch, n_terms: int):
+def _dense_chunks(batch: pa.RecordBatch, n_terms: int, most: int = CELLS):
     """The batch's rows as (first, last, terms, dense) chunks: ``dense`` has a
-    column for each term that occurs in the chunk and at most ``CELLS`` cells
+    column for each term that occurs in the chunk and at most ``most`` cells
     (or one row), so products run in BLAS and do not grow with the vocabulary."""
     ends = np.concatenate([[0], np.cumsum(_column(batch, "idx").value_lengths().to_numpy(zero_copy_only=False))]).astype(np.int64)
     cols, data = _values(batch, "idx"), _values(batch, "val")
     r0, n = 0, batch.num_rows
     while r0 < n:
         cells = np.arange(1, n - r0 + 1) * np.minimum(ends[r0 + 1:] - ends[r0], n_terms)
-        r1 = r0 + max(1, int(np.searchsorted(cells, CELLS, side="right")))
+        r1 = r0 + max(1, int(np.searchsorted(cells, most, side="right")))
         s, e = ends[r0], ends[r1]
         terms, at = np.unique(cols[s:e], return_inverse=True)
         dense = np.zeros((r1 - r0, len(terms)))
@@ -384,7 +384,7 @@ def _floor(x: np.ndarray) -> np.ndarray:
     return np.where(x == 0, EPS32, x)
 
 
-def _w_updated(state: DataFrame, h) -> DataFrame:
+def _w_updated(state: DataFrame, h, cells: int = CELLS) -> DataFrame:
     """The rows (id, idx, val, w) with W after one multiplicative KL update
     under the broadcast H (row-local)."""
 
@@ -394,7 +394,7 @@ def _w_updated(state: DataFrame, h) -> DataFrame:
         for b in batches:
             w = _factor(b)
             new = np.zeros_like(w)  # a row without terms has no numerator
-            for r0, r1, terms, d in _dense_chunks(b, hh.shape[1]):
+            for r0, r1, terms, d in _dense_chunks(b, hh.shape[1], cells):
                 ht = hh[:, terms]
                 new[r0:r1] = w[r0:r1] * (_ratio(d, w[r0:r1], ht) @ ht.T) / den
             yield pa.RecordBatch.from_arrays([*(_column(b, c) for c in ("id", "idx", "val")), _lists(new)],
@@ -405,71 +405,35 @@ def _w_updated(state: DataFrame, h) -> DataFrame:
         run, f"id {kind}, idx array<int>, val array<double>, w array<double>")
 
 
-def _block_chunks(block, n_terms, max_cells=4_000_000):
-    """The block's rows as dense (rows x n_terms) chunks of at most
-    ``max_cells`` cells (the width is the vocabulary, so temporaries stay
-    bounded) — sparse-dense products then run as BLAS matrix products."""
-    ids, indptr, cols, data = block[:4]
-    step = max(1, max_cells // max(n_terms, 1))
-    for r0 in range(0, len(ids), step):
-        r1 = min(r0 + step, len(ids))
-        s, e = indptr[r0], indptr[r1]
-        d = np.zeros((r1 - r0, n_terms))
-        d[np.repeat(np.arange(r1 - r0), np.diff(indptr[r0:r1 + 1])), cols[s:e]] = data[s:e]
-        yield r0, r1, d
-
-
-def _block_iter(it):
-    ids, idx, val, w = [], [], [], []
-    for r in it:
-        ids.append(r[0])
-        idx.append(np.asarray(r[1], dtype=np.int64))
-        val.append(np.asarray(r[2], dtype=np.float64))
-        w.append(np.asarray(r[3], dtype=np.float64))
-    if not ids:
-        return
-    indptr = np.concatenate([[0], np.cumsum([len(x) for x in idx])])
-    yield (np.asarray(ids), indptr, np.concatenate(idx) if idx else np.zeros(0, np.int64),
-           np.concatenate(val) if val else np.zeros(0), np.vstack(w))
-
-
-def _wh(w, h, rows_nz, cols, chunk=200_000):
-    out = np.empty(len(cols))
-    for s in range(0, len(cols), chunk):
-        e = s + chunk
-        out[s:e] = np.einsum("ij,ji->i", w[rows_nz[s:e]], h[:, cols[s:e]])
-    return out
+def _h_numerator(state: DataFrame, h, cells: int = CELLS) -> tuple[np.ndarray, np.ndarray]:
+    """The (n_terms x k) numerator of H's update under the broadcast H, and
+    the column sums of W, added up over the rows (id, idx, val, w)."""
+    k, n_terms = h.value.shape
+
+    def share(b: pa.RecordBatch, total: np.ndarray) -> None:
+        w = _factor(b)
+        for r0, r1, terms, d in _dense_chunks(b, n_terms, cells):
+            total[terms] += _ratio(d, w[r0:r1], h.value[:, terms]).T @ w[r0:r1]
+        total[n_terms] += w.sum(axis=0)
+
+    found = _summed(state.select("idx", "val", "w"), share, n_terms + 1, k)
+    return found[:n_terms], found[n_terms]
 
 
-def _update_block(block, h, hsum):
-    """One KL multiplicative update of a partition's W rows (with the current
-    H) and that partition's share of H's numerator (with the new W).  Rows are
-    taken as dense vocabulary-wide chunks so the products run in BLAS; only
-    the non-zeros of X enter the ratios X / (W H)."""
-    ids, indptr, cols, data, w = block
-    k, n_terms = h.shape
-    w_new = np.empty_like(w)
-    hnum = np.zeros((n_terms, k))
-    den = hsum.copy()
-    den[den == 0] = EPS32
-    for r0, r1, d in _block_chunks(block, n_terms):
-        nz = d != 0
-        wc = w[r0:r1]
-        r = np.where(nz, d / np.maximum(wc @ h, EPS32), 0.0)
-        wn = wc * (r @ h.T) / den
-        w_new[r0:r1] = wn
-        r2 = np.where(nz, d / np.maximum(wn @ h, EPS32), 0.0)
-        hnum += r2.T @ wn
-    return (ids, indptr, cols, data, w_new), hnum, w_new.sum(axis=0)
-
-
-def _kl_parts(block, h):
-    ids, indptr, cols, data, w = block
-    rows_nz = np.repeat(np.arange(len(ids)), np.diff(indptr))
-    wh = _wh(w, h, rows_nz, cols)
-    wh[wh < EPS32] = EPS32
-    pos = data > 0
-    return np.array([float(np.dot(data[pos], np.log(data[pos] / wh[pos]))), float(data.sum())]), w.sum(axis=0)
+def _divergence(state: DataFrame, h, cells: int = CELLS) -> float:
+    """sqrt(2 KL(X, W H)) over the rows (id, idx, val, w)."""
+    k, n_terms = h.value.shape
+
+    def share(b: pa.RecordBatch, total: np.ndarray) -> None:
+        w = _factor(b)
+        total[0, :k] += w.sum(axis=0)
+        for r0, r1, terms, d in _dense_chunks(b, n_terms, cells):
+            some = d > 0
+            x, wh = d[some], np.maximum(w[r0:r1] @ h.value[:, terms], EPS32)[some]
+            total[0, k] += x @ np.log(x / wh) - x.sum()
+
+    found = _summed(state.select("idx", "val", "w"), share, 1, k + 1)[0]
+    return float(np.sqrt(2 * max(found[k] + found[:k] @ h.value.sum(axis=1), 0.0)))
 
 
 @dataclass
@@ -478,69 +442,55 @@ class NMFResult:
     topics: DataFrame  # (topic, term_id, loading)
     n_iter: int
     errors: list
+    rows: DataFrame | None = None  # the persisted state that doc_vectors reads
+
+    def unpersist(self) -> None:
+        if self.rows is not None:
+            self.rows.unpersist()
 
 
 def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_iter: int = 100, tol: float = 1e-4,
         init: SVDResult | None = None, start: tuple[DataFrame, np.ndarray] | None = None,
-        checkpoint_every: int = 10, partitions: int | None = None) -> NMFResult:
+        checkpoint_every: int = 10, partitions: int | None = None, block_cells: int = CELLS) -> NMFResult:
     """H4: NMF with Kullback-Leibler loss and multiplicative updates (W then
     H each iteration), NNDSVDa start from an SVD, stop when the divergence
     drop over 10 iterations relative to the start is below ``tol``.  ``start``
-    gives the factors to begin with instead: W rows (id, w) and H."""
+    gives the factors to begin with instead: W rows (id, w) and H.
+
+    The state is a DataFrame (id, idx, val, w).  An iteration is one job: it
+    updates the rows' W and adds up H's numerator by slices of the vocabulary;
+    a task holds an Arrow batch of rows, of which ``block_cells`` cells (rows
+    x terms that occur in them) are dense at a time, and one numerator.  Two
+    iterations' states are persisted at most; every ``checkpoint_every``
+    iterations the state is written to the checkpoint folder."""
     ensure_checkpoint_dir(spark)
     sc = spark.sparkContext
     if not 0 < k < n_terms:
         raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
     w0, h = start or _nndsvda(spark, rows, n_terms, k, init or lsi(spark, rows, n_terms, k))
     joined = rows.join(w0, "id").select("id", "idx", "val", "w")
-    state = _spread(joined, partitions).rdd.mapPartitions(_block_iter).persist(StorageLevel.MEMORY_AND_DISK)
-
-    def divergence(st, hh):
-        hb = sc.broadcast(hh)
-        z = (np.zeros(2), np.zeros(k))
-        s, wsum = st.map(lambda b: _kl_parts(b, hb.value)).treeAggregate(
-            z, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
-        hb.unpersist()
-        res = s[0] + float(np.dot(wsum, hh.sum(axis=1))) - s[1]
-        return float(np.sqrt(2 * max(res, 0.0)))
-
-    err0 = divergence(state, h)
-    prev = err0
-    errors = [err0]
+    state = _spread(joined, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    shared = sc.broadcast(h)
+    first = last = _divergence(state, shared, block_cells)
+    errors = [first]
     it = 0
-    prev_upd = state
     for it in range(1, max_iter + 1):
-        hb = sc.broadcast(h)
-        hs = sc.broadcast(h.sum(axis=1))
-        upd = state.map(lambda b, hb=hb, hs=hs: _update_block(b, hb.value, hs.value)).persist(
-            StorageLevel.MEMORY_AND_DISK)
-        zero = (np.zeros((n_terms, k)), np.zeros(k))
-        hnum, wsum = upd.map(lambda t: (t[1], t[2])).treeAggregate(
-            zero, lambda a, b: (a[0] + b[0], a[1] + b[1]), lambda a, b: (a[0] + b[0], a[1] + b[1]))
-        hb.unpersist()  # executors' copies only; re-fetched if a lost task needs them
-        hs.unpersist()
-        den = wsum.copy()
-        den[den == 0] = EPS32
-        h = h * hnum.T / den[:, None]
-        h[h < EPS64] = 0.0
-        # the new W blocks are a cheap map over the persisted update; every
-        # ``checkpoint_every`` iterations they are written out to cut lineage
-        state = upd.map(lambda t: t[0])
+        before, state = state, _w_updated(state, shared, block_cells).persist(StorageLevel.MEMORY_AND_DISK)
+        numerator, mass = _h_numerator(state, shared, block_cells)
         if it % checkpoint_every == 0:
-            state = state.persist(StorageLevel.MEMORY_AND_DISK)
-            state.checkpoint()
-            state.count()
-        prev_upd.unpersist()
-        prev_upd = upd
+            updated, state = state, state.checkpoint()
+            updated.unpersist()
+        before.unpersist()
+        h = h * numerator.T / _floor(mass)[:, None]
+        h[h < EPS64] = 0.0
+        shared.unpersist()  # executors' copies only; fetched again where a lost task needs them
+        shared = sc.broadcast(h)
         if tol > 0 and it % 10 == 0:
-            err = divergence(state, h)
-            errors.append(err)
-            if (prev - err) / err0 < tol:
+            errors.append(_divergence(state, shared, block_cells))
+            if (last - errors[-1]) / first < tol:
                 break
-            prev = err
-    docs = state.flatMap(lambda b: [(int(i), [float(x) for x in row]) for i, row in zip(b[0], b[4])])
-    doc_df = spark.createDataFrame(docs, "id long, vector array<double>")
-    return NMFResult(doc_df, _loadings_df(spark, h), it, errors)
+            last = errors[-1]
+    return NMFResult(state.select("id", F.col("w").alias("vector")), _loadings_df(spark, h), it, errors, state)
 
 
 def nmf_w_step(spark: SparkSession, rows_w: DataFrame, h: np.ndarray) -> DataFrame:
