@@ -53,6 +53,50 @@ def with_position(df: DataFrame, *order) -> DataFrame:
     return out.select(*df.columns, (F.col("_before") + inside + 1).alias("pos"))
 
 
+def member_documents(speeches: DataFrame, order: Iterable[str] = ("sitting_date", "id"), member_col: str = "member_name",
+                     text_col: str = "merged_speech", sep: str = " ", piece: int = 2_000_000,
+                     threshold: int = 4_000_000) -> DataFrame:
+    """D2 + B8: (member, piece_no, text): every member's speeches as one text,
+    joined by ``sep`` in the order of the columns ``order`` (nulls first; rows
+    that tie in all of them in any order), cut into ``piece``-sized parts where it
+    is longer than ``threshold`` characters.  Null texts and null members
+    are left out; an empty text still takes a separator.
+
+    No group holds a member's text: rows are range-partitioned by (member,
+    order) and that layout is written once; a row's place in its member's text
+    is the sum of the lengths before it in its partition plus those of the
+    partitions before (a table with a row for each partition and member in
+    it).  A speech is cut where pieces begin, and a group is one piece: at most
+    ``threshold`` characters."""
+    order = list(order)
+    src = speeches.dropna(subset=[member_col, text_col]).select(
+        F.col(member_col).alias("_member"), F.struct(*order).alias("_order"), F.col(text_col).alias("_text"))
+    src = src.withColumn("_len", F.length("_text") + len(sep))  # a text with the separator before it
+    laid = src.repartitionByRange("_member", "_order").withColumn("_part", F.spark_partition_id()).checkpoint()
+    sizes = laid.groupBy("_part", "_member").agg(F.sum("_len").alias("_size"))
+    whole = Window.partitionBy("_member")
+    before = F.sum("_size").over(whole.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    sizes = sizes.select(F.col("_part").alias("_p"), F.col("_member").alias("_m"), F.coalesce(before, F.lit(0)).alias("_before"),
+                         (F.sum("_size").over(whole) - len(sep)).alias("_total"))
+    inside = Window.partitionBy("_part", "_member").orderBy("_order", F.length("_text")).rowsBetween(Window.unboundedPreceding, -1)
+    rows = laid.withColumn("_inside", F.coalesce(F.sum("_len").over(inside), F.lit(0)))
+    rows = rows.join(sizes, (F.col("_part") == F.col("_p")) & (F.col("_member") == F.col("_m")))
+    at = F.col("_before") + F.col("_inside")  # of the separator, if the member's text had one at its start too
+    size = F.when(F.col("_total") > threshold, piece).otherwise(threshold)
+    rows = rows.select(
+        F.col("_member").alias("member"), size.cast("long").alias("_piece"), F.greatest(at - len(sep), F.lit(0)).alias("_start"),
+        F.when(at > 0, F.concat(F.lit(sep), "_text")).otherwise(F.col("_text")).alias("_text"))
+    first, last = F.expr("_start div _piece"), F.expr("greatest(_start, _start + length(_text) - 1) div _piece")
+    cut = rows.select("*", F.explode(F.sequence(first, last)).alias("piece_no"))
+    begin = F.greatest(F.col("piece_no") * F.col("_piece"), F.col("_start"))
+    end = F.least((F.col("piece_no") + 1) * F.col("_piece"), F.col("_start") + F.length("_text"))
+    part = F.substring(F.col("_text"), (begin - F.col("_start") + 1).cast("int"), (end - begin).cast("int"))
+    cut = cut.select("member", F.col("piece_no").cast("int").alias("piece_no"), begin.alias("_begin"), part.alias("_part"))
+    pieces = cut.groupBy("member", "piece_no").agg(
+        F.sort_array(F.collect_list(F.when(F.length("_part") > 0, F.struct("_begin", "_part")))).alias("_parts"))
+    return pieces.select("member", "piece_no", F.array_join(F.col("_parts._part"), "").alias("text"))
+
+
 def scan_by_date(speeches: DataFrame) -> DataFrame:
     """A2: (id, sitting_date, text, pos) with the row's number in sitting-date
     order (id breaks ties)."""

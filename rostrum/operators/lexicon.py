@@ -14,7 +14,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rostrum.functions import text as tx
@@ -25,6 +25,9 @@ POLARITY_COLS = ["polarity1", "polarity2", "polarity3", "polarity4"]
 # Annotator labels and their scores; anything else scores 0.
 POLARITY_SCORES = {"POS": 1, "NEG": -1, "BOTH": 0, "N/A": 0}
 
+#: Rows of the lexicon whose forms of one stem are folded together.
+SEGMENT = 4096
+
 
 def read_lexicon(spark, path: str, sep: str = "\t") -> DataFrame:
     """A5: a tab-separated lexicon with a header: column ``Term`` and the four
@@ -112,18 +115,27 @@ def stem_forms(forms: DataFrame, stopwords: Iterable[str] = (), stems: Stems = N
     return forms.withColumn("stem", F.array_join(toks, " "))
 
 
-def merge_stems(stemmed: DataFrame) -> DataFrame:
+def merge_stems(stemmed: DataFrame, segment: int = SEGMENT) -> DataFrame:
     """one polarity per stem; forms colliding on a stem are merged by the
-    running half-average ``(old + new) / 2`` in entry order.  A group holds
-    the forms of one stem only."""
+    running half-average ``(old + new) / 2`` in entry order.
+
+    Half-averages over a run of n entries take any old value to
+    ``old / 2**n + s`` with ``s`` the sum of entry i times ``2**-(n - i)``, so runs
+    merge: a stem's entries are cut by ``fpos`` into segments of ``segment`` rows of the
+    lexicon, each gives its (n, s, first), and a segment's s counts ``2**-(entries
+    after it)``.  (Folding the first entry into itself leaves it as it is.)
+    No group holds all forms of a stem.  Entries far enough back to underflow
+    count as zero, as they do when folded one by one."""
     ok = stemmed.filter(F.length("stem") > 0)
-    g = ok.groupBy("stem").agg(F.sort_array(F.collect_list(F.struct("grp", "fpos", "idx", "polarity"))).alias("xs"))
-    fold = F.aggregate(
-        F.slice("xs", 2, F.greatest(F.size("xs") - 1, F.lit(0))),
-        F.get("xs", 0)["polarity"],
-        lambda acc, x: (acc + x["polarity"]) / F.lit(2.0),
-    )
-    return g.select("stem", fold.alias("polarity"))
+    runs = ok.groupBy("stem", "grp", F.floor(F.col("fpos") / segment).alias("seg")).agg(
+        F.sort_array(F.collect_list(F.struct("fpos", "idx", "polarity"))).alias("xs"))
+    fold = F.aggregate("xs", F.lit(0.0), lambda acc, x: (acc + x["polarity"]) / F.lit(2.0))
+    runs = runs.select("stem", "grp", "seg", F.size("xs").alias("n"), fold.alias("s"), F.get("xs", 0)["polarity"].alias("first"))
+    later = Window.partitionBy("stem").orderBy(F.desc("grp"), F.desc("seg")).rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.withColumn("after", F.coalesce(F.sum("n").over(later), F.lit(0)))
+    return runs.groupBy("stem").agg(
+        (F.sum(F.col("s") * F.pow(F.lit(2.0), -F.col("after")))
+         + F.min_by("first", F.struct("grp", "seg")) * F.pow(F.lit(2.0), -F.sum("n"))).alias("polarity"))
 
 
 def rejects(stemmed: DataFrame) -> DataFrame:

@@ -123,11 +123,15 @@ def vocabulary(dfreq: DataFrame, n_docs, max_features: int | None = 10_000) -> D
         top = dfreq.orderBy(F.desc("ctf"), F.asc("term")).limit(max_features)
     n = n_docs if isinstance(n_docs, F.Column) else F.lit(n_docs)
     idf = F.log((n + F.lit(1.0)) / (F.col("df") + F.lit(1.0))) + F.lit(1.0)
-    # term_id follows the vectoriser's alphabetical feature order; the window
-    # is over at most max_features rows.
+    # term_id follows the vectoriser's alphabetical feature order; a window only
+    # numbers a bounded vocabulary, an unbounded one is numbered by range partitions
+    if max_features is not None:
+        term_id = F.row_number().over(Window.orderBy("term")) - 1
+    else:
+        top, term_id = co.with_position(dfreq, "term"), F.col("pos") - 1
     return top.select(
         "term",
-        (F.row_number().over(Window.orderBy("term")) - 1).cast("int").alias("term_id"),
+        term_id.cast("int").alias("term_id"),
         F.col("df").cast("long").alias("df"),
         F.col("ctf").cast("long").alias("ctf"),
         idf.alias("idf"),

@@ -469,7 +469,7 @@ def nmf(spark: SparkSession, rows: DataFrame, n_terms: int, k: int = 100, max_it
         raise ValueError(f"{k} components need more than {k} terms; the vocabulary has {n_terms}")
     w0, h = start or _nndsvda(spark, rows, n_terms, k, init or lsi(spark, rows, n_terms, k))
     joined = rows.join(w0, "id").select("id", "idx", "val", "w")
-    state = _spread(joined, partitions).persist(StorageLevel.MEMORY_AND_DISK)
+    state = _spread(joined, partitions).checkpoint()  # iterations do not carry the plan that made the rows
     shared = sc.broadcast(h)
     first = last = _divergence(state, shared, block_cells)
     errors = [first]

@@ -1,3 +1,5 @@
+import random
+
 from rostrum.operators import lexicon as lx
 from rostrum.operators import sentiment as st
 from rostrum.sources import fixtures as fx
@@ -30,3 +32,21 @@ def test_speech_polarity_zero_without_hits(spark):
     assert got == {1: 1.0, 2: 0.0, 3: -0.5}
     words = st.top_polar_words(toks, lex, stopwords=["bad"]).collect()
     assert [(r["word"], r["frequency"], r["polarity"]) for r in words] == [("good", 2, "positive")]
+
+
+def test_merge_stems_in_segments(spark):
+    """The half-average of many colliding forms, however they are cut, is the fold in entry order."""
+    rng = random.Random(3)
+    rows = [(s, g, p, i, rng.choice([-1.0, -0.25, 0.0, 0.5, 1.0]))
+            for s, n in (("hot", 300), ("two", 2), ("one", 1)) for g in (0, 1) for p in range(n) for i in range(1 + (p % 7 == 0))]
+    rows.append(("", 0, 0, 0, 1.0))
+    want = {}
+    for stem, _, _, _, x in sorted(rows):
+        if stem:
+            want[stem] = (want[stem] + x) / 2 if stem in want else x
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "stem string, grp int, fpos long, idx int, polarity double")
+    for segment in (1, 16, 4096):
+        got = {r["stem"]: r["polarity"] for r in lx.merge_stems(df, segment).collect()}
+        assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-12 for s in want)
+    assert lx.merge_stems(df.limit(0)).count() == 0
