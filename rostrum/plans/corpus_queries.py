@@ -109,14 +109,14 @@ def q_split_long_text(spark, sf):
 MEMBER_PIECE, MEMBER_THRESHOLD = 20_000, 40_000
 
 
-@query("member_documents", _sql(M, body=f"""
+@query("member_texts", _sql(M, body=f"""
 SELECT member, CAST(i AS INTEGER) AS piece_no,
        CASE WHEN length(text) > {MEMBER_THRESHOLD} THEN substring(text, i * {MEMBER_PIECE} + 1, {MEMBER_PIECE}) ELSE text END AS text
 FROM (SELECT member_name AS member, string_agg(merged_speech, ' ' ORDER BY sitting_date, id) AS text
       FROM merged WHERE merged_speech IS NOT NULL AND member_name IS NOT NULL GROUP BY member_name) m,
      LATERAL (SELECT unnest(CASE WHEN length(text) > {MEMBER_THRESHOLD}
        THEN range(0, CAST((length(text) - 1) // {MEMBER_PIECE} AS BIGINT) + 1) ELSE [0] END) AS i)"""))
-def q_member_documents(spark, sf):
+def q_member_texts(spark, sf):
     """All speeches of a member as one text, in pieces."""
     return co.member_documents(_m(spark, sf), piece=MEMBER_PIECE, threshold=MEMBER_THRESHOLD)
 
