@@ -8,8 +8,12 @@ regression learns a score per language in that map.  N-grams are hashed to
 landmarks is one matrix product; landmark matrix, whitening and regression
 weights multiply to a (BUCKETS, languages) matrix once on the driver.
 
-Null, empty or letterless texts get ``und`` with score 0.  Repeated rows are
-scored alike; ties between languages go to the first by code point."""
+Null, empty or letterless texts get ``und`` with score 0; without any language
+to learn from, so does every text.  Texts are read whole, whatever their
+length.  Repeated rows are scored alike; ties between languages go to the first
+by code point.  Of many language values only the most frequent, as many as the
+sample has room for, can be predicted.  An empty table gives no row, and columns
+beside doc_id, text and lang are not looked at, whatever their names."""
 
 from __future__ import annotations
 
@@ -30,6 +34,9 @@ ORDERS = 4
 #: Bounds of the training sample, shared evenly by the languages: documents, and landmarks among them.
 SAMPLE = 2000
 LANDMARKS = 256
+#: Documents that the sample has room for in every language; so SAMPLE // LEAST languages, the most frequent ones, are learned.
+LEAST = 8
+SEED = 11
 RIDGE = 0.1
 _LETTERS = regex.compile(r"\p{L}+")
 _BATCH = 64
@@ -71,16 +78,33 @@ class Model:
 
 
 def _presence(batches):
-    for _, labels, texts in column_lists(batches, "lang", "text"):
+    for _, labels, keys, texts in column_lists(batches, "lang", "key", "text"):
         bits, kept = [], []
-        for lang, text in zip(labels, texts):
+        for i, text in enumerate(texts):
             g = ngram_buckets(text)
             if g is not None:
                 row = np.zeros(BUCKETS, bool)
                 row[g] = True
                 bits.append(np.packbits(row).tobytes())
-                kept.append(lang)
-        yield pa.RecordBatch.from_arrays([pa.array(kept, pa.string()), pa.array(bits, pa.binary())], ["lang", "bits"])
+                kept.append(i)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([labels[i] for i in kept], pa.string()), pa.array([keys[i] for i in kept], pa.int64()),
+             pa.array(bits, pa.binary())], ["lang", "key", "bits"])
+
+
+def sample_rows(rows: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """(lang, key, bits) of the training sample of (doc_id, text, lang) rows:
+    of the ``sample // LEAST`` most frequent languages (ties by code point) that
+    have a text with a letter, each the same number of rows, those of smallest
+    hash of id and text (all, if fewer).  Rows alike in both count once."""
+    rows = rows.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    langs = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max(1, sample // LEAST)).collect()
+    keyed = rows.select("lang", "text", F.xxhash64(F.lit(SEED), "doc_id", "text").alias("key"))
+    keyed = keyed.where(F.col("lang").isin([r["lang"] for r in langs]))
+    chosen = sampling.least_keys(keyed.select(F.col("lang").alias("label"), "key"), max(1, sample // max(1, len(langs))))
+    chosen = F.broadcast(chosen.select("label", F.col("key").alias("its")))
+    rows = keyed.join(chosen, (F.col("lang") == F.col("label")) & (F.col("key") == F.col("its"))).select("lang", "key", "text")
+    return rows.mapInArrow(_presence, "lang string, key long, bits binary").dropDuplicates(["lang", "key"])
 
 
 def _dense(bits: list[bytes]) -> np.ndarray:
@@ -91,11 +115,10 @@ def _dense(bits: list[bytes]) -> np.ndarray:
 
 def fit(rows: DataFrame, sample: int = SAMPLE, landmarks: int = LANDMARKS) -> Model:
     """Learn from (doc_id, text, lang) rows.  The driver gets the presence bits
-    (8 kB each) of about ``sample`` documents and unpacks a block at a time."""
-    n_langs = max(1, rows.select("lang").distinct().count())
-    rows = sampling.by_class(rows.select("doc_id", "text", "lang"), "doc_id", "lang", max(1, sample // n_langs))
-    got = rows.select("lang", "text").mapInArrow(_presence, "lang string, bits binary").collect()
-    got = sorted((r["lang"], bytes(r["bits"])) for r in got)
+    (8 kB each) of at most ``sample`` documents and unpacks a block at a time;
+    the landmarks are those of smallest hash in each language."""
+    got = sorted((r["lang"], r["key"], bytes(r["bits"])) for r in sample_rows(rows, sample).collect())
+    got = [(lang, bits) for lang, _, bits in got]
     langs = sorted({k for k, _ in got}, key=lambda s: s.encode())
     if not langs:
         return Model([], np.zeros((BUCKETS, 1), np.float32), np.zeros(0))

@@ -7,7 +7,9 @@ and a rerun draws the same ones."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 _SPACE = 1 << 31
@@ -33,6 +35,28 @@ def by_class(rows: DataFrame, key: str, label: str, per_class: int, seed: int =
             .where(share < F.col("_share")).drop("_class", "_share"))
 
 
+def least_keys(rows: DataFrame, per_class: int) -> DataFrame:
+    """Of (label, key long) rows without nulls the ``per_class`` smallest
+    different keys of each label (all, if fewer).  A task hands on at most that
+    many for each label it meets, so the labels must be few."""
+
+    def least(batches):
+        best: dict[str, np.ndarray] = {}
+        for b in batches:
+            labels = b.column(0).dictionary_encode()
+            of, keys = labels.indices.to_numpy(zero_copy_only=False), b.column(1).to_numpy(zero_copy_only=False)
+            for i, label in enumerate(labels.dictionary.to_pylist()):
+                mine = np.concatenate([best.get(label, keys[:0]), keys[of == i]])
+                best[label] = np.unique(mine)[:per_class]
+        for label, keys in best.items():
+            yield pa.RecordBatch.from_arrays([pa.array([label] * len(keys), pa.string()), pa.array(keys, pa.int64())],
+                                             ["label", "key"])
+
+    found = rows.mapInArrow(least, "label string, key long").distinct()
+    place = F.row_number().over(Window.partitionBy("label").orderBy("key"))
+    return found.withColumn("_place", place).where(F.col("_place") <= per_class).drop("_place")
+
+
 def labelled(documents: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> DataFrame:
     """(doc_id, text, lang, label) of a bounded sample of the labelled documents for
     which ``train`` holds.  Only the sampled labels, at most about twice

@@ -42,6 +42,33 @@ def test_language_held_out_accuracy(spark):
     assert np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
 
 
+def test_sample_of_many_languages(spark):
+    """Dirty tags do not push out frequent languages; the sample is the rows of smallest hash."""
+    rows = [(i, f"{SEA} {i}", "en") for i in range(400)] + [(1000 + i, f"{HILL} {i}", "de") for i in range(300)]
+    rows += [(5000 + i, f"qx{i} zk", f"tag{i:04d}") for i in range(3000)] + [(9000, "12 34", "num"), (9001, None, "none")]
+    rows += [(7, "the same row", "en")] * 500
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(7)
+    got = language_id.sample_rows(frame, 400).collect()
+    by = {}
+    for r in got:
+        by.setdefault(r["lang"], []).append(r["key"])
+    assert len(by) == 50 and by.keys() - {"en", "de"} == {f"tag{i:04d}" for i in range(48)}
+    keys = frame.selectExpr("lang", f"xxhash64({language_id.SEED}, doc_id, text) k").distinct().collect()
+    for lang in ("en", "de"):
+        assert sorted(by[lang]) == sorted(r["k"] for r in keys if r["lang"] == lang)[:8]
+    model = language_id.fit(frame, 400)
+    assert language_id._labels(model, [f"{SEA} 9", f"{HILL} 9"])[0] == ["en", "de"]
+
+
+def test_landmarks_are_not_the_short_texts(spark):
+    rows = [(i, " ".join([SEA] * (1 + i % 40)), "en") for i in range(400)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = sorted((r["key"], len(r["bits"])) for r in language_id.sample_rows(frame, 400).collect())
+    length = {r["k"]: r["n"] for r in frame.selectExpr(f"xxhash64({language_id.SEED}, doc_id, text) k", "length(text) n").collect()}
+    first = np.mean([length[k] for k, _ in got[:100]])
+    assert abs(first / np.mean(list(length.values())) - 1) < 0.25
+
+
 def test_toxicity_odd_rows(odd, empty, labels):
     got = toxicity.classify(odd, labels).collect()
     assert len(got) == odd.count() and all(0 <= r["score"] <= 1 for r in got)
