@@ -77,9 +77,13 @@ def taken(documents: DataFrame, keep: dict[str, Column] | None = None) -> DataFr
 def mix(documents: DataFrame) -> DataFrame:
     """The mix itself, with the columns of ``documents``: a row for each whole
     copy that is taken, and for the document that a source's cut divides one
-    more with its first words (joined by single blanks).  Rows that repeat both
-    id and text are one document here, taken as often as they are together."""
-    mark = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+    more with its first words (joined by single blanks).  Rows alike in all they
+    hold are one document here, taken as often as they are together; rows that
+    repeat id and text but differ in another column (maps aside) are not.
+    Columns beside doc_id, source, text and n_chars travel on as they are,
+    whatever their names."""
+    held = [F.col(f"`{c}`") for c in documents.columns if "map<" not in documents.schema[c].dataType.simpleString()]
+    mark = F.xxhash64(*held, *(c.isNull() for c in held))
     share = taken(documents, keep={"_mark": mark}).groupBy("doc_id", "_mark").agg(
         F.max("size").alias("size"), F.sum("taken").alias("taken")).where("taken > 0")
     share = share.select(F.col("doc_id").alias("id"), F.col("_mark").alias("its"), "size", "taken")

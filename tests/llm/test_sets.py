@@ -82,6 +82,17 @@ def brute_targets(sizes):
     return target
 
 
+def test_mix_of_rows_alike_but_for_their_source(spark):
+    rows = [(i % 10, f"one two three {i % 10}", s, "en") for i in range(20) for s in ("a", "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")
+    want = {r["source"]: int(r["target"]) for r in mixing.source_targets(mixing.taken(docs).select("source", "size")).collect()}
+    got, again = ([tuple(r) for r in mixing.mix(docs).collect()] for _ in range(2))
+    words = dict.fromkeys(want, 0)
+    for _, text, source, _ in got:
+        words[source] += len(text.split())
+    assert words == want and sorted(map(str, got)) == sorted(map(str, again))
+
+
 def test_mixing(odd, empty):
     rows = mixing.taken(odd).collect()
     sizes = {}
