@@ -136,3 +136,35 @@ def test_assign_and_silhouette(spark):
         s.append((b - a) / max(a, b))
     feats = v.select("id", array_to_vector("vector").alias("features"), "cluster")
     assert abs(cl.silhouette(feats) - np.mean(s)) < 1e-9
+
+
+def test_one_partial_matrix_for_each_core(spark):
+    """However many partitions the rows have, a pass sends no more partial sums than there are cores."""
+    made = spark.sparkContext.accumulator(0)
+
+    def share(batch, total):
+        if not total.any():
+            made.add(1)
+        total += batch.num_rows
+
+    rows = spark.range(400).selectExpr("id").repartition(40)
+    assert (tp._summed(rows, share, 60, 2) == 400).all()
+    assert 1 <= made.value <= spark.sparkContext.defaultParallelism
+
+
+def test_products_of_sparse_rows():
+    """Chunks of few entries, rows without terms and a term in many rows, against numpy."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(11)
+    a = rng.random((25, 9)) * (rng.random((25, 9)) < 0.4)
+    a[[0, 7, 24]] = 0
+    at = [np.nonzero(r)[0] for r in a]
+    batch = pa.RecordBatch.from_arrays([pa.array([x.tolist() for x in at], pa.list_(pa.int32())),
+                                        pa.array([r[x].tolist() for r, x in zip(a, at)], pa.list_(pa.float64()))], ["idx", "val"])
+    z, total, seen = rng.random((25, 3)), np.zeros((9, 3)), 0
+    for c in tp._chunks(batch, 7):
+        assert c.first == seen and (len(c.data) <= 7 or c.last == c.first + 1)
+        seen = c.last
+        c.add_transposed(total, c.data, z[c.first:c.last])
+    assert seen == 25 and np.allclose(total, a.T @ z)
