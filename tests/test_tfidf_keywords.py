@@ -44,3 +44,17 @@ def test_group_top_and_trend(spark):
     tr = {(r["sitting_year"], r["keyword"]): r["score"] for r in
           kw.group_keyword_trends(df, kw.top_keywords_by_group(df, "member_name", 1), "member_name").collect()}
     assert tr == {(2001, "k1"): 0.4, (2002, "k1"): 0.4}
+
+
+def test_only_words_of_the_vocabulary_meet_documents(spark):
+    """With a stem table the model is that of all postings, and its weights hold no term beyond the vocabulary's; ids may repeat or be null."""
+    rows = [(i if i % 9 else None, f"Alpha beta{'' if i % 2 else ' betas'} w{'abcdefg'[i % 7]} gamma{'xyz'[i % 3]} gammax delta") for i in range(40)]
+    docs = spark.createDataFrame([*rows, rows[3], (50, None), (51, "")], "id long, merged_speech string")
+    stems = spark.createDataFrame([("betas", "beta"), ("betas", "zz"), ("gammax", "gam"), ("gammay", "gam"), ("wa", "x")], "token string, stem string")
+    whole, model = (tfidf.fit(docs, stems=stems, stopwords=["delta"], max_features=4, persist=p) for p in (False, True))
+    assert sorted(map(repr, whole.vocab.collect())) == sorted(map(repr, model.vocab.collect()))
+    a, b = ({(r["id"], r["term"]): (r["tf"], round(r["weight"], 9)) for r in m.weights.collect()} for m in (whole, model))
+    assert a == b and (None, "alpha") in a and len(a) == model.weights.count()
+    assert sorted(map(repr, whole.postings.collect())) == sorted(map(repr, model.postings.collect()))
+    assert {r["term"] for r in model.used.collect()} == {r["term"] for r in model.vocab.collect()} < {r["term"] for r in model.postings.collect()}
+    model.unpersist()
