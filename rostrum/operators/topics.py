@@ -195,7 +195,7 @@ def _blocks(rows: DataFrame, cells: int | None = None) -> DataFrame:
             for c in _chunks(b, most):
                 ids = _column(b, "id").slice(c.first, c.last - c.first)
                 ids = pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids)
-                parts = [c.ends, c.cols.astype(np.int32), c.data.astype(float)]
+                parts = [c.ends, c.cols, c.data]
                 if has_w:
                     parts.append(_factor(b.slice(c.first, c.last - c.first)))
                 yield _block(ids, *parts)
@@ -204,23 +204,23 @@ def _blocks(rows: DataFrame, cells: int | None = None) -> DataFrame:
     return rows.select(*cols).mapInArrow(run, _block_schema(kind, has_w))
 
 
-_PARTS = ("ends", "cols", "data", "w")
+_PARTS = {"ends": np.int64, "cols": np.int32, "data": float, "w": float}
 
 
 def _block_schema(kind: str, has_w: bool) -> str:
-    return f"ids array<{kind}>, " + ", ".join(f"{c} binary" for c in _PARTS[:3 + has_w])
+    return f"ids array<{kind}>, " + ", ".join(f"{c} binary" for c in [*_PARTS][:3 + has_w])
 
 
 def _block(ids: pa.Array, *parts: np.ndarray) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([ids, *(pa.array([np.ascontiguousarray(x).tobytes()], pa.binary()) for x in parts)],
-                                      ["ids", *_PARTS[:len(parts)]])
+    return pa.RecordBatch.from_arrays([ids, *(pa.array([np.ascontiguousarray(x, t).tobytes()], pa.binary()) for x, t in zip(parts, _PARTS.values()))],
+                                      ["ids", *[*_PARTS][:len(parts)]])
 
 
 def _read_blocks(batch: pa.RecordBatch) -> Iterator[tuple[pa.Array, _Chunk, np.ndarray | None]]:
     """(ids, entries, W) of every block of a batch."""
     has_w = "w" in batch.schema.names
     for i in range(batch.num_rows):
-        ends, cols, data = (np.frombuffer(_column(batch, c)[i].as_buffer(), t) for c, t in (("ends", np.int64), ("cols", np.int32), ("data", float)))
+        ends, cols, data = (np.frombuffer(_column(batch, c)[i].as_buffer(), _PARTS[c]) for c in ("ends", "cols", "data"))
         w = np.frombuffer(_column(batch, "w")[i].as_buffer(), float).reshape(len(ends) - 1, -1) if has_w else None
         yield _column(batch, "ids").slice(i, 1), _Chunk(0, len(ends) - 1, ends, cols.astype(np.intp), data), w
 
