@@ -94,6 +94,26 @@ def test_stage_drops_what_the_operator_flags(odd, labels, monkeypatch):
     assert 1 in bare and not bare & {8, 12}
 
 
+def test_toxicity_learns_from_every_labelled_row(spark, monkeypatch):
+    """Each training document's own word has a trained row, whatever their number; parts are averaged."""
+    monkeypatch.setattr(toxicity, "PART", 1500)
+    rows = [(i, f"the boat own{i} sea" + (" idiot" if i % 50 == 0 else ""), "en") for i in range(9000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    lab = spark.createDataFrame([(i, int(i % 50 == 0)) for i, *_ in rows], "doc_id long, toxic int")
+    train = {r["doc_id"] for r in toxicity.training_rows(docs, lab).where("not apart").collect()}
+    assert 4000 < len(train) < 5600 and not any(zlib.crc32(str(i).encode()) % 3 == 1 for i in train)
+    model = toxicity.fit(docs, lab)
+    assert all(model.table[toxicity.subwords(f"own{i}")[0]].any() for i in train)
+    got = toxicity.score_documents(docs, model).join(lab, "doc_id").where("flagged <> (toxic = 1)").count()
+    assert got == 0 and set(model.thresholds) == {"en"}
+
+
+def test_toxicity_threshold_of_counted_scores():
+    s = np.array([0.1, 0.2, 0.6, 0.9])
+    assert toxicity._calibrated(s, np.array([0, 0, 1, 5]), np.array([7, 2, 0, 0])) == pytest.approx(0.4)
+    assert toxicity._calibrated(s, np.zeros(4), np.ones(4)) == toxicity.THRESHOLD
+
+
 def test_pooling_by_pieces_equals_whole(monkeypatch):
     rng = np.random.default_rng(0)
     m = toxicity.Model(np.zeros((2, 8), np.float32), [rng.normal(size=(w, 8, 8)).astype(np.float32) for w in toxicity.WIDTHS],
