@@ -84,3 +84,28 @@ def test_skips_blocks(corpus, monkeypatch):
 def test_threshold_must_be_positive(corpus):
     with pytest.raises(ValueError):
         impact.matches(corpus[2], corpus[1], corpus[0], 0)
+
+
+@pytest.mark.parametrize("threshold, k, gain", [(0.05, None, 1e9), (0.3, None, 0), (0.05, 3, 0), (0.05, 1, 0)])
+def test_scores_inside_documents_equal_the_plain_join(spark, corpus, threshold, k, gain, monkeypatch):
+    """Documents in one row each, scored without moving a posting."""
+    monkeypatch.setattr(impact, "HEAD_WORTH", 0)
+    p, blocks, q = corpus
+    documents = impact.document_table(p).unionByName(spark.createDataFrame([(-1, [], [])], "id long, terms array<string>, weights array<double>"))
+    got = se.ranked(impact.matches(q, blocks, p, threshold, top_k=k, gain=gain, small=0, documents=documents), threshold)
+    want = {x: s for x, s in plain(corpus).items() if round(s, 9) >= threshold}
+    if k is not None:
+        got = se.batch_top(got, k)
+        best = [sorted((-round(s, 9), i) for (n, i), s in want.items() if n == query)[:k] for query in range(10)]
+        want = {(query, i): -s for query, rows in enumerate(best) for s, i in rows}
+    rows = {(r["query_id"], r["id"]): r["score"] for r in got.collect()}
+    assert rows.keys() == want.keys() and all(abs(rows[x] - want[x]) < 1e-8 for x in rows)
+    plan = se.ranked(impact.matches(q, blocks, p, threshold, documents=documents), threshold)._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+
+
+def test_documents_of_no_query_term(spark, corpus):
+    p, blocks, q = corpus
+    documents = impact.document_table(p)
+    assert impact.matches(q.where("term = 'unknown'"), blocks, p, 0.1, documents=documents).count() == 0
+    assert impact.matches(q.limit(0), blocks, p, 0.1, documents=documents).count() == 0
