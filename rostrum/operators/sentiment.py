@@ -43,15 +43,17 @@ GREEK_SELECTED_PARTIES = [
 
 
 def party_speech_terms(speeches: DataFrame, party_map, parties: Iterable[str], stopwords: Iterable[str] = (),
-                       stems: tfidf.Stems = None) -> DataFrame:
+                       stems: tfidf.Stems = None, lexicon: DataFrame | None = None) -> DataFrame:
     """Speeches of the selected parties with a valid year, as (id,
     standard_party, year, term, tf) rows; a speech without a term has one of
     null term.  Null text counts as empty (B2).  Speeches are selected before
-    their text is read."""
+    their text is read.  With a stem table and the ``lexicon`` only its stems are looked
+    up, the terms of other words are null: they count for nothing in what follows."""
     std = co.selected_parties(co.standardize_party(speeches, party_map), parties)
     dated = std.withColumn("year", tx.lenient_year("sitting_date")).filter(F.col("year").isNotNull())
     return tfidf.stem_counts(dated, "id", "merged_speech", stopwords, stems, drop_null=False,
-                             carry=["standard_party", "year"], min_len=1, keep_empty=True)
+                             carry=["standard_party", "year"], min_len=1, keep_empty=True,
+                             only=None if lexicon is None else lexicon.select(F.col("stem").alias("term")))
 
 
 def speech_polarity(terms: DataFrame, lexicon: DataFrame, keys: Iterable[str] = ("standard_party", "year")) -> DataFrame:

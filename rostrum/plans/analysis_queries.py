@@ -8,10 +8,12 @@ from pyspark.sql import functions as F
 from rostrum.operators import lexicon as lx
 from rostrum.operators import sentiment as st
 from rostrum.operators import similarity as sim
+from rostrum.operators import tfidf
 from rostrum.plans import corpora
 from rostrum.plans import sql_parts as sp
 from rostrum.plans.registry import query
 from rostrum.plans.text_queries import _MEMBER_TFIDF
+from rostrum.session import stored
 from rostrum.sources import fixtures as fx
 
 R = 6
@@ -162,9 +164,9 @@ _SENT_CTES = [
 
 
 def _sent_tokens(spark, sf):
-    lex = lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf))
+    lex = tfidf.to_all_tasks(lx.prepare(fx.lexicon_rows(spark, sf), fx.FIX_STOPWORDS, corpora.stems(spark, sf)), "lexicon")
     toks = st.party_speech_terms(fx.dated_speeches(spark, sf), fx.FIX_PARTY_MAP, fx.FIX_SELECTED_PARTIES,
-                                  fx.FIX_STOPWORDS, corpora.stems(spark, sf))
+                                  fx.FIX_STOPWORDS, corpora.stems(spark, sf), lex)
     return toks, lex
 
 
@@ -188,7 +190,7 @@ FROM (SELECT DISTINCT year FROM strend) y CROSS JOIN (SELECT DISTINCT standard_p
 LEFT JOIN strend t ON t.year = y.year AND t.standard_party = p.standard_party"""))
 def q_polarity_pivot(spark, sf):
     toks, lex = _sent_tokens(spark, sf)
-    trend = st.polarity_trend(st.speech_polarity(toks, lex))
+    trend = stored(st.polarity_trend(st.speech_polarity(toks, lex)), "trend")
     parties = [r[0] for r in trend.select("standard_party").distinct().orderBy("standard_party").collect()]
     piv = st.polarity_pivot(trend, parties)
     long = piv.unpivot("year", parties, "standard_party", "polarity")

@@ -50,3 +50,27 @@ def test_merge_stems_in_segments(spark):
         got = {r["stem"]: r["polarity"] for r in lx.merge_stems(df, segment).collect()}
         assert got.keys() == want.keys() and all(abs(got[s] - want[s]) < 1e-12 for s in want)
     assert lx.merge_stems(df.limit(0)).count() == 0
+
+
+def test_only_lexicon_words_are_stemmed(spark):
+    """Polarity and counts are those of all stems; lexicon terms that the dictionary lacks are their own stems."""
+    speeches = spark.createDataFrame(
+        [(1, "en", "2001-02-03", "Goods good worse zz plain"), (2, "en", "2001-02-03", None), (3, "de", "2002-01-01", "plain words"), (4, "de", "2002-01-01", "zz zz worse")],
+        "id long, political_party string, sitting_date string, merged_speech string")
+    stems = spark.createDataFrame([("goods", "good"), ("good", "good"), ("worse", "bad"), ("plain", "plain"), ("bad", "x")], "token string, stem string")
+    lex = spark.createDataFrame([("good", 1.0), ("bad", -0.5), ("zz", 0.25)], "stem string, polarity double")
+    out = []
+    for lexicon in (None, lex):
+        toks = st.party_speech_terms(speeches, {"en": "A", "de": "B"}, ["A", "B"], (), stems, lexicon)
+        words = {tuple(r) for r in st.top_polar_words(toks, lex).collect()}
+        out.append(({r["id"]: r["polarity"] for r in st.speech_polarity(toks, lex).collect()}, words))
+    assert out[0] == out[1] and out[1][0] == {1: 1.75 / 4, 2: 0.0, 3: 0.0, 4: 0.0}
+    assert {r["term"] for r in toks.collect()} == {None, "good", "bad", "zz"}
+
+
+def test_lexicon_words_are_the_first_two_of_a_text(spark, tmp_path):
+    texts = ["Ab cd ef", "  12,", None, "", "one", "é1ü x", "..a..b..c", "x" * 9000 + " y"]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(i, 1, 0) for i in range(len(texts))], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    got = {r["pos"] - 1: r["term"] for r in fx.lexicon_rows(spark, str(tmp_path)).collect()}
+    assert got == {0: "Ab", 4: "one", 5: "é -ü -ly", 6: "a,b", 7: "y"}
