@@ -38,3 +38,11 @@ def test_only_counted_words_move(spark):
     empty = tfidf.stem_counts(spark.createDataFrame([(1, None), (2, "the"), (3, "Beta beta")], "id long, merged_speech string"),
                               stopwords=["the"], stems=stems, drop_null=False, keep_empty=True).collect()
     assert sorted((r["id"], r["term"] or "", r["tf"] or 0) for r in empty) == [(1, "", 0), (2, "", 0), (3, "beta", 2)]
+
+
+def test_keyword_rows_are_ranked_once(spark, monkeypatch):
+    """Trends read the stored keywords; they do not rank all postings again for each use."""
+    from rostrum.plans import catalog, corpora
+    monkeypatch.setattr(corpora, "_MEMO", {})
+    plan = _plan(catalog.queries()["member_keyword_trends"](spark, "/root/testdata/sf0.001"))
+    assert "InMemoryTableScan" not in plan and "WindowGroupLimit [id" not in plan
