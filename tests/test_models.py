@@ -168,3 +168,59 @@ def test_products_of_sparse_rows():
         seen = c.last
         c.add_transposed(total, c.data, z[c.first:c.last])
     assert seen == 25 and np.allclose(total, a.T @ z)
+
+
+def test_nmf_does_not_make_the_rows_again(spark):
+    """NMF of the rows an SVD was made of starts from the SVD's stored blocks, with the factors that the rows give."""
+    rng = np.random.default_rng(12)
+    a = rng.random((40, 25)) * (rng.random((40, 25)) < 0.4)
+    a[[0, 9]] = 0
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            read.add(b.num_rows)
+            yield b
+
+    rows = _rows(spark, a)
+    rows = rows.mapInArrow(counted, rows.schema)
+    svd = tp.lsi(spark, rows, 25, 5)
+    assert read.value == 40
+    res = tp.nmf(spark, rows, 25, 5, max_iter=2, tol=0, init=svd)
+    got = {r["id"]: r["vector"] for r in res.doc_vectors.collect()}
+    assert read.value == 40
+    want = tp.nmf(spark, rows, 25, 5, max_iter=2, tol=0, start=tp._nndsvda(spark, rows, 25, 5, svd))
+    want_w = {r["id"]: r["vector"] for r in want.doc_vectors.collect()}
+    assert got.keys() == want_w.keys() and all(np.allclose(got[i], want_w[i], atol=1e-10) for i in got)
+    assert np.isclose(res.errors[0], want.errors[0])
+
+
+def test_nmf_of_repeated_ids_and_other_rows(spark):
+    """An SVD of other rows, or ids that repeat, give the join of the rows with their factors."""
+    rng = np.random.default_rng(13)
+    a = rng.random((12, 9)) * (rng.random((12, 9)) < 0.6)
+    rows, k = _rows(spark, a), 3
+    svd = tp.lsi(spark, rows, 9, k)
+    some = rows.where("id < 5")
+    assert tp.nmf(spark, some, 9, k, max_iter=1, init=svd).doc_vectors.count() == 5
+    twice = rows.unionAll(rows.where("id = 4"))
+    assert tp.nmf(spark, twice, 9, k, max_iter=1, init=tp.lsi(spark, twice, 9, k)).doc_vectors.where("id = 4").count() == 4
+
+
+def test_small_blocks_are_read_together():
+    """Blocks of one batch up to the stated entries are one chunk, other rows are passed over; terms above 65,535 keep their order."""
+    import pyarrow as pa
+
+    rng = np.random.default_rng(14)
+    parts, a = [], rng.integers(0, 1 << 20, (8, 3)).astype(np.int32)
+    for i in range(8):
+        ids = pa.ListArray.from_arrays(pa.array([0, 1], pa.int32()), pa.array([i]))
+        parts.append(tp._block(ids, np.array([0, 3]), a[i], np.ones(3), np.full((1, 2), i)))
+    none = pa.RecordBatch.from_arrays([pa.nulls(1, c.type) for c in parts[0].columns], parts[0].schema.names)
+    batch = pa.Table.from_batches([*parts[:5], none, *parts[5:]]).combine_chunks().to_batches()[0]
+    got = list(tp._read_blocks(batch, 6))
+    assert [ids.to_pylist() for ids, _, _ in got] == [[[0, 1]], [[2, 3]], [[4]], [[5, 6]], [[7]]]
+    assert np.array_equal(np.concatenate([c.cols for _, c, _ in got]), a.ravel())
+    assert [w[:, 0].tolist() for _, _, w in got] == [[0, 1], [2, 3], [4], [5, 6], [7]]
+    order = tp._term_order(a.ravel())
+    assert np.array_equal(order, np.argsort(a.ravel(), kind="stable"))
